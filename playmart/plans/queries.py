@@ -50,14 +50,13 @@ def _log(spark: SparkSession, d: str, *names: str) -> DataFrame:
 
 
 def _plays(spark: SparkSession, d: str, *names: str, grain: str = "second") -> DataFrame:
-    raw = play_log(spark, d, dict.fromkeys(["page", *_raw(names)]))
+    raw = play_log(spark, d, dict.fromkeys(["page", *_raw(names)]), plays_only=True)
     return facts.clean_log(raw, grain).drop("page")
 
 
 _MATCH3 = ("song", "artist", "length")
 _MATCH2 = ("song", "artist")
 _FACT_FROM_LOG = ("start_time", "user_id", "level", "session_id", "location", "user_agent")
-_WITHOUT_PLACE = ("start_time", "user_id", "level", "session_id", "user_agent")
 
 
 def _unique_catalog(spark: SparkSession, d: str) -> DataFrame:
@@ -72,14 +71,17 @@ def _lake_fact(spark: SparkSession, d: str, *columns: str) -> DataFrame:
     return facts.make_songplays(plays, _unique_catalog(spark, d), columns=columns)
 
 
-def _artist_place_fact(spark: SparkSession, d: str) -> DataFrame:
-    """The distinct 2-key fact that carries the artist's location."""
+def _artist_place_fact(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    """The distinct 2-key fact that carries the artist's location, whole or cut to some columns."""
+    columns = columns or tuple(facts.FACT_COLUMNS)
+    from_log = [c for c in columns if c not in ("song_id", "artist_id", "location")]
     return facts.make_songplays(
-        _plays(spark, d, *_MATCH2, *_WITHOUT_PLACE, grain="milli"),
+        _plays(spark, d, *_MATCH2, *from_log, grain="milli"),
         song_catalog(spark, d),
         keys=facts.TITLE_ARTIST,
         distinct=True,
         location_from="artist",
+        columns=columns,
     )
 
 
@@ -136,7 +138,8 @@ def songplay_stable_key(spark: SparkSession, d: str) -> DataFrame:
 
 
 def clean_log(spark: SparkSession, d: str) -> DataFrame:
-    return facts.clean_log(play_log(spark, d, [c for c in LOG_COLUMNS if c not in WRITE_ORDER]))
+    columns = [c for c in LOG_COLUMNS if c not in WRITE_ORDER]
+    return facts.clean_log(play_log(spark, d, columns, plays_only=True))
 
 
 def plays_with_artist(spark: SparkSession, d: str) -> DataFrame:
@@ -154,7 +157,7 @@ def songs_played_semi(spark: SparkSession, d: str) -> DataFrame:
 
 def songs_played(spark: SparkSession, d: str) -> DataFrame:
     songs = dims.make_songs(song_catalog(spark, d))
-    return dims.in_fact(songs, _artist_place_fact(spark, d), ["song_id", "artist_id"])
+    return dims.in_fact(songs, _artist_place_fact(spark, d, "song_id", "artist_id"), ["song_id", "artist_id"])
 
 
 def songs_with_artist(spark: SparkSession, d: str) -> DataFrame:
@@ -171,7 +174,7 @@ def artists_distinct(spark: SparkSession, d: str) -> DataFrame:
 
 def artists_played_distinct(spark: SparkSession, d: str) -> DataFrame:
     artists = dims.make_artists_distinct(song_catalog(spark, d))
-    return dims.in_fact(artists, _artist_place_fact(spark, d), ["artist_id"])
+    return dims.in_fact(artists, _artist_place_fact(spark, d, "artist_id"), ["artist_id"])
 
 
 def users_latest(spark: SparkSession, d: str) -> DataFrame:

@@ -10,6 +10,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from playmart.session import configure
 
@@ -54,15 +55,38 @@ _LOG: dict[str, tuple[str, str]] = {
 
 LOG_COLUMNS = list(_LOG)
 
+# Line-item columns the log is made of.
+_STORED = [
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_returnflag", "l_linestatus",
+]
+
+
+# Facts about a table that cost a footer job or a planning pass, asked once per path.
+_schemas: dict[str, StructType] = {}
+_splits: dict[str, int] = {}
+
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
+
+
+def _few_splits(spark: SparkSession, sf_dir: str, name: str) -> bool:
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _splits:
+        _splits[path] = load(spark, sf_dir, name).rdd.getNumPartitions()
+    return _splits[path] < spark.sparkContext.defaultParallelism
 
 
-def play_log(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None) -> DataFrame:
+def play_log(
+    spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None, plays_only: bool = False
+) -> DataFrame:
     """The app log, cut to the wanted columns.
 
-    Every look-up is a left join on a unique key and so never changes the row count: a look-up none of
+    plays_only=True puts the page filter in terms of the stored column, where the Parquet reader can use
+    it; the page conditions in the columns then fold away. Every look-up is a left join on a unique key and so never changes the row count: a look-up none of
     whose columns are wanted is left out, which saves its shuffle. Order attributes are collected on the
     smaller orders side before the line items are shuffled.
     """
@@ -71,6 +95,12 @@ def play_log(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = N
     needed = {_LOG[c][1] for c in wanted}
 
     log = load(spark, sf_dir, "lineitem")
+    if plays_only:
+        log = log.where(_PLAY)
+    if _few_splits(spark, sf_dir, "lineitem"):
+        # A table in very few files would be read and matched by one task; a large one is left as it is.
+        cores = spark.sparkContext.defaultParallelism
+        log = log.select(*_STORED).repartition(cores, "l_orderkey")
     if needed & {"orders", "customer", "nation"}:
         orders = load(spark, sf_dir, "orders")
         if needed & {"customer", "nation"}:
@@ -83,7 +113,8 @@ def play_log(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = N
     if "part" in needed:
         part = load(spark, sf_dir, "part")
         log = log.join(part, log.l_partkey == part.p_partkey, "left")
-    return log.select(*[F.expr(_LOG[c][0]).alias(c) for c in wanted])
+    texts = {c: _LOG[c][0].replace(_PLAY, "true") if plays_only else _LOG[c][0] for c in wanted}
+    return log.select(*[F.expr(sql).alias(c) for c, sql in texts.items()])
 
 
 def song_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
