@@ -69,7 +69,7 @@ def upsert(
     """Target after the writes: a written key replaces its row, the last write of a key wins."""
     fresh = last_per_key(writes, keys, order).select(*target.columns)
     kept = target.join(fresh.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(fresh)
+    return kept.unionByName(fresh).select(*target.columns)
 
 
 def cascade_delete(
@@ -77,4 +77,4 @@ def cascade_delete(
 ) -> DataFrame:
     """Child rows that stay when parent rows are deleted; rows with a NULL reference stay."""
     gone = deleted.select(*[F.col(p).alias(c) for c, p in zip(foreign_key, parent_key, strict=True)])
-    return child.join(gone.distinct(), list(foreign_key), "left_anti")
+    return child.join(gone.distinct(), list(foreign_key), "left_anti").select(*child.columns)

@@ -20,12 +20,12 @@ def played_songs(
 ) -> DataFrame:
     """Catalog rows that were played. Play keys are made distinct first, so no hot song is joined."""
     heard = plays.select(*[F.col(LOG_KEY[k]).alias(k) for k in keys]).distinct()
-    return songs.join(heard, list(keys), "left_semi")
+    return songs.join(heard, list(keys), "left_semi").select(*songs.columns)
 
 
 def in_fact(rows: DataFrame, fact: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key occurs in the fact."""
-    return rows.join(fact.select(*keys).distinct(), list(keys), "left_semi")
+    return rows.join(fact.select(*keys).distinct(), list(keys), "left_semi").select(*rows.columns)
 
 
 def make_songs(catalog: DataFrame) -> DataFrame:

@@ -42,6 +42,7 @@ class Dialect:
     unique_songs: bool = True  # one row per song and artist id, or every distinct row
     users: str = "latest"  # see dims.make_users
     users_from_all_pages: bool = False
+    times_from_fact: bool = False  # or from all plays
     grain: str = "second"  # or "milli", or "epoch" for integer seconds
     weekday: str = "sunday1"
     empty_as_null: bool = False
@@ -71,6 +72,7 @@ WAREHOUSE = Dialect(
     unique_songs=False,
     users="at_last",
     users_from_all_pages=True,
+    times_from_fact=True,
     grain="milli",
     weekday="sunday0",
 )
@@ -91,6 +93,7 @@ SCHEDULED = Dialect(
     scope="all",
     unique_songs=False,
     users="distinct",
+    times_from_fact=True,
     weekday="sunday0",
 )
 DIALECTS = {d.name: d for d in (LAKE, WAREHOUSE, HISTORY, SCHEDULED)}
@@ -157,7 +160,7 @@ def build_dims(feeds: Feeds, fact: DataFrame, dialect: Dialect) -> dict[str, Dat
     if dialect.grain == "epoch":
         times = dims.make_times_epoch(feeds.plays)
     else:
-        times = dims.make_times(fact, dialect.weekday)
+        times = dims.make_times(fact if dialect.times_from_fact else feeds.plays, dialect.weekday)
     users = dims.make_users(feeds.log if dialect.users_from_all_pages else feeds.plays, dialect.users)
     return {"users": users, "songs": songs, "artists": artists, "times": times}
 

@@ -7,10 +7,13 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# Epoch values are read as UTC. Skewed join partitions are split even when that costs one more shuffle
+# Epoch values are read as UTC. Parquet is compressed, so the size check before a broadcast multiplies file
+# sizes by an expansion factor: without it a fact of a few compressed MB passes for a small table. Skewed
+# join partitions are split even when that costs one more shuffle
 # downstream: a single popular song or user may own a large share of all plays.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",

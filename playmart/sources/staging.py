@@ -30,6 +30,12 @@ def _typed(text: Column, kind: DataType) -> Column:
     return text.try_cast(kind)
 
 
+def _value_of(entries: str, lower_name: str) -> Column:
+    """Value of the first map entry whose key equals a name, case aside."""
+    hits = F.filter(entries, lambda entry: F.lower(entry["key"]) == F.lit(lower_name))
+    return F.get(hits, F.lit(0))["value"]
+
+
 def _read_lines(spark: SparkSession, paths: Paths, recursive: bool) -> DataFrame:
     reader = spark.read
     if recursive:
@@ -54,8 +60,7 @@ def stage_by_name(
     raw = _read_lines(spark, paths, recursive).select(entries.alias("e"))
     columns = []
     for f in schema.fields:
-        hits = F.filter("e", lambda e, n=f.name.lower(): F.lower(e["key"]) == n)
-        columns.append(_typed(F.get(hits, F.lit(0))["value"], f.dataType).alias(f.name))
+        columns.append(_typed(_value_of("e", f.name.lower()), f.dataType).alias(f.name))
     return raw.select(*columns)
 
 

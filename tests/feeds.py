@@ -1,0 +1,67 @@
+"""Hand-written feed rows used by several tests."""
+
+from __future__ import annotations
+
+import json
+import pathlib
+
+UA_MAC = '"Mozilla/5.0 (Macintosh; Intel Mac OS X 10_9_4) AppleWebKit/537.36"'
+UA_PHONE = '"Mozilla/5.0 (iPhone; CPU iPhone OS 7_1_2 like Mac OS X)"'
+UA_BARE = "curl/7.1"
+
+
+def song(song_id, title, artist_id, artist, duration, year=2001, location="", lat=None, lon=None):
+    return {
+        "num_songs": 1, "artist_id": artist_id, "artist_latitude": lat, "artist_longitude": lon,
+        "artist_location": location, "artist_name": artist, "song_id": song_id, "title": title,
+        "duration": duration, "year": year,
+    }
+
+
+def play(session, item, user, song, artist, length, ts, level="free", page="NextSong", first="Ann", agent=UA_MAC):
+    return {
+        "artist": artist, "auth": "Logged In" if user else "Logged Out", "firstName": first, "gender": "F",
+        "itemInSession": item, "lastName": "Lee", "length": length, "level": level,
+        "location": "Oslo, Norway" if user else None, "method": "PUT", "page": page,
+        "registration": 1540344794796.0, "sessionId": session, "song": song, "status": 200, "ts": ts,
+        "userAgent": agent, "userId": user,
+    }
+
+
+# 2018-11-01 21:01:46.796 UTC, a Thursday
+T0 = 1541106106796
+
+SONGS = [
+    song("S1", "Home", "A1", "Ada", 200.4, 1999, "Oslo", 59.9, 10.7),
+    song("S2", "Home", "A2", "Bob", 200.4, 0),  # same title by another artist
+    song("S3", "Away", "A1", "Ada", 180.0, 2003, "Bergen", 60.4, 5.3),  # artist data conflict
+    song("S4", "Away", "A1", "Ada", 240.0, 2004, "Oslo"),  # same title and artist, other duration
+    song("S5", "Alone", "A3", 'Quote "Q", Inc', 100.0, 2005, "Rome"),  # never played
+]
+
+PLAYS = [
+    play(1, 0, "8", "Home", "Ada", 200.4, T0),
+    play(1, 1, "8", None, None, None, T0 + 1000, page="Home"),
+    play(1, 2, "8", "Home", "Bob", 200.4, T0 + 2000),
+    play(1, 3, "8", "Away", "Ada", 180.0, T0 + 2100),  # same session, same second
+    play(2, 0, "9", "Away", "Ada", 239.6, T0 + 60_000, first="Ben", agent=UA_PHONE),  # agrees only when rounded
+    play(2, 1, "9", "Unknown", "Zed", 90.0, T0 + 90_000, first="Ben", agent=UA_BARE),  # not in the catalog
+    play(3, 0, "8", "Home", "Ada", 200.4, T0 + 86_400_000, level="paid"),  # level changed
+    play(4, 0, "", None, None, None, T0 + 99_000, page="Home", first=None),  # logged out
+    play(5, 0, "10", "Home", "Ada", 200.4, T0 + 86_400_000, first="Cat"),  # same last time as user 8
+]
+
+
+def write_lines(path: pathlib.Path, rows, *raw: str) -> str:
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text("\n".join([*(json.dumps(r) for r in rows), *raw]) + "\n")
+    return str(path)
+
+
+def write_feeds(root: pathlib.Path) -> tuple[str, str]:
+    """Song files one object each, log files by month; returns (log root, song root)."""
+    for s in SONGS:
+        write_lines(root / "songs" / s["song_id"][0] / s["song_id"][1] / f"{s['song_id']}.json", [s])
+    write_lines(root / "logs" / "2018" / "11" / "2018-11-01-events.json", PLAYS[:6])
+    write_lines(root / "logs" / "2018" / "11" / "2018-11-02-events.json", PLAYS[6:], '{"page": "NextSo')
+    return str(root / "logs"), str(root / "songs")
