@@ -8,7 +8,6 @@ match, and a lost executor costs tasks, not the run.
 from __future__ import annotations
 
 import datetime as dt
-import logging
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
@@ -25,9 +24,6 @@ from playmart.session import configure
 from playmart.sources import feeds
 from playmart.sources.staging import period_path
 
-logger = logging.getLogger(__name__)
-
-
 @dataclass(frozen=True)
 class Dialect:
     """The choices in which the supported load styles differ."""
@@ -202,7 +198,9 @@ def _build_and_check(
     for name, frame in build_dims(everything or inputs, whole, dialect).items():
         sinks.write_table(frame, paths[name], specs[name])
     written = {name: sinks.read_table(spark, paths[name], spec) for name, spec in specs.items()}
-    quality.enforce(quality.constraint_checks(written, dialect.tables))
+    # The fact was reduced to one row per key on writing; counting its keys again would shuffle all of it.
+    constraints = [replace(t, primary_key=()) if t.name == "songplays" else t for t in dialect.tables]
+    quality.enforce(quality.constraint_checks(written, constraints))
     for name, frame in written.items():
         frame.createOrReplaceTempView(name)
     quality.run_checks(spark, checks)
@@ -279,12 +277,3 @@ def _touched(fact: DataFrame) -> str:
     """Condition for the (year, month) partitions a load writes to; one row per month is fetched."""
     months = fact.select("year", "month").distinct().collect()
     return " OR ".join(f"(year = {m.year} AND month = {m.month})" for m in months) or "false"
-
-
-def run_queries(spark: SparkSession, queries: Sequence[str]) -> list[DataFrame]:
-    """Run SQL statements in order; each is logged."""
-    results = []
-    for query in queries:
-        logger.info("Executing query: %s", query)
-        results.append(spark.sql(query))
-    return results

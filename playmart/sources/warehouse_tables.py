@@ -99,8 +99,9 @@ def play_log(
         log = log.where(_PLAY)
     if _few_splits(spark, sf_dir, "lineitem"):
         # A table in very few files would be read and matched by one task; a large one is left as it is.
+        # Several columns are hashed, so that one hot order or part does not undo the spreading.
         cores = spark.sparkContext.defaultParallelism
-        log = log.select(*_STORED).repartition(cores, "l_orderkey")
+        log = log.select(*_STORED).repartition(cores, "l_orderkey", "l_partkey", "l_linenumber")
     if needed & {"orders", "customer", "nation"}:
         orders = load(spark, sf_dir, "orders")
         if needed & {"customer", "nation"}:

@@ -102,12 +102,3 @@ def test_empty_strings_become_null_only_where_asked(spark, roots, tmp_path):
     lake = _tables(spark, _load(spark, roots, tmp_path / "l", etl.LAKE), etl.LAKE)
     assert history["artists"].where("artist_id = 'A2'").first().location is None
     assert lake["artists"].where("artist_id = 'A2'").first().location == ""
-
-
-def test_run_queries(spark, caplog):
-    with caplog.at_level("INFO"):
-        *_, last = etl.run_queries(spark, ["CREATE OR REPLACE TEMP VIEW one AS SELECT 1 AS x", "SELECT x + 1 AS y FROM one"])
-    assert last.first().y == 2
-    assert "SELECT x + 1" in caplog.text
-
-

@@ -1,0 +1,49 @@
+import pytest
+
+from playmart import schemas, sinks
+from playmart.plans import sql_load
+
+
+@pytest.fixture
+def mart(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS mart")
+    tables = [schemas.USERS, schemas.ARTISTS, schemas.STAGING_EVENTS, schemas.STAGING_SONGS]
+    sinks.create_tables(spark, tables, "mart", str(tmp_path))
+    rows = [(1, "Ann", "free"), (1, "Ann", "free"), (2, "Ben", "paid")]
+    events = spark.createDataFrame(rows, "userId BIGINT, firstName STRING, level STRING")
+    for name in schemas.STAGING_EVENTS.column_names:
+        if name not in events.columns:
+            events = events.selectExpr("*", f"NULL AS {name}")
+    events.select(*schemas.STAGING_EVENTS.column_names).write.insertInto("mart.staging_events")
+    yield
+    sinks.drop_tables(spark, tables, "mart")
+    spark.sql("DROP DATABASE mart")
+
+
+USERS_QUERY = """SELECT DISTINCT level, userId AS user_id, firstName AS first_name,
+  CAST(NULL AS STRING) AS last_name, CAST(NULL AS STRING) AS gender FROM {select_from_table}"""
+
+
+def test_dimension_is_replaced_or_appended(spark, mart):
+    for _ in range(2):
+        sql_load.load_dimension(spark, "mart.users", USERS_QUERY, "mart.staging_events")
+    assert sorted(map(tuple, spark.table("mart.users").select("user_id", "level").collect())) == [(1, "free"), (2, "paid")]
+    sql_load.load_dimension(spark, "mart.users", USERS_QUERY, "mart.staging_events", empty_before_load=False)
+    assert spark.table("mart.users").count() == 4
+
+
+def test_fact_is_appended_from_several_tables(spark, mart):
+    query = """SELECT e.level AS artist_id, e.firstName AS name, CAST(NULL AS STRING) AS location,
+      CAST(NULL AS DOUBLE) AS latitude, CAST(NULL AS DOUBLE) AS longitude
+      FROM {} e LEFT JOIN {} s ON e.song = s.title"""
+    for _ in range(2):
+        sql_load.load_fact(spark, "mart.artists", query, ["mart.staging_events", "mart.staging_songs"])
+    assert spark.table("mart.artists").count() == 6
+
+
+def test_run_queries(spark, caplog):
+    statements = ["CREATE OR REPLACE TEMP VIEW one AS SELECT 1 AS x", "SELECT x + 1 AS y FROM one"]
+    with caplog.at_level("INFO"):
+        *_, last = sql_load.run_queries(spark, statements)
+    assert last.first().y == 2
+    assert "SELECT x + 1" in caplog.text
