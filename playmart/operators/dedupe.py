@@ -33,33 +33,46 @@ def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Da
     return _one_per_key(df, keys, order, F.max)
 
 
+def profile_summary(log: DataFrame, key: str, profile: Sequence[str], at: str) -> DataFrame:
+    """Each distinct profile of a key with the last time it was seen; NULL keys drop out.
+
+    A hash aggregate over primitives. Summaries of several periods can be put together and summarised
+    again, so a later load need not read the earlier logs.
+    """
+    return log.where(F.col(key).isNotNull()).groupBy(key, *profile).agg(F.max(at).alias(at))
+
+
 def latest_profiles(log: DataFrame, key: str, profile: Sequence[str], at: str) -> DataFrame:
-    """Every distinct profile a key had at its last time; ties keep several rows, NULL keys drop out.
+    """Every distinct profile a key had at its last time; ties keep several rows.
 
-    Profiles are collapsed first (a hash aggregate over primitives), so the self-join sees one row per
-    distinct profile, and joining on (key, time) spreads a key with very many profiles.
+    The self-join sees one row per distinct profile, both sides read one shuffle of the summary, and
+    joining on (key, time) spreads a key with very many profiles.
     """
-    seen = log.where(F.col(key).isNotNull()).groupBy(key, *profile).agg(F.max(at).alias(at))
+    seen = profile_summary(log, key, profile, at)
     last = seen.groupBy(key).agg(F.max(at).alias(at))
     return seen.join(last, [key, at]).select(key, *profile)
 
 
 def latest_profile(log: DataFrame, key: str, profile: Sequence[str], at: str) -> DataFrame:
     """Exactly one row per key: the latest profile, ties settled by the profile columns."""
-    seen = log.where(F.col(key).isNotNull()).groupBy(key, *profile).agg(F.max(at).alias(at))
+    seen = profile_summary(log, key, profile, at)
     return last_per_key(seen, [key], [at, *profile]).select(key, *profile)
 
 
 def insert_if_absent(
-    source: DataFrame, target: DataFrame, keys: Sequence[str], order: Sequence[str] = ()
+    source: DataFrame,
+    target: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str] = (),
+    unique: bool = False,
 ) -> DataFrame:
     """Rows to append to target: the first source row of each key target does not have.
 
-    The source is reduced before the anti join, so both join sides are unique on the key and the
-    reduced side is already partitioned by it. A key column may not be NULL: such rows are left out.
+    The source is reduced before the anti join (unless it is unique already), so both join sides have one
+    row per key. A key column may not be NULL: such rows are left out.
     """
     whole = source.dropna(subset=list(keys))
-    fresh = first_per_key(whole, keys, order)
+    fresh = whole if unique else first_per_key(whole, keys, order)
     return fresh.join(target.select(*keys), list(keys), "left_anti").select(*source.columns)
 
 

@@ -18,7 +18,7 @@ from playmart import schemas, sinks
 from playmart.functions.text import empty_to_null
 from playmart.functions.times import epoch_second
 from playmart.operators import dims, facts, quality
-from playmart.operators.dedupe import first_per_key
+from playmart.operators.dedupe import first_per_key, profile_summary
 from playmart.schemas import Table
 from playmart.session import configure
 from playmart.sources import feeds
@@ -115,6 +115,9 @@ class Feeds:
             catalog = dims.played_songs(catalog, plays, dialect.keys)
         return cls(facts.rename_log(log), plays, catalog)
 
+    def users_source(self, dialect: Dialect) -> DataFrame:
+        return self.log if dialect.users_from_all_pages else self.plays
+
 
 def build_fact(feeds: Feeds, dialect: Dialect) -> DataFrame:
     """The fact, one row per key; the key is the same on every run."""
@@ -144,8 +147,13 @@ def build_fact(feeds: Feeds, dialect: Dialect) -> DataFrame:
     return first_per_key(fact.select(*columns), ["songplay_id"], [])
 
 
-def build_dims(feeds: Feeds, fact: DataFrame, dialect: Dialect) -> dict[str, DataFrame]:
-    """Dimensions; those limited to what the fact holds read the written fact."""
+def build_dims(
+    feeds: Feeds, fact: DataFrame, dialect: Dialect, profiles: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """Dimensions; those limited to what the fact holds read the written fact.
+
+    `profiles` is a profile summary to build users from instead of the log.
+    """
     if dialect.unique_songs:
         songs, artists = dims.make_songs_unique(feeds.catalog), dims.make_artists(feeds.catalog)
     else:
@@ -157,8 +165,8 @@ def build_dims(feeds: Feeds, fact: DataFrame, dialect: Dialect) -> dict[str, Dat
         times = dims.make_times_epoch(feeds.plays)
     else:
         times = dims.make_times(fact if dialect.times_from_fact else feeds.plays, dialect.weekday)
-    users = dims.make_users(feeds.log if dialect.users_from_all_pages else feeds.plays, dialect.users)
-    return {"users": users, "songs": songs, "artists": artists, "times": times}
+    seen = profiles if profiles is not None else feeds.users_source(dialect)
+    return {"users": dims.make_users(seen, dialect.users), "songs": songs, "artists": artists, "times": times}
 
 
 def _run_id() -> str:
@@ -184,18 +192,19 @@ def _build_and_check(
     checks: Sequence[quality.Check],
     everything: Feeds | None = None,
     stored: DataFrame | None = None,
+    profiles: DataFrame | None = None,
 ) -> dict[str, str]:
     """Write fact and dimensions into run_dir and check them; returns table paths.
 
-    For a partial load, `everything` and `stored` are all inputs and the fact rows already held: the
-    dimensions cover those too.
+    For a partial load, `everything`, `stored` and `profiles` are all inputs, the fact rows already held
+    and the user profiles of all periods: the dimensions cover those too.
     """
     specs = {t.name: t for t in dialect.tables}
     paths = {name: f"{run_dir}/{name}" for name in specs}
     sinks.write_table(build_fact(inputs, dialect), paths["songplays"], specs["songplays"])
     fact = sinks.read_table(spark, paths["songplays"], specs["songplays"])
     whole = fact if stored is None else stored.unionByName(fact)
-    for name, frame in build_dims(everything or inputs, whole, dialect).items():
+    for name, frame in build_dims(everything or inputs, whole, dialect, profiles).items():
         sinks.write_table(frame, paths[name], specs[name])
     written = {name: sinks.read_table(spark, paths[name], spec) for name, spec in specs.items()}
     # The fact was reduced to one row per key on writing; counting its keys again would shuffle all of it.
@@ -246,7 +255,8 @@ def load_period(
     """Load one month. Running a month again changes nothing.
 
     The month's staging partition is replaced, its fact rows are appended if absent, and dimensions are
-    rebuilt beside the current ones and switched when the checks have passed.
+    rebuilt beside the current ones and switched when the checks have passed. Users come from one small
+    profile summary per month, so earlier logs are not read again for them.
     """
     configure(spark)
     run_id = _run_id()
@@ -264,15 +274,27 @@ def load_period(
     spec = dialect.tables[0]
     target = f"{root}/tables/{spec.name}"
     stored = sinks.read_or_empty(spark, target, spec)
-    paths = _build_and_check(spark, month, run_dir, dialect, checks, everything, stored)
+    profiles = None
+    if dialect.users != "history":
+        profiles = _period_profiles(spark, month.users_source(dialect), root, period)
+    paths = _build_and_check(spark, month, run_dir, dialect, checks, everything, stored, profiles)
 
     fresh = sinks.read_table(spark, paths[spec.name], spec)
-    sinks.append_absent(spark, fresh, target, spec, where=_touched(fresh))
+    sinks.append_absent(spark, fresh, target, spec, where=_touched(fresh), unique=True)
     paths[spec.name] = target
     sinks.publish(spark, root, run_id, paths)
     return paths
 
 
+def _period_profiles(spark: SparkSession, log: DataFrame, root: str, period: str) -> DataFrame:
+    """Replace the period's profile summary and return those of all periods."""
+    path = f"{root}/staging/profiles"
+    summary = profile_summary(log, "user_id", dims.PROFILE, "ts").withColumn("period", F.lit(period))
+    sinks.replace_partitions(summary, path, ["period"])
+    schema = "user_id BIGINT, first_name STRING, last_name STRING, gender STRING, level STRING, ts BIGINT"
+    return spark.read.schema(f"{schema}, period STRING").parquet(path).drop("period")
+
+
 def _touched(fact: DataFrame) -> str:
     """Condition for the (year, month) partitions a load writes to; one row per month is fetched."""
     months = fact.select("year", "month").distinct().collect()

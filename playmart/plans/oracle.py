@@ -211,7 +211,7 @@ _QUERIES: dict[str, str] = {
         f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}"
         for t in ("lineitem", "orders", "customer", "nation", "part", "events")
     ),
-    "sample_rows": """SELECT session_id, item_in_session, w1, w2, artist, song, length FROM plays
+    "sample_rows": """SELECT session_id, item_in_session, w1, w2, method, user_agent FROM plays
   ORDER BY session_id, item_in_session, w1, w2, w3 LIMIT 10""",
     # Writes and serving tables
     "insert_if_absent": f"""SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority

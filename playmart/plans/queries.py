@@ -308,7 +308,7 @@ def row_counts(spark: SparkSession, d: str) -> DataFrame:
 
 def sample_rows(spark: SparkSession, d: str) -> DataFrame:
     order = ["session_id", "item_in_session", *WRITE_ORDER]
-    plays = _plays(spark, d, *order, "artist", "song", "length")
+    plays = _plays(spark, d, *order, "method", "user_agent")
     return reports.sample_rows(plays, order, 10).drop("w3")
 
 

@@ -73,16 +73,18 @@ def append_absent(
     table: Table,
     order: Sequence[str] = (),
     where: str | None = None,
+    unique: bool = False,
 ) -> None:
     """Append the rows whose primary key the stored table lacks; running it again appends nothing.
 
     `where` limits the stored rows compared with, for instance to the one period being loaded, so that
-    only its directories are read.
+    only its directories are read. unique=True says that df already has one row per key.
     """
     stored = read_or_empty(spark, path, table)
     if where:
         stored = stored.where(where)
-    write_table(insert_if_absent(df, stored, table.primary_key, order), path, table, mode="append")
+    fresh = insert_if_absent(df, stored, table.primary_key, order, unique)
+    write_table(fresh, path, table, mode="append")
 
 
 def write_serving(df: DataFrame, path: str, table: ServingTable, mode: str = "overwrite") -> None:

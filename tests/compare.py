@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import duckdb
 import pandas as pd
 
@@ -12,7 +14,9 @@ def connect(sf_dir: str):
     con = duckdb.connect()
     con.execute("SET TimeZone = 'UTC'")
     for name in TABLES:
-        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf_dir}/{name}.parquet')")
+        path = f"{sf_dir}/{name}.parquet"
+        files = f"{path}/*.parquet" if os.path.isdir(path) else path
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{files}')")
     return con
 
 
