@@ -119,9 +119,9 @@ class Feeds:
         return self.log if dialect.users_from_all_pages else self.plays
 
 
-def build_fact(feeds: Feeds, dialect: Dialect) -> DataFrame:
+def build_fact(inputs: Feeds, dialect: Dialect) -> DataFrame:
     """The fact, one row per key; the key is the same on every run."""
-    catalog = feeds.catalog
+    catalog = inputs.catalog
     if dialect.unique_songs:
         catalog = facts.songs_with_artist(dims.make_songs_unique(catalog), dims.make_artists(catalog))
     if dialect.distinct:
@@ -131,7 +131,7 @@ def build_fact(feeds: Feeds, dialect: Dialect) -> DataFrame:
         extra = [c for c in PLAY_IDENTITY if c not in facts.FACT_COLUMNS]
         natural = [*PLAY_IDENTITY, "song_id", "artist_id"]
     fact = facts.make_songplays(
-        feeds.plays,
+        inputs.plays,
         catalog,
         keys=dialect.keys,
         how=dialect.how,
@@ -148,24 +148,24 @@ def build_fact(feeds: Feeds, dialect: Dialect) -> DataFrame:
 
 
 def build_dims(
-    feeds: Feeds, fact: DataFrame, dialect: Dialect, profiles: DataFrame | None = None
+    inputs: Feeds, fact: DataFrame, dialect: Dialect, profiles: DataFrame | None = None
 ) -> dict[str, DataFrame]:
     """Dimensions; those limited to what the fact holds read the written fact.
 
     `profiles` is a profile summary to build users from instead of the log.
     """
     if dialect.unique_songs:
-        songs, artists = dims.make_songs_unique(feeds.catalog), dims.make_artists(feeds.catalog)
+        songs, artists = dims.make_songs_unique(inputs.catalog), dims.make_artists(inputs.catalog)
     else:
-        songs, artists = dims.make_songs(feeds.catalog), dims.make_artists_distinct(feeds.catalog)
+        songs, artists = dims.make_songs(inputs.catalog), dims.make_artists_distinct(inputs.catalog)
     if dialect.scope == "in_fact":
         songs = dims.in_fact(songs, fact, ["song_id", "artist_id"])
         artists = dims.in_fact(artists, fact, ["artist_id"])
     if dialect.grain == "epoch":
-        times = dims.make_times_epoch(feeds.plays)
+        times = dims.make_times_epoch(inputs.plays)
     else:
-        times = dims.make_times(fact if dialect.times_from_fact else feeds.plays, dialect.weekday)
-    seen = profiles if profiles is not None else feeds.users_source(dialect)
+        times = dims.make_times(fact if dialect.times_from_fact else inputs.plays, dialect.weekday)
+    seen = profiles if profiles is not None else inputs.users_source(dialect)
     return {"users": dims.make_users(seen, dialect.users), "songs": songs, "artists": artists, "times": times}
 
 
@@ -173,9 +173,12 @@ def _run_id() -> str:
     return dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
 
 
-def _stage(spark: SparkSession, feed: DataFrame, path: str, max_corrupt: int | None) -> DataFrame:
-    """A raw feed as Parquet, once, in files of a sensible size."""
-    sinks.laid_out(feed).write.mode("overwrite").parquet(path)
+def _stage(
+    spark: SparkSession, feed: DataFrame, path: str, max_corrupt: int | None, compact: bool = False
+) -> DataFrame:
+    """A raw feed as Parquet, once. compact=True merges a feed of many small files by one shuffle."""
+    rows = sinks.laid_out(feed) if compact else feed
+    rows.write.mode("overwrite").parquet(path)
     good, corrupt = feeds.split_corrupt(spark.read.schema(feed.schema).parquet(path))
     if max_corrupt is not None:
         found = corrupt.count()
@@ -234,7 +237,7 @@ def run(
     log = feeds.read_log_data(spark, log_paths, recursive=recursive, keep_corrupt=True)
     songs = feeds.read_song_data(spark, song_paths, recursive=recursive, keep_corrupt=True)
     log = _stage(spark, log, f"{run_dir}/staging/log", max_corrupt)
-    songs = _stage(spark, songs, f"{run_dir}/staging/songs", max_corrupt)
+    songs = _stage(spark, songs, f"{run_dir}/staging/songs", max_corrupt, compact=True)
     inputs = Feeds.prepare(log, songs, dialect)
     paths = _build_and_check(spark, inputs, run_dir, dialect, checks)
     sinks.publish(spark, root, run_id, paths)
@@ -264,9 +267,9 @@ def load_period(
     staging = f"{root}/staging/log"
     period = run_date.strftime("%Y-%m")
     log = feeds.read_log_data(spark, period_path(log_template, run_date), recursive=recursive)
-    sinks.replace_partitions(log.withColumn("period", F.lit(period)), staging, ["period"])
+    log.write.mode("overwrite").parquet(f"{staging}/period={period}")
     songs = feeds.read_song_data(spark, song_paths, recursive=recursive, keep_corrupt=True)
-    songs = _stage(spark, songs, f"{run_dir}/staging/songs", None)
+    songs = _stage(spark, songs, f"{run_dir}/staging/songs", None, compact=True)
 
     staged = spark.read.schema(f"{schemas.LOG_FEED}, period STRING").parquet(staging)
     month = Feeds.prepare(staged.where(F.col("period") == period).drop("period"), songs, dialect)
@@ -289,8 +292,8 @@ def load_period(
 def _period_profiles(spark: SparkSession, log: DataFrame, root: str, period: str) -> DataFrame:
     """Replace the period's profile summary and return those of all periods."""
     path = f"{root}/staging/profiles"
-    summary = profile_summary(log, "user_id", dims.PROFILE, "ts").withColumn("period", F.lit(period))
-    sinks.replace_partitions(summary, path, ["period"])
+    summary = profile_summary(log, "user_id", dims.PROFILE, "ts")
+    summary.write.mode("overwrite").parquet(f"{path}/period={period}")
     schema = "user_id BIGINT, first_name STRING, last_name STRING, gender STRING, level STRING, ts BIGINT"
     return spark.read.schema(f"{schema}, period STRING").parquet(path).drop("period")
 

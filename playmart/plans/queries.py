@@ -22,7 +22,14 @@ from playmart.schemas import (
 )
 from playmart.sources.feeds import consolidate_events
 from playmart.sources.staging import extract_json_paths
-from playmart.sources.warehouse_tables import LOG_COLUMNS, WRITE_ORDER, event_millis, load, play_log, song_catalog
+from playmart.sources.warehouse_tables import (
+    LOG_COLUMNS,
+    WRITE_ORDER,
+    event_millis,
+    load,
+    play_log,
+    song_catalog,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -105,7 +112,8 @@ def songplays_inner2_distinct(spark: SparkSession, d: str) -> DataFrame:
 
 
 def songplays_left3(spark: SparkSession, d: str) -> DataFrame:
-    return facts.make_songplays(_plays(spark, d, *_MATCH3, *_FACT_FROM_LOG), song_catalog(spark, d), how="left")
+    plays = _plays(spark, d, *_MATCH3, *_FACT_FROM_LOG)
+    return facts.make_songplays(plays, song_catalog(spark, d), how="left")
 
 
 def songplays_right2(spark: SparkSession, d: str) -> DataFrame:
@@ -247,7 +255,8 @@ def empty_to_null(spark: SparkSession, d: str) -> DataFrame:
 
 
 def popular_artists(spark: SparkSession, d: str) -> DataFrame:
-    return reports.popular_artists(_lake_fact(spark, d, "artist_id"), dims.make_artists(song_catalog(spark, d)))
+    artists = dims.make_artists(song_catalog(spark, d))
+    return reports.popular_artists(_lake_fact(spark, d, "artist_id"), artists)
 
 
 def popular_songs(spark: SparkSession, d: str) -> DataFrame:
@@ -297,7 +306,8 @@ def users_with_changes(spark: SparkSession, d: str) -> DataFrame:
 
 def plays_with_profile(spark: SparkSession, d: str) -> DataFrame:
     plays = _plays(spark, d, "user_id", "ts", "session_id", "item_in_session", "song")
-    fact = plays.select(times.epoch_second("ts").alias("timestamp"), "user_id", "session_id", "item_in_session", "song")
+    second = times.epoch_second("ts").alias("timestamp")
+    fact = plays.select(second, "user_id", "session_id", "item_in_session", "song")
     return reports.plays_with_profile(fact, users_history(spark, d))
 
 
@@ -375,7 +385,8 @@ def dq_results(spark: SparkSession, d: str) -> DataFrame:
     """Named counts with the value each should have; some of them do not hold on this data."""
     total = F.coalesce(F.sum("row_count"), F.lit(0)).alias("violations")
     users = users_latest(spark, d)
-    plays = _plays(spark, d, "session_id", "item_in_session", *_MATCH3)
+    item = ["session_id", "item_in_session"]
+    plays = _plays(spark, d, *item, *_MATCH3)
     catalog = song_catalog(spark, d)
     unnamed = users.agg(F.count_if(F.col("first_name").isNull()).alias("violations"))
     orphans = quality.orphan_counts(plays, catalog, _MATCH3, facts.TITLE_ARTIST_DURATION).agg(total)
@@ -383,7 +394,7 @@ def dq_results(spark: SparkSession, d: str) -> DataFrame:
         [
             ("users without first name", unnamed, 0),
             ("users repeated", quality.duplicate_keys(users, ["user_id"]).agg(total), 0),
-            ("plays repeated", quality.duplicate_keys(plays, ["session_id", "item_in_session"]).agg(total), 0),
+            ("plays repeated", quality.duplicate_keys(plays, item).agg(total), 0),
             ("plays without song", orphans, 0),
         ]
     )
@@ -395,11 +406,13 @@ def dq_not_null(spark: SparkSession, d: str) -> DataFrame:
 
 
 def dq_pk_duplicates(spark: SparkSession, d: str) -> DataFrame:
-    return quality.duplicate_keys(_plays(spark, d, "session_id", "item_in_session"), ["session_id", "item_in_session"])
+    item = ["session_id", "item_in_session"]
+    return quality.duplicate_keys(_plays(spark, d, *item), item)
 
 
 def dq_fk_orphans(spark: SparkSession, d: str) -> DataFrame:
-    return quality.orphan_counts(_plays(spark, d, *_MATCH2), song_catalog(spark, d), _MATCH2, facts.TITLE_ARTIST)
+    plays = _plays(spark, d, *_MATCH2)
+    return quality.orphan_counts(plays, song_catalog(spark, d), _MATCH2, facts.TITLE_ARTIST)
 
 
 QUERIES: dict[str, Query] = {

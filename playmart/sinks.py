@@ -120,9 +120,8 @@ def create_tables(
     for table in load_order(list(tables)):
         parts = f" PARTITIONED BY ({', '.join(table.partition_by)})" if table.partition_by else ""
         place = f" LOCATION '{location}/{table.name}'" if location else ""
-        spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {database}.{table.name} ({table.columns}) USING parquet{parts}{place}"
-        )
+        name = f"{database}.{table.name}"
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({table.columns}) USING parquet{parts}{place}")
 
 
 def drop_tables(spark: SparkSession, tables: Sequence[Table], database: str = "default") -> None:

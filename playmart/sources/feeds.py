@@ -8,7 +8,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from playmart import schemas
@@ -18,18 +18,36 @@ CORRUPT = "_corrupt_record"
 Paths = str | Sequence[str]
 
 
-def _path_list(paths: Paths) -> list[str]:
+def path_list(paths: Paths) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
+def json_reader(spark: SparkSession, recursive: bool = False) -> DataFrameReader:
+    """A reader that, if asked to, looks for *.json files at any depth below its paths."""
+    if not recursive:
+        return spark.read
+    return spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json")
+
+
 def _json(spark: SparkSession, paths: Paths, schema: str, recursive: bool, keep_corrupt: bool) -> DataFrame:
-    reader = spark.read
+    reader = json_reader(spark, recursive)
     if keep_corrupt:
         schema = f"{schema}, {CORRUPT} STRING"
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-    if recursive:
-        reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json")
-    return reader.schema(schema).json(_path_list(paths))
+    return reader.schema(schema).json(path_list(paths))
+
+
+def _csv(spark: SparkSession, paths: Paths, schema: str) -> DataFrame:
+    """Headered CSV as text columns. A file whose header differs in order or name is an error."""
+    reader = spark.read.option("header", "true").option("enforceSchema", "false").option("escape", '"')
+    return reader.schema(schema).csv(path_list(paths))
+
+
+def _typed_csv_column(name: str) -> Column:
+    kind = schemas.EVENT_CSV_TYPES.get(name)
+    if kind is None:
+        return F.col(name)
+    return to_bigint(F.col(name)) if kind == "BIGINT" else F.col(name).try_cast(kind)
 
 
 def read_song_data(
@@ -46,19 +64,9 @@ def read_log_data(
 
 
 def read_event_csv(spark: SparkSession, paths: Paths) -> DataFrame:
-    """Headered event CSVs with typed columns. A file whose header differs in order or name is an error."""
-    text = (
-        spark.read.option("header", "true")
-        .option("enforceSchema", "false")
-        .option("escape", '"')
-        .schema(schemas.EVENT_CSV_FEED)
-        .csv(_path_list(paths))
-    )
-    typed = {
-        name: to_bigint(F.col(name)) if kind == "BIGINT" else F.col(name).try_cast(kind)
-        for name, kind in schemas.EVENT_CSV_TYPES.items()
-    }
-    return text.withColumns(typed)
+    """Headered event CSVs with typed columns."""
+    text = _csv(spark, paths, schemas.EVENT_CSV_FEED)
+    return text.select(*[_typed_csv_column(c).alias(c) for c in text.columns])
 
 
 def consolidate_events(events: DataFrame) -> DataFrame:
@@ -68,24 +76,8 @@ def consolidate_events(events: DataFrame) -> DataFrame:
 
 def read_consolidated_csv(spark: SparkSession, paths: Paths) -> DataFrame:
     """The consolidated CSV back with typed columns and lower-case names."""
-    schema = ", ".join(f"{c} STRING" for c in schemas.CONSOLIDATED_COLUMNS)
-    text = (
-        spark.read.option("header", "true")
-        .option("enforceSchema", "false")
-        .option("escape", '"')
-        .schema(schema)
-        .csv(_path_list(paths))
-    )
-    columns = []
-    for name in schemas.CONSOLIDATED_COLUMNS:
-        kind = schemas.EVENT_CSV_TYPES.get(name)
-        value = F.col(name)
-        if kind == "BIGINT":
-            value = to_bigint(value)
-        elif kind:
-            value = value.try_cast(kind)
-        columns.append(value.alias(name.lower()))
-    return text.select(*columns)
+    text = _csv(spark, paths, ", ".join(f"{c} STRING" for c in schemas.CONSOLIDATED_COLUMNS))
+    return text.select(*[_typed_csv_column(c).alias(c.lower()) for c in text.columns])
 
 
 def list_files(spark: SparkSession, root: Paths, pattern: str = "*.json") -> DataFrame:
@@ -94,7 +86,7 @@ def list_files(spark: SparkSession, root: Paths, pattern: str = "*.json") -> Dat
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", pattern)
-        .load(_path_list(root))
+        .load(path_list(root))
         .select("path", "length")
     )
 

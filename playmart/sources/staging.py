@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DecimalType, IntegralType, StringType
 
 from playmart.schemas import Table
-from playmart.sources.feeds import Paths, _path_list
+from playmart.sources.feeds import Paths, json_reader, path_list
 
 _TOP_LEVEL = re.compile(r"^\$(?:\.(\w+)|\['([^'\]]+)'\])$")
 
@@ -37,10 +37,7 @@ def _value_of(entries: str, lower_name: str) -> Column:
 
 
 def _read_lines(spark: SparkSession, paths: Paths, recursive: bool) -> DataFrame:
-    reader = spark.read
-    if recursive:
-        reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json")
-    return reader.text(_path_list(paths)).where(F.trim("value") != "")
+    return json_reader(spark, recursive).text(path_list(paths)).where(F.trim("value") != "")
 
 
 def stage_by_name(
@@ -49,11 +46,8 @@ def stage_by_name(
     """Match JSON fields to staging columns by exact name, or by name without regard to case."""
     schema = table.schema
     if not ignore_case:
-        reader = spark.read
-        if recursive:
-            reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json")
         strings = ", ".join(f"`{n}` STRING" for n in schema.fieldNames())
-        raw = reader.schema(strings).json(_path_list(paths))
+        raw = json_reader(spark, recursive).schema(strings).json(path_list(paths))
         return raw.select(*[_typed(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields])
 
     entries = F.map_entries(F.from_json("value", "MAP<STRING, STRING>"))

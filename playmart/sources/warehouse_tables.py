@@ -86,9 +86,10 @@ def play_log(
     """The app log, cut to the wanted columns.
 
     plays_only=True puts the page filter in terms of the stored column, where the Parquet reader can use
-    it; the page conditions in the columns then fold away. Every look-up is a left join on a unique key and so never changes the row count: a look-up none of
-    whose columns are wanted is left out, which saves its shuffle. Order attributes are collected on the
-    smaller orders side before the line items are shuffled.
+    it; the page conditions in the columns then fold away. Every look-up is a left join on a unique key
+    and so never changes the row count: a look-up none of whose columns are wanted is left out, which
+    saves its shuffle. Order attributes are collected on the smaller orders side before the line items
+    are shuffled.
     """
     configure(spark)
     wanted = list(columns) if columns is not None else LOG_COLUMNS
