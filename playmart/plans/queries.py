@@ -34,8 +34,8 @@ from playmart.sources.warehouse_tables import (
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Keys the look-ups ask for.
-LOOKUP_SESSION = 4
-LOOKUP_ITEM = 4
+LOOKUP_SESSION = 102
+LOOKUP_ITEM = 6
 LOOKUP_SONG = "hot bolt"
 
 # Rows from this day on arrive as the second batch of a repeated load.

@@ -61,7 +61,7 @@ def test_only_used_columns_are_read(spark):
 
 
 def test_key_look_up_reaches_the_reader(spark):
-    assert "EqualTo(l_orderkey,4)" in plan(spark, "lookup_session_item")
+    assert "EqualTo(l_orderkey,102)" in plan(spark, "lookup_session_item")
 
 
 def test_latest_profiles_read_the_log_once(spark):
