@@ -102,12 +102,27 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", "true").option("escape", '"').csv(path)
 
 
-def save_bucketed(df: DataFrame, name: str, buckets: int, key: str, sort_by: Sequence[str] = ()) -> None:
-    """Catalog table bucketed by a key: two tables with equal buckets join on it without a shuffle."""
+# Largest share of the rows one key may have in a bucketed table.
+MAX_BUCKET_KEY_SHARE = 0.05
+
+
+def save_bucketed(df: DataFrame, name: str, buckets: int, key: str, sort_by: Sequence[str] = ()) -> bool:
+    """Catalog table bucketed by a key: two tables with equal buckets join on it without a shuffle.
+
+    A bucket is read by one task and cannot be split, so the share of the most frequent key is measured
+    first. If it is too large the table is saved without buckets, where a join shuffles and a hot key is
+    split, and False is returned.
+    """
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    top, total = per_key.agg(F.max("n"), F.sum("n")).first()
+    if total and top > max(total * MAX_BUCKET_KEY_SHARE, 1):
+        laid_out(df, (), sort_by).write.mode("overwrite").format("parquet").saveAsTable(name)
+        return False
     writer = df.repartition(buckets, key).write.mode("overwrite").format("parquet").bucketBy(buckets, key)
     if sort_by:
         writer = writer.sortBy(*sort_by)
     writer.saveAsTable(name)
+    return True
 
 
 # Catalog tables -------------------------------------------------------------------------------------

@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 
 from playmart import schemas, sinks
+from playmart.__main__ import main
 from playmart.operators import quality
 from playmart.plans import etl
 from tests.feeds import PLAYS, T0, play, write_feeds, write_lines
@@ -97,6 +98,15 @@ def test_monthly_loads_can_be_repeated(spark, tmp_path, name):
     assert sinks.read_table(spark, current["songplays"], schemas.SONGPLAYS).count() == both["songplays"]
 
 
+def test_command_line(spark, roots, tmp_path):
+    logs, songs = roots
+    common = ["--songs", songs, "--root", str(tmp_path)]
+    loaded = main(["load", "--logs", logs, "--recursive", "--style", "lake", *common])
+    assert spark.read.parquet(loaded["songplays"]).count() == EXPECTED["lake"][0]
+    monthly = main(["month", "--logs", logs + "/{year}/{month}", "--date", "2018-11-01", *common])
+    assert spark.read.parquet(monthly["songplays"]).count() == EXPECTED["scheduled"][0]
+
+
 def test_empty_strings_become_null_only_where_asked(spark, roots, tmp_path):
     history = _tables(spark, _load(spark, roots, tmp_path / "h", etl.HISTORY), etl.HISTORY)
     lake = _tables(spark, _load(spark, roots, tmp_path / "l", etl.LAKE), etl.LAKE)

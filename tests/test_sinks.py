@@ -97,8 +97,8 @@ def test_create_and_drop_tables(spark, tmp_path):
 def test_bucketed_tables_join_without_a_shuffle(spark):
     users = spark.range(1000).selectExpr("id AS user_id", "'x' AS level")
     plays = spark.range(5000).selectExpr("id % 1000 AS user_id", "id AS play")
-    sinks.save_bucketed(users, "b_users", 4, "user_id", ["user_id"])
-    sinks.save_bucketed(plays, "b_plays", 4, "user_id", ["user_id"])
+    assert sinks.save_bucketed(users, "b_users", 4, "user_id", ["user_id"])
+    assert sinks.save_bucketed(plays, "b_plays", 4, "user_id", ["user_id"])
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -111,6 +111,13 @@ def test_bucketed_tables_join_without_a_shuffle(spark):
         spark.sql("DROP TABLE b_plays")
 
 
+def test_a_hot_key_is_not_bucketed(spark):
+    hot = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS user_id")
+    assert not sinks.save_bucketed(hot, "b_hot", 4, "user_id", ["user_id"])
+    assert spark.table("b_hot").count() == 3000
+    spark.sql("DROP TABLE b_hot")
+
+
 def test_publication_switches_all_tables_at_once(spark, tmp_path):
     root = str(tmp_path)
     assert sinks.current_paths(spark, root) == {}
