@@ -55,7 +55,7 @@ def clean_log(log: DataFrame, grain: str = "second") -> DataFrame:
 
 
 def _whole(column: Column) -> Column:
-    return column.cast("decimal(18,0)")
+    return column.try_cast("decimal(18,0)")
 
 
 def match_songs(

@@ -31,7 +31,7 @@ class Dialect:
     name: str
     keys: tuple[str, ...] = facts.TITLE_ARTIST_DURATION
     how: str = "inner"  # "left" keeps plays without a song
-    rounded: bool = False  # compare durations as whole numbers
+    rounded: bool = False  # hold durations and coordinates as whole numbers
     distinct: bool = False  # drop repeated fact rows
     location_from: str = "user"  # or "artist"
     scope: str = "played"  # songs and artists: "played", "in_fact" or "all"
@@ -98,6 +98,11 @@ DIALECTS = {d.name: d for d in (LAKE, WAREHOUSE, HISTORY, SCHEDULED)}
 PLAY_IDENTITY = ["session_id", "item_in_session", "ts", "user_id", "song", "artist", "length"]
 
 
+def _to_whole(df: DataFrame, *columns: str) -> DataFrame:
+    """Numbers rounded half up to whole ones, as a numeric(18,0) column holds them."""
+    return df.withColumns({c: F.col(c).try_cast("decimal(18,0)").cast("double") for c in columns})
+
+
 @dataclass(frozen=True)
 class Feeds:
     """Prepared inputs of one load."""
@@ -110,6 +115,9 @@ class Feeds:
     def prepare(cls, log: DataFrame, catalog: DataFrame, dialect: Dialect) -> "Feeds":
         if dialect.empty_as_null:
             log, catalog = empty_to_null(log), empty_to_null(catalog)
+        if dialect.rounded:
+            log = _to_whole(log, "length")
+            catalog = _to_whole(catalog, "duration", "artist_latitude", "artist_longitude")
         plays = facts.clean_log(log, "milli" if dialect.grain == "milli" else "second")
         if dialect.scope == "played":
             catalog = dims.played_songs(catalog, plays, dialect.keys)
@@ -135,7 +143,6 @@ def build_fact(inputs: Feeds, dialect: Dialect) -> DataFrame:
         catalog,
         keys=dialect.keys,
         how=dialect.how,
-        rounded=dialect.rounded,
         distinct=dialect.distinct,
         location_from=dialect.location_from,
         extra=extra,

@@ -40,6 +40,8 @@ def test_whole_load(spark, roots, tmp_path, name):
     counts = tuple(tables[t].count() for t in ("songplays", "users", "songs", "artists", "times"))
     assert counts == EXPECTED[name]
     assert sinks.current_paths(spark, str(tmp_path)) == paths
+    durations = {r.duration for r in tables["songs"].collect()}
+    assert (durations <= {100.0, 180.0, 200.0, 240.0}) == dialect.rounded
     fact = tables["songplays"]
     assert fact.select("songplay_id").distinct().count() == fact.count()
 
