@@ -5,6 +5,8 @@ import re
 import pytest
 
 import __spark_entry__ as spark_entry
+from playmart import sinks
+from playmart.operators import facts
 from playmart.sources import warehouse_tables
 from tests.conftest import TESTDATA
 
@@ -75,3 +77,51 @@ def test_counts_come_before_dimension_joins(spark):
     """The fact is aggregated below the join with the artists it is reported with."""
     text = plan(spark, "popular_artists")
     assert text.index("TakeOrderedAndProject") < text.index("Join") < text.index("partial_count(1)")
+
+
+@pytest.fixture
+def small_limits(spark):
+    """Limits at which a few thousand rows behave like a large table."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name in settings:
+        spark.conf.unset(name)
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_hot_song_is_split(spark, small_limits, how):
+    """A third of all plays is one song: its partition is read by several tasks."""
+    plays = spark.range(0, 60_000, 1, 8).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hit' ELSE concat('song ', id % 500) END AS song", "'a' AS artist",
+        "1.0D AS length", "id AS session_id", "cast(hash(id) AS string) AS user_agent", "id AS ts",
+        "id AS user_id", "'free' AS level", "'x' AS location",
+    )
+    songs = spark.range(500).selectExpr(
+        "CASE WHEN id = 0 THEN 'hit' ELSE concat('song ', id) END AS title", "'a' AS artist_name",
+        "1.0D AS duration", "concat('S', id) AS song_id", "'A1' AS artist_id", "'y' AS artist_location",
+    )
+    fact = facts.make_songplays(plays, songs, how=how, columns=["song_id", "session_id", "user_agent", "ts"])
+    rows = fact.collect()
+    plan_text = fact._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin(skew=true)" in plan_text
+    assert sum(r.song_id == "S0" for r in rows) == 20_000
+    unmatched = spark.range(60_000).where("id % 3 <> 0 AND id % 500 = 0").count()
+    assert len(rows) == 60_000 - (unmatched if how == "inner" else 0)
+
+
+def test_hot_month_becomes_several_files(spark, small_limits, tmp_path):
+    rows = spark.range(0, 100_000, 1, 8).selectExpr(
+        "id AS v", "CASE WHEN id % 10 = 0 THEN 10 ELSE 11 END AS month", "cast(hash(id) AS string) AS t"
+    )
+    sinks.replace_partitions(rows, str(tmp_path / "t"), ["month"], ["v"])
+    files = list((tmp_path / "t" / "month=11").glob("*.parquet"))
+    assert len(files) > 2
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 100_000
