@@ -1,7 +1,8 @@
 """Usage reports over the star schema.
 
 The fact is counted per foreign key before any dimension is joined. A hot artist, song or second is
-therefore one row per map task in the shuffle, and the joins run on counts, not on plays.
+therefore one row per map task in the shuffle, and the joins run on counts, not on plays. Where a report
+takes `weight`, the fact may be counted already: the named column then holds the number of plays of a row.
 """
 
 from __future__ import annotations
@@ -15,21 +16,26 @@ from playmart.functions.text import device_token
 from playmart.functions.times import weekday_name
 
 
-def _plays_per(fact: DataFrame, *keys: str) -> DataFrame:
-    return fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_plays"))
+def _plays_per(fact: DataFrame, *keys: str, weight: str | None = None) -> DataFrame:
+    total = F.sum(weight) if weight else F.count(F.lit(1))
+    return fact.groupBy(*keys).agg(total.alias("_plays"))
 
 
-def popular_artists(fact: DataFrame, artists: DataFrame, n: int = 10) -> DataFrame:
+def popular_artists(
+    fact: DataFrame, artists: DataFrame, n: int = 10, weight: str | None = None
+) -> DataFrame:
     """Top n artists by plays; ties by artist id."""
-    plays = _plays_per(fact.where("artist_id IS NOT NULL"), "artist_id")
+    plays = _plays_per(fact.where("artist_id IS NOT NULL"), "artist_id", weight=weight)
     named = plays.join(artists.select("artist_id", F.col("name").alias("artist_name")), "artist_id")
     total = named.groupBy("artist_id", "artist_name").agg(F.sum("_plays").alias("requests_count"))
     return total.orderBy(F.desc("requests_count"), "artist_id", "artist_name").limit(n)
 
 
-def popular_songs(fact: DataFrame, songs: DataFrame, artists: DataFrame, n: int = 10) -> DataFrame:
+def popular_songs(
+    fact: DataFrame, songs: DataFrame, artists: DataFrame, n: int = 10, weight: str | None = None
+) -> DataFrame:
     """Top n songs by plays, with title and artist name; ties by song id."""
-    plays = _plays_per(fact.where("song_id IS NOT NULL"), "song_id")
+    plays = _plays_per(fact.where("song_id IS NOT NULL"), "song_id", weight=weight)
     named = plays.join(songs.select("song_id", F.col("title").alias("song_title"), "artist_id"), "song_id")
     named = named.join(artists.select("artist_id", F.col("name").alias("artist_name")), "artist_id")
     total = named.groupBy("song_id", "song_title", "artist_name").agg(F.sum("_plays").alias("requests_count"))
@@ -55,13 +61,16 @@ def top_locations(fact: DataFrame, n: int = 3) -> DataFrame:
     return plays_by_location(fact).limit(n)
 
 
-def plays_by_user_agent(fact: DataFrame) -> DataFrame:
-    return fact.groupBy("user_agent").agg(F.count("user_agent").alias("used_count"))
+def plays_by_user_agent(fact: DataFrame, weight: str | None = None) -> DataFrame:
+    """Plays per raw user agent; plays without one count 0."""
+    known = F.col("user_agent").isNotNull()
+    total = F.sum(F.when(known, F.col(weight)).otherwise(0)) if weight else F.count("user_agent")
+    return fact.groupBy("user_agent").agg(total.alias("used_count"))
 
 
-def plays_by_device(fact: DataFrame) -> DataFrame:
+def plays_by_device(fact: DataFrame, weight: str | None = None) -> DataFrame:
     """Plays per device, from the counts per user agent."""
-    agents = plays_by_user_agent(fact).withColumn("device", device_token("user_agent"))
+    agents = plays_by_user_agent(fact, weight).withColumn("device", device_token("user_agent"))
     return agents.groupBy("device").agg(F.sum("used_count").alias("used_count"))
 
 

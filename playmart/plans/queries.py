@@ -78,6 +78,13 @@ def _lake_fact(spark: SparkSession, d: str, *columns: str) -> DataFrame:
     return facts.make_songplays(plays, _unique_catalog(spark, d), columns=columns)
 
 
+def _lake_counts(spark: SparkSession, d: str, column: str) -> DataFrame:
+    """The 3-key fact counted by one column."""
+    from_log = [c for c in (column,) if c not in ("song_id", "artist_id")]
+    plays = _plays(spark, d, *_MATCH3, *from_log)
+    return facts.count_songplays(plays, _unique_catalog(spark, d), [column])
+
+
 def _artist_place_fact(spark: SparkSession, d: str, *columns: str) -> DataFrame:
     """The distinct 2-key fact that carries the artist's location, whole or cut to some columns."""
     columns = columns or tuple(facts.FACT_COLUMNS)
@@ -256,13 +263,13 @@ def empty_to_null(spark: SparkSession, d: str) -> DataFrame:
 
 def popular_artists(spark: SparkSession, d: str) -> DataFrame:
     artists = dims.make_artists(song_catalog(spark, d))
-    return reports.popular_artists(_lake_fact(spark, d, "artist_id"), artists)
+    return reports.popular_artists(_lake_counts(spark, d, "artist_id"), artists, weight="plays")
 
 
 def popular_songs(spark: SparkSession, d: str) -> DataFrame:
     catalog = song_catalog(spark, d)
     songs, artists = dims.make_songs_unique(catalog), dims.make_artists(catalog)
-    return reports.popular_songs(_lake_fact(spark, d, "song_id"), songs, artists)
+    return reports.popular_songs(_lake_counts(spark, d, "song_id"), songs, artists, weight="plays")
 
 
 def location_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -278,11 +285,11 @@ def top3_locations(spark: SparkSession, d: str) -> DataFrame:
 
 
 def plays_by_user_agent(spark: SparkSession, d: str) -> DataFrame:
-    return reports.plays_by_user_agent(_lake_fact(spark, d, "user_agent"))
+    return reports.plays_by_user_agent(_lake_counts(spark, d, "user_agent"), "plays")
 
 
 def plays_by_device(spark: SparkSession, d: str) -> DataFrame:
-    return reports.plays_by_device(_lake_fact(spark, d, "user_agent"))
+    return reports.plays_by_device(_lake_counts(spark, d, "user_agent"), "plays")
 
 
 def plays_by_hour(spark: SparkSession, d: str) -> DataFrame:

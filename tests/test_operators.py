@@ -253,6 +253,25 @@ def test_reports(spark, plays, catalog):
     assert rows(reports.row_counts({"a": fact, "b": artists})) == [("a", 5), ("b", 3)]
 
 
+def test_reports_on_counted_facts(spark, plays, catalog):
+    doubled = plays.unionByName(plays).unionByName(plays.withColumn("user_agent", F.lit(None).cast("string")))
+    artists, songs = dims.make_artists(catalog), dims.make_songs_unique(catalog)
+    for how in ("inner", "left"):
+        fact = facts.make_songplays(doubled, catalog, how=how)
+
+        def counted(column):
+            return facts.count_songplays(doubled, catalog, [column], how=how)
+
+        assert rows(reports.popular_artists(fact, artists)) == rows(
+            reports.popular_artists(counted("artist_id"), artists, weight="plays")
+        )
+        assert rows(reports.popular_songs(fact, songs, artists)) == rows(
+            reports.popular_songs(counted("song_id"), songs, artists, weight="plays")
+        )
+        for report in (reports.plays_by_user_agent, reports.plays_by_device):
+            assert rows(report(fact)) == rows(report(counted("user_agent"), "plays"))
+
+
 # serving
 
 
