@@ -155,9 +155,9 @@ _QUERIES: dict[str, str] = {
     "users_latest_max_window": """SELECT DISTINCT user_id, first_name, last_name, gender, level FROM (
     SELECT *, max(ts) OVER (PARTITION BY user_id) AS max_ts FROM plays
   ) WHERE ts = max_ts AND user_id IS NOT NULL""",
-    "users_max_join": """SELECT DISTINCT l.user_id, l.first_name, l.last_name, l.gender, l.level FROM play_log l
-  JOIN (SELECT user_id, max(ts) AS ts FROM play_log GROUP BY user_id) m
-  ON l.user_id = m.user_id AND l.ts = m.ts""",
+    "users_max_join": """SELECT DISTINCT user_id, first_name, last_name, gender, level FROM (
+    SELECT *, rank() OVER (PARTITION BY user_id ORDER BY ts DESC) AS recency FROM play_log WHERE user_id IS NOT NULL
+  ) WHERE recency = 1""",
     "users_distinct": """SELECT DISTINCT user_id, first_name, last_name, gender, level FROM plays
   WHERE user_id IS NOT NULL""",
     "users_history": _HISTORY,
@@ -180,13 +180,12 @@ _QUERIES: dict[str, str] = {
     "stage_jsonpaths": "SELECT event_id, CAST(props::JSON->>'$.k' AS BIGINT) AS k FROM events",
     "empty_to_null": "SELECT song_id, nullif(artist_location, '') AS artist_location FROM song_catalog",
     # Reports
-    "popular_artists": """SELECT f.artist_id, a.name AS artist_name, count(f.artist_id) AS requests_count
-  FROM artists_first a JOIN lake_fact f ON a.artist_id = f.artist_id
-  GROUP BY f.artist_id, a.name ORDER BY requests_count DESC, f.artist_id LIMIT 10""",
-    "popular_songs": """SELECT f.song_id, s.title AS song_title, a.name AS artist_name,
-  count(f.song_id) AS requests_count
-  FROM song_catalog s JOIN lake_fact f ON s.song_id = f.song_id JOIN artists_first a ON a.artist_id = s.artist_id
-  GROUP BY f.song_id, s.title, a.name ORDER BY requests_count DESC, f.song_id LIMIT 10""",
+    "popular_artists": """SELECT artist_id, name AS artist_name, requests_count
+  FROM (SELECT artist_id, count(*) AS requests_count FROM lake_fact GROUP BY artist_id)
+  JOIN artists_first USING (artist_id) ORDER BY requests_count DESC, artist_id LIMIT 10""",
+    "popular_songs": """SELECT song_id, title AS song_title, artist_name, requests_count
+  FROM (SELECT song_id, count(*) AS requests_count FROM lake_fact GROUP BY song_id)
+  JOIN song_artist USING (song_id) ORDER BY requests_count DESC, song_id LIMIT 10""",
     "location_counts": """SELECT count(location) AS location_count,
   count(DISTINCT location) AS distinct_location_count FROM place_fact""",
     "plays_by_location": """SELECT location, count(location) AS count FROM place_fact GROUP BY location""",
@@ -201,9 +200,9 @@ _QUERIES: dict[str, str] = {
   dayname(start_time) AS weekday_name FROM event_plays GROUP BY 1, 3""",
     "duplicate_times": """SELECT strftime(played_at, '%H:%M:%S.%g') AS start_time, count(*) AS count
   FROM (SELECT min(start_milli) AS played_at FROM plays GROUP BY ts // 1000) GROUP BY 1 HAVING count(*) > 1""",
-    "users_with_changes": """SELECT user_id FROM play_log WHERE user_id IS NOT NULL GROUP BY user_id
-  HAVING count(DISTINCT first_name) > 1 OR count(DISTINCT last_name) > 1 OR count(DISTINCT level) > 1
-    OR count(DISTINCT gender) > 1""",
+    "users_with_changes": """SELECT user_id FROM (
+    SELECT DISTINCT user_id, first_name, last_name, gender, level FROM play_log WHERE user_id IS NOT NULL
+  ) GROUP BY user_id HAVING count(*) > 1""",
     "plays_with_profile": f"""SELECT p.ts // 1000 AS timestamp, p.user_id, p.session_id, p.item_in_session, p.song,
   h.first_name, h.last_name, h.gender
   FROM plays p JOIN ({_HISTORY}) h ON h.timestamp = p.ts // 1000 AND h.user_id = p.user_id""",
