@@ -150,8 +150,9 @@ def build_fact(inputs: Feeds, dialect: Dialect) -> DataFrame:
     fact = facts.with_calendar(facts.with_stable_key(fact, *natural))
     if dialect.grain == "epoch":
         fact = fact.withColumn("timestamp", epoch_second("ts"))
-    columns = dialect.tables[0].column_names
-    return first_per_key(fact.select(*columns), ["songplay_id"], [])
+    fact = fact.select(*dialect.tables[0].column_names)
+    # Distinct rows whose key is made of all their columns are unique already.
+    return fact if dialect.distinct else first_per_key(fact, ["songplay_id"], [])
 
 
 def build_dims(
@@ -307,5 +308,8 @@ def _period_profiles(spark: SparkSession, log: DataFrame, root: str, period: str
 
 def _touched(fact: DataFrame) -> str:
     """Condition for the (year, month) partitions a load writes to; one row per month is fetched."""
-    months = fact.select("year", "month").distinct().collect()
-    return " OR ".join(f"(year = {m.year} AND month = {m.month})" for m in months) or "false"
+    months = fact.select("year", "month").distinct()
+    same = F.format_string("(year <=> %s AND month <=> %s)", *[
+        F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in ("year", "month")
+    ])
+    return " OR ".join(row[0] for row in months.select(same).collect()) or "false"

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -132,6 +133,38 @@ def test_hot_key_gives_the_same_result(spark):
     assert rows(got) == rows(want)
 
 
+def test_one_row_per_key_against_brute_force(spark):
+    rng = random.Random(7)
+    values = [None, "a", "b", "c"]
+    table = [(rng.randrange(40), rng.choice([None, 1, 2, 3]), rng.choice(values), i % 2) for i in range(2000)]
+    df = spark.createDataFrame(table, "k INT, o INT, v STRING, late INT").repartition(5)
+
+    def rank(row):  # NULL lowest, then by order and by the remaining column
+        return row[1] is not None, row[1] or 0, row[2] is not None, row[2] or ""
+
+    def brute(rows_in, pick):
+        groups = {}
+        for row in rows_in:
+            groups.setdefault(row[0], []).append(row[:3])
+        return {k: pick(g, key=rank) for k, g in groups.items()}
+
+    def got(frame):
+        found = {r.k: (r.k, r.o, r.v) for r in frame.collect()}
+        assert len(found) == frame.count()
+        return found
+
+    early, late = [r for r in table if not r[3]], [r for r in table if r[3] and r[0] % 3]
+    before = df.where("late = 0 AND k % 2 = 0").drop("late")
+    after = df.where("late = 1 AND k % 3 <> 0").drop("late")
+    assert got(dedupe.first_per_key(df.drop("late"), ["k"], ["o"])) == brute(table, min)
+    assert got(dedupe.last_per_key(df.drop("late"), ["k"], ["o"])) == brute(table, max)
+    held = brute([r for r in early if r[0] % 2 == 0], min)
+    target = dedupe.first_per_key(before, ["k"], ["o"])
+    new = {k: r for k, r in brute(late, min).items() if k not in held}
+    assert got(dedupe.insert_if_absent(after, target, ["k"], ["o"])) == new
+    assert got(dedupe.upsert(target, after, ["k"], ["o"])) == held | brute(late, max)
+
+
 # facts
 
 
