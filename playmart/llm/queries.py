@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playmart.llm import chat, language_id, licenses, packing, quality, token_counts
+from playmart.llm import (
+    chat, decontaminate, language_id, licenses, line_dedup, packing, quality, simhash, token_counts,
+)
 from playmart.llm.common import table
 
 TOKEN_LIMIT = 512
@@ -23,6 +25,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("doc_id", _held_out().alias("held_out"), "lang_pred", "score", "accepted")
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
 
@@ -32,6 +38,18 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contaminated documents with the items found in them."""
+    documents, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.contaminated_pairs(documents, benchmark).drop("doc_key")
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.delete_repeated_runs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kept = F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    return out.select("doc_id", F.col("_lines").alias("n_lines"), F.col("_deleted").alias("n_deleted"), kept)
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -65,8 +83,8 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_language_id, op3_license_scan, op4_token_counts, op8_quality_rules, op9_chat_formatting,
-        op10_best_fit_packing,
+        op1_language_id, op2_simhash, op3_license_scan, op4_token_counts, op5_decontamination, op6_line_dedup,
+        op8_quality_rules, op9_chat_formatting, op10_best_fit_packing,
     )
 }
 
