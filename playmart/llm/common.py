@@ -142,14 +142,19 @@ def group_bounds(rows: pa.Table, keys: list[str]) -> np.ndarray:
 # Saved tables ----------------------------------------------------------------------------------------
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors and the driver share, set as the checkpoint folder."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-")
+        context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
 def saved(df: DataFrame) -> DataFrame:
     """The rows written to the shared checkpoint folder and read from there, which cuts the lineage.
 
     The folder is the session's spark.checkpoint.dir; a folder of its own is only made where that is unset.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-")
-        context.setCheckpointDir(folder)
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)

@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from playmart.llm.common import SPACES, U64, byte_set, doc_texts, mix, prefix_hash, range_hash, saved, spans, utf8
 
@@ -34,7 +35,7 @@ SYMBOLS = byte_set(*b"[#*$%&|<>]"[1:-1])
 _LEAD = ~byte_set(range(0x80, 0xC0))  # bytes that begin a code point
 
 FEATURES = (
-    "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
+    "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
     "n_repeat_words bigint, score double"
 )
 
@@ -126,21 +127,24 @@ def log_ratio(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     return np.log(share[0]) - np.log(share[1])
 
 
-def features(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
-    """Base counts and the length-normalised ratio of every document."""
+def features(docs: DataFrame, ratio: np.ndarray, name: str = "quality") -> DataFrame:
+    """docs with a struct of base counts and the length-normalised ratio of every document."""
+    columns, at = docs.columns, docs.columns.index("text")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, scores = [], []
-            for text in utf8(batch.column(1)):
-                rows.append(base_counts(text))
-                found = gram_buckets(np.frombuffer(text, np.uint8))
+            for text in utf8(batch.column(at)):
+                rows.append(base_counts(text or b""))
+                found = gram_buckets(np.frombuffer(text or b"", np.uint8))
                 scores.append(float(ratio[found].mean()) if len(found) else 0.0)
             counts = np.array(rows, np.int64).reshape(-1, 5)
-            columns = [batch.column(0), *(pa.array(counts[:, k]) for k in range(5)), pa.array(scores, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in FEATURES.split(", ")])
+            fields = [*(pa.array(counts[:, k]) for k in range(5)), pa.array(scores, pa.float64())]
+            struct = pa.StructArray.from_arrays(fields, [f.split()[0] for f in FEATURES.split(", ")])
+            yield pa.RecordBatch.from_arrays([*batch.columns, struct], [*columns, name])
 
-    return doc_texts(docs).mapInArrow(score, FEATURES)
+    added = StructField(name, StructType.fromDDL(FEATURES))
+    return docs.mapInArrow(score, StructType([*docs.schema.fields, added]))
 
 
 def _base_failed() -> F.Column:
@@ -178,8 +182,29 @@ def threshold(scored: DataFrame, labels: DataFrame) -> float:
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """FEATURES of every document, base_failed and kept."""
-    scored = saved(features(docs, log_ratio(docs, labels)))
+    """doc_id, FEATURES, base_failed and kept of every document."""
+    texts = docs.select(F.col("doc_id").cast("bigint"), "text")
+    scored = saved(features(texts, log_ratio(docs, labels)).select("doc_id", "quality.*"))
     cut = threshold(scored, labels)
     kept = ~F.col("base_failed") & (F.col("score") >= F.lit(cut))
     return scored.withColumn("base_failed", _base_failed()).withColumn("kept", kept)
+
+
+def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents that quality_rules keeps, with the columns of docs.
+
+    Only the scores of labelled documents are needed for the threshold; every document is then judged where
+    it is read, so no text is shuffled.
+    """
+    name = "_quality"
+    while name in docs.columns:
+        name += "_"
+    ratio = log_ratio(docs, labels)
+    known = features(docs.select(F.col("doc_id").cast("bigint"), "text"), ratio).select("doc_id", "quality.*")
+    cut = threshold(known, labels)
+    judged = features(docs, ratio, name)
+    inner = {f.split()[0]: F.col(f"{name}.{f.split()[0]}") for f in FEATURES.split(", ")}
+    failed = (inner["n_words"] < MIN_WORDS) | (
+        100 * inner["n_repeat_words"] > MAX_REPEAT_PERCENT * inner["n_words"]
+    )
+    return judged.where(~failed & (inner["score"] >= F.lit(cut))).select(*docs.columns)

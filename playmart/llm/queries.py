@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playmart.llm import (
-    chat, decontaminate, language_id, licenses, line_dedup, packing, quality, simhash, token_counts,
+    chat, decontaminate, language_id, licenses, line_dedup, packing, quality, simhash,
+    substring_dedup, token_counts,
 )
 from playmart.llm.common import table
 
@@ -50,6 +51,11 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("_lines").alias("n_lines"), F.col("_deleted").alias("n_deleted"), kept)
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.remove_repeated(table(spark, sf_dir, "documents"))
+    return out.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -84,7 +90,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_language_id, op2_simhash, op3_license_scan, op4_token_counts, op5_decontamination, op6_line_dedup,
-        op8_quality_rules, op9_chat_formatting, op10_best_fit_packing,
+        op7_substring_dedup, op8_quality_rules, op9_chat_formatting, op10_best_fit_packing,
     )
 }
 
