@@ -23,23 +23,30 @@ def _parser() -> argparse.ArgumentParser:
         command.add_argument("--songs", required=True)
         command.add_argument("--root", required=True, help="where the tables go")
         command.add_argument("--style", default=style, choices=sorted(etl.DIALECTS))
+        command.add_argument("--max-corrupt", type=int, default=0, help="corrupt rows of a feed a load may put aside")
         command.add_argument("--master", help="Spark master, if spark-submit does not set it")
     commands.choices["load"].add_argument("--recursive", action="store_true")
     commands.choices["month"].add_argument("--date", required=True, type=dt.date.fromisoformat)
     return parser
 
 
-def main(arguments: Sequence[str] | None = None) -> dict[str, str]:
+def main(arguments: Sequence[str] | None = None) -> etl.Loaded:
     options = _parser().parse_args(arguments)
     spark = build_session("playmart", options.master)
     dialect = etl.DIALECTS[options.style]
     if options.command == "load":
         return etl.run(
-            spark, options.logs, options.songs, options.root, dialect, recursive=options.recursive
+            spark, options.logs, options.songs, options.root, dialect,
+            recursive=options.recursive, max_corrupt=options.max_corrupt,
         )
-    return etl.load_period(spark, options.logs, options.songs, options.date, options.root, dialect)
+    return etl.load_period(
+        spark, options.logs, options.songs, options.date, options.root, dialect, max_corrupt=options.max_corrupt
+    )
 
 
 if __name__ == "__main__":
-    for table, path in sorted(main().items()):
-        print(table, path)
+    loaded = main()
+    for (table, period), path in sorted(loaded.paths.items()):
+        print(table, period, path)
+    for feed, rows in loaded.rejected.items():
+        print(f"corrupt rows of the {feed} feed: {rows}")

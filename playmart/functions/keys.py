@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-NULL_MARK = "\\N"
-
-
 def md5_concat(*columns: Column) -> Column:
     """md5 of the plain concatenation; NULL if any part is NULL."""
     return F.md5(F.concat(*[c.cast("string") for c in columns]))
@@ -19,9 +16,11 @@ def session_second_key(session: str, start_time: str) -> Column:
 
 
 def natural_key(*names: str) -> Column:
-    """md5 over all columns that identify a row, NULL-safe and separated."""
-    parts = [F.coalesce(F.col(n).cast("string"), F.lit(NULL_MARK)) for n in names]
-    return F.md5(F.concat_ws("|", *parts))
+    """md5 over all columns that identify a row.
+
+    They are written as JSON with names and NULLs, so different values never give the same text.
+    """
+    return F.md5(F.to_json(F.struct(*names), {"ignoreNullFields": "false"}))
 
 
 def run_local_id() -> Column:

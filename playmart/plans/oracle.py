@@ -129,8 +129,9 @@ _QUERIES: dict[str, str] = {
   ) s ON p.song = s.title AND p.artist = s.artist_name AND p.length = s.duration AND s.rn = 1""",
     "songplay_md5_key": """SELECT md5(CAST(session_id AS VARCHAR) || strftime(start_time, '%Y-%m-%d %H:%M:%S'))
     AS songplay_id, session_id, item_in_session, start_time FROM plays""",
-    "songplay_stable_key": """SELECT md5(concat_ws('|', session_id, item_in_session, ts, user_id, w1, w2))
-    AS songplay_id, session_id, item_in_session, ts FROM plays""",
+    "songplay_stable_key": """SELECT md5(CAST(to_json(struct_pack(session_id := session_id,
+    item_in_session := item_in_session, ts := ts, user_id := user_id, w1 := w1, w2 := w2)) AS VARCHAR))
+    AS songplay_id, session_id, item_in_session, ts FROM play_log""",
     # Dimensions
     "clean_log": """SELECT artist, auth, first_name, gender, item_in_session, last_name, length, level, location,
   method, page, session_id, song, ts, user_agent, user_id, start_time FROM plays""",

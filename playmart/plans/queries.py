@@ -24,6 +24,7 @@ from playmart.sources.feeds import consolidate_events
 from playmart.sources.staging import extract_json_paths
 from playmart.sources.warehouse_tables import (
     LOG_COLUMNS,
+    MILLIS,
     WRITE_ORDER,
     event_millis,
     load,
@@ -144,9 +145,10 @@ def songplay_md5_key(spark: SparkSession, d: str) -> DataFrame:
 
 
 def songplay_stable_key(spark: SparkSession, d: str) -> DataFrame:
+    """Of all log rows: those of logged-out users have a NULL in the key."""
     natural = ["session_id", "item_in_session", "ts", "user_id", "w1", "w2"]
-    plays = _plays(spark, d, *natural)
-    return facts.with_stable_key(plays, *natural).select("songplay_id", "session_id", "item_in_session", "ts")
+    log = _log(spark, d, *natural)
+    return facts.with_stable_key(log, *natural).select("songplay_id", "session_id", "item_in_session", "ts")
 
 
 # Dimensions -----------------------------------------------------------------------------------------
@@ -343,7 +345,7 @@ def insert_if_absent(spark: SparkSession, d: str) -> DataFrame:
 def upsert_last_wins(spark: SparkSession, d: str) -> DataFrame:
     key, order = ["user_id", "song"], ["ts", *WRITE_ORDER]
     plays = _plays(spark, d, *key, *order, "session_id").drop("start_time")
-    cut = F.unix_millis(F.lit(UPSERT_CUT).cast("timestamp"))
+    cut = F.expr(MILLIS.format(f"TIMESTAMP_NTZ '{UPSERT_CUT} 00:00:00'"))
     stored = dedupe.last_per_key(plays.where(F.col("ts") < cut), key, order)
     merged = dedupe.upsert(stored, plays.where(F.col("ts") >= cut), key, order)
     return merged.select(*key, "ts", "w1", "w2", "session_id")
@@ -371,9 +373,10 @@ def lookup_session_item(spark: SparkSession, d: str) -> DataFrame:
 
 
 def lookup_user_session(spark: SparkSession, d: str) -> DataFrame:
-    owner = load(spark, d, "orders").where(F.col("o_orderkey") == LOOKUP_SESSION).first()
-    user = owner.o_custkey if owner else -1
-    return serving.user_session(_serving(spark, d, USER_SESSION), user, LOOKUP_SESSION)
+    owner = load(spark, d, "orders").where(F.col("o_orderkey") == LOOKUP_SESSION)
+    sessions = _serving(spark, d, USER_SESSION).where(F.col("session_id") == LOOKUP_SESSION)
+    owned = sessions.join(owner.select(F.col("o_custkey").alias("user_id")).distinct(), "user_id", "left_semi")
+    return owned.orderBy("item_in_session").select("item_in_session", *USER_SESSION.values)
 
 
 def lookup_song_listeners(spark: SparkSession, d: str) -> DataFrame:

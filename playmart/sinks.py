@@ -6,8 +6,8 @@ splits a partition value that is too big and joins those that are too small.
 
 from __future__ import annotations
 
-import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -102,27 +102,22 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", "true").option("escape", '"').csv(path)
 
 
-# Largest share of the rows one key may have in a bucketed table.
-MAX_BUCKET_KEY_SHARE = 0.05
+def key_shares(df: DataFrame, key: str, n: int = 10) -> DataFrame:
+    """The n most frequent keys with their rows and share of all rows: what to look at before bucketing."""
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("row_count"))
+    share = F.col("row_count") / F.lit(df.count())
+    return per_key.orderBy(F.desc("row_count"), key).limit(n).withColumn("share", share)
 
 
-def save_bucketed(df: DataFrame, name: str, buckets: int, key: str, sort_by: Sequence[str] = ()) -> bool:
+def save_bucketed(df: DataFrame, name: str, buckets: int, key: str, sort_by: Sequence[str] = ()) -> None:
     """Catalog table bucketed by a key: two tables with equal buckets join on it without a shuffle.
 
-    A bucket is read by one task and cannot be split, so the share of the most frequent key is measured
-    first. If it is too large the table is saved without buckets, where a join shuffles and a hot key is
-    split, and False is returned.
+    A bucket is read by one task and cannot be split; key_shares shows whether a key is too frequent for it.
     """
-    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    top, total = per_key.agg(F.max("n"), F.sum("n")).first()
-    if total and top > max(total * MAX_BUCKET_KEY_SHARE, 1):
-        laid_out(df, (), sort_by).write.mode("overwrite").format("parquet").saveAsTable(name)
-        return False
     writer = df.repartition(buckets, key).write.mode("overwrite").format("parquet").bucketBy(buckets, key)
     if sort_by:
         writer = writer.sortBy(*sort_by)
     writer.saveAsTable(name)
-    return True
 
 
 # Catalog tables -------------------------------------------------------------------------------------
@@ -147,33 +142,67 @@ def drop_tables(spark: SparkSession, tables: Sequence[Table], database: str = "d
 
 # Publication ----------------------------------------------------------------------------------------
 
-PUBLICATION = "seq BIGINT, run_id STRING, table_name STRING, path STRING"
+PUBLICATION = "seq BIGINT, run_id STRING, table_name STRING, period STRING, path STRING"
+WHOLE = ""  # period of a table that one run writes as a whole
 
 
-def _publications(spark: SparkSession, root: str) -> DataFrame | None:
+class StaleRunError(RuntimeError):
+    """Another run was published after this one had read the current tables."""
+
+
+@dataclass(frozen=True)
+class Current:
+    """What is published: the last sequence number, and the path of every (table, period)."""
+
+    seq: int
+    paths: dict[tuple[str, str], str]
+
+    def of(self, table: str, without: Sequence[str] = ()) -> list[str]:
+        """Paths of a table, without those of some periods."""
+        return [p for (name, period), p in sorted(self.paths.items()) if name == table and period not in without]
+
+
+def run_path(root: str, table: str, run_id: str) -> str:
+    """Where a run writes a table: all runs of a table lie side by side, so several can be read as one."""
+    return f"{root}/tables/{table}/run={run_id}"
+
+
+def read_runs(spark: SparkSession, root: str, paths: Sequence[str], table: Table) -> DataFrame:
+    """Several run paths of a table as one; no rows if there are none."""
+    if not paths:
+        return spark.createDataFrame([], table.schema)
+    reader = spark.read.schema(table.schema).option("basePath", f"{root}/tables/{table.name}")
+    return reader.parquet(*paths).select(*table.column_names)
+
+
+def current(spark: SparkSession, root: str) -> Current:
+    """The published state (one row per table and period is fetched).
+
+    A whole table takes the place of all periods published before it.
+    """
     try:
-        return spark.read.schema(PUBLICATION).json(f"{root}/publications")
+        log = spark.read.schema(PUBLICATION).json(f"{root}/publications")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return None
+        return Current(0, {})
+    latest = log.groupBy("table_name", "period").agg(F.max("seq").alias("seq"), F.max_by("path", "seq").alias("path"))
+    rows = latest.collect()
+    whole = {r.table_name: r.seq for r in rows if r.period == WHOLE}
+    valid = [r for r in rows if r.period == WHOLE or r.seq > whole.get(r.table_name, 0)]
+    return Current(max((r.seq for r in rows), default=0), {(r.table_name, r.period): r.path for r in valid})
 
 
-def publish(spark: SparkSession, root: str, run_id: str, paths: dict[str, str]) -> None:
+def publish(
+    spark: SparkSession, root: str, run_id: str, paths: Mapping[tuple[str, str], str], base: Current
+) -> None:
     """Make the tables of a run current, all in one committed append.
 
     Tables are written to new directories and only become visible here, so readers never see a half
-    loaded set, and a table is never overwritten while it is read.
+    loaded set, and a table is never overwritten while it is read. `base` is what the run was built on; if
+    something else has been published since, the run is refused.
     """
-    seq = int(dt.datetime.now(dt.timezone.utc).timestamp() * 1_000_000)
-    rows = [(seq, run_id, name, path) for name, path in paths.items()]
+    if current(spark, root).seq != base.seq:
+        raise StaleRunError(f"{root}: another run was published since {run_id} began; load again")
+    rows = [(base.seq + 1, run_id, name, period, path) for (name, period), path in paths.items()]
     spark.createDataFrame(rows, PUBLICATION).coalesce(1).write.mode("append").json(f"{root}/publications")
-
-
-def current_paths(spark: SparkSession, root: str) -> dict[str, str]:
-    """Path of the current version of every published table (one row per table is fetched)."""
-    log = _publications(spark, root)
-    if log is None:
-        return {}
-    latest = log.groupBy("table_name").agg(F.max_by("path", "seq").alias("path"))
-    return {row.table_name: row.path for row in latest.collect()}

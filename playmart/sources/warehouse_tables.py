@@ -8,11 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
-
-from playmart.session import configure
 
 # Columns that order two writes of one key, after everything else is equal.
 WRITE_ORDER = ["w1", "w2", "w3"]
@@ -27,6 +24,9 @@ _USER_AGENT = """concat('Mozilla/5.0 (',
 
 _PLAY = "l_linestatus = 'F'"
 
+# Epoch ms of a time without zone; the session zone has no part in it.
+MILLIS = "timestampdiff(MILLISECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', {})"
+
 # log column -> (expression, table that has to be looked up for it)
 _LOG: dict[str, tuple[str, str]] = {
     "artist": (f"CASE WHEN {_PLAY} THEN concat('Artist ', {ARTIST_NUMBER}) END", "part"),
@@ -42,7 +42,7 @@ _LOG: dict[str, tuple[str, str]] = {
     "page": (f"CASE WHEN {_PLAY} THEN 'NextSong' ELSE 'Home' END", ""),
     "sessionId": ("l_orderkey", ""),
     "song": (f"CASE WHEN {_PLAY} THEN p_name END", "part"),
-    "ts": ("unix_millis(CAST(o_orderdate AS TIMESTAMP)) + (l_linenumber div 2) * 20014123L", "orders"),
+    "ts": (f"{MILLIS.format('o_orderdate')} + (l_linenumber div 2) * 20014123L", "orders"),
     "userAgent": (_USER_AGENT, ""),
     "userId": (
         f"CASE WHEN {_PLAY} OR o_orderstatus <> 'P' THEN CAST(o_custkey AS STRING) ELSE '' END",
@@ -55,29 +55,22 @@ _LOG: dict[str, tuple[str, str]] = {
 
 LOG_COLUMNS = list(_LOG)
 
-# Line-item columns the log is made of.
-_STORED = [
-    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_returnflag", "l_linestatus",
-]
-
-
-# Facts about a table that cost a footer job or a planning pass, asked once per path.
-_schemas: dict[str, StructType] = {}
-_splits: dict[str, int] = {}
+# Stored columns of the tables used here; with a given schema no footer has to be read to plan a query.
+TABLES = {
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+    "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, "
+    "l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
-
-
-def _few_splits(spark: SparkSession, sf_dir: str, name: str) -> bool:
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in _splits:
-        _splits[path] = load(spark, sf_dir, name).rdd.getNumPartitions()
-    return _splits[path] < spark.sparkContext.defaultParallelism
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def play_log(
@@ -91,18 +84,12 @@ def play_log(
     saves its shuffle. Order attributes are collected on the smaller orders side before the line items
     are shuffled.
     """
-    configure(spark)
     wanted = list(columns) if columns is not None else LOG_COLUMNS
     needed = {_LOG[c][1] for c in wanted}
 
     log = load(spark, sf_dir, "lineitem")
     if plays_only:
         log = log.where(_PLAY)
-    if _few_splits(spark, sf_dir, "lineitem"):
-        # A table in very few files would be read and matched by one task; a large one is left as it is.
-        # Several columns are hashed, so that one hot order or part does not undo the spreading.
-        cores = spark.sparkContext.defaultParallelism
-        log = log.select(*_STORED).repartition(cores, "l_orderkey", "l_partkey", "l_linenumber")
     if needed & {"orders", "customer", "nation"}:
         orders = load(spark, sf_dir, "orders")
         if needed & {"customer", "nation"}:
@@ -121,7 +108,6 @@ def play_log(
 
 def song_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The song feed. A fifth of the titles carry a suffix no play has; artists repeat with differing data."""
-    configure(spark)
     return load(spark, sf_dir, "part").select(
         F.expr(f"concat('AR', {ARTIST_NUMBER})").alias("artist_id"),
         F.col("p_size").cast("double").alias("artist_latitude"),
@@ -140,7 +126,5 @@ def song_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_millis(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     """The event stream with its time as epoch ms, for time-of-day work."""
-    configure(spark)
-    millis: Column = F.unix_millis(F.col("ts").cast("timestamp"))
-    return load(spark, sf_dir, "events").select("event_id", millis.alias("ts"), *extra)
+    return load(spark, sf_dir, "events").select("event_id", F.expr(MILLIS.format("ts")).alias("ts"), *extra)
 

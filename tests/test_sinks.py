@@ -97,8 +97,8 @@ def test_create_and_drop_tables(spark, tmp_path):
 def test_bucketed_tables_join_without_a_shuffle(spark):
     users = spark.range(1000).selectExpr("id AS user_id", "'x' AS level")
     plays = spark.range(5000).selectExpr("id % 1000 AS user_id", "id AS play")
-    assert sinks.save_bucketed(users, "b_users", 4, "user_id", ["user_id"])
-    assert sinks.save_bucketed(plays, "b_plays", 4, "user_id", ["user_id"])
+    sinks.save_bucketed(users, "b_users", 4, "user_id", ["user_id"])
+    sinks.save_bucketed(plays, "b_plays", 4, "user_id", ["user_id"])
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -111,18 +111,32 @@ def test_bucketed_tables_join_without_a_shuffle(spark):
         spark.sql("DROP TABLE b_plays")
 
 
-def test_a_hot_key_is_not_bucketed(spark):
+def test_frequent_keys_are_reported(spark):
     hot = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS user_id")
-    assert not sinks.save_bucketed(hot, "b_hot", 4, "user_id", ["user_id"])
-    assert spark.table("b_hot").count() == 3000
-    spark.sql("DROP TABLE b_hot")
+    first, second = sinks.key_shares(hot, "user_id", 2).collect()
+    assert (first.user_id, first.row_count) == (7, 1001) and abs(first.share - 1001 / 3000) < 1e-9
+    assert second.row_count == 1
+    assert sinks.key_shares(hot.limit(0), "user_id").count() == 0
 
 
 def test_publication_switches_all_tables_at_once(spark, tmp_path):
     root = str(tmp_path)
-    assert sinks.current_paths(spark, root) == {}
-    sinks.publish(spark, root, "r1", {"a": "p1", "b": "p1b"})
-    sinks.publish(spark, root, "r2", {"a": "p2"})
-    assert sinks.current_paths(spark, root) == {"a": "p2", "b": "p1b"}
-
-
+    first = sinks.current(spark, root)
+    assert first == sinks.Current(0, {})
+    sinks.publish(spark, root, "r1", {("a", "m1"): "p1", ("b", sinks.WHOLE): "p1b"}, first)
+    second = sinks.current(spark, root)
+    sinks.publish(spark, root, "r2", {("a", "m2"): "p2", ("a", "m1"): "p3"}, second)
+    now = sinks.current(spark, root)
+    assert now.paths == {("a", "m1"): "p3", ("a", "m2"): "p2", ("b", sinks.WHOLE): "p1b"}
+    assert now.of("a") == ["p3", "p2"] and now.of("a", ["m1"]) == ["p2"]
+    sinks.publish(spark, root, "r3", {("a", sinks.WHOLE): "p4"}, now)
+    assert sinks.current(spark, root).of("a") == ["p4"]
+
+
+def test_a_run_built_on_old_tables_is_refused(spark, tmp_path):
+    root = str(tmp_path)
+    base = sinks.current(spark, root)
+    sinks.publish(spark, root, "r1", {("a", sinks.WHOLE): "p1"}, base)
+    with pytest.raises(sinks.StaleRunError):
+        sinks.publish(spark, root, "r2", {("a", sinks.WHOLE): "p2"}, base)
+    assert sinks.current(spark, root).of("a") == ["p1"]
