@@ -53,6 +53,11 @@ def _verdict(df: DataFrame, name: Column, actual: Column, expected: int) -> Data
     )
 
 
+def verdicts(df: DataFrame, name: str, actual: str, expected: int) -> DataFrame:
+    """Rows of a name and a count as rows name, expected, actual, passed."""
+    return _verdict(df, F.col(name), F.col(actual), expected)
+
+
 def check_frame(checks: Sequence[tuple[str, DataFrame, int]]) -> DataFrame:
     """(name, one-row one-column count, expected) as rows name, expected, actual, passed; nothing raised."""
     rows = [_verdict(df, F.lit(name), F.col(df.columns[0]), expected) for name, df, expected in checks]

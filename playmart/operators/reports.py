@@ -24,20 +24,28 @@ def _plays_per(fact: DataFrame, *keys: str, weight: str | None = None) -> DataFr
 def popular_artists(
     fact: DataFrame, artists: DataFrame, n: int = 10, weight: str | None = None
 ) -> DataFrame:
-    """Top n artists by plays; ties by artist id."""
+    """Top n artists by plays, per id and name; ties by artist id and name.
+
+    An id with several rows in `artists` counts each play once per row that has the name.
+    """
     plays = _plays_per(fact.where("artist_id IS NOT NULL"), "artist_id", weight=weight)
-    named = plays.join(artists.select("artist_id", F.col("name").alias("artist_name")), "artist_id")
-    total = named.groupBy("artist_id", "artist_name").agg(F.sum("_plays").alias("requests_count"))
+    names = artists.groupBy("artist_id", F.col("name").alias("artist_name")).agg(F.count(F.lit(1)).alias("_rows"))
+    total = plays.join(names, "artist_id")
+    total = total.select("artist_id", "artist_name", (F.col("_plays") * F.col("_rows")).alias("requests_count"))
     return total.orderBy(F.desc("requests_count"), "artist_id", "artist_name").limit(n)
 
 
 def popular_songs(
     fact: DataFrame, songs: DataFrame, artists: DataFrame, n: int = 10, weight: str | None = None
 ) -> DataFrame:
-    """Top n songs by plays, with title and artist name; ties by song id."""
+    """Top n songs by plays, with title and artist name; ties by song id, title and name.
+
+    As with artists, several rows of an id multiply.
+    """
     plays = _plays_per(fact.where("song_id IS NOT NULL"), "song_id", weight=weight)
     named = plays.join(songs.select("song_id", F.col("title").alias("song_title"), "artist_id"), "song_id")
-    named = named.join(artists.select("artist_id", F.col("name").alias("artist_name")), "artist_id")
+    names = artists.groupBy("artist_id", F.col("name").alias("artist_name")).agg(F.count(F.lit(1)).alias("_rows"))
+    named = named.join(names, "artist_id").withColumn("_plays", F.col("_plays") * F.col("_rows"))
     total = named.groupBy("song_id", "song_title", "artist_name").agg(F.sum("_plays").alias("requests_count"))
     return total.orderBy(F.desc("requests_count"), "song_id", "song_title", "artist_name").limit(n)
 

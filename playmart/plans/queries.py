@@ -79,13 +79,6 @@ def _lake_fact(spark: SparkSession, d: str, *columns: str) -> DataFrame:
     return facts.make_songplays(plays, _unique_catalog(spark, d), columns=columns)
 
 
-def _lake_counts(spark: SparkSession, d: str, column: str) -> DataFrame:
-    """The 3-key fact counted by one column."""
-    from_log = [c for c in (column,) if c not in ("song_id", "artist_id")]
-    plays = _plays(spark, d, *_MATCH3, *from_log)
-    return facts.count_songplays(plays, _unique_catalog(spark, d), [column])
-
-
 def _artist_place_fact(spark: SparkSession, d: str, *columns: str) -> DataFrame:
     """The distinct 2-key fact that carries the artist's location, whole or cut to some columns."""
     columns = columns or tuple(facts.FACT_COLUMNS)
@@ -263,15 +256,19 @@ def empty_to_null(spark: SparkSession, d: str) -> DataFrame:
 # Reports --------------------------------------------------------------------------------------------
 
 
+# The dashboard reads the distinct 2-key fact and the dimensions limited to it, with all distinct rows.
+
+
 def popular_artists(spark: SparkSession, d: str) -> DataFrame:
-    artists = dims.make_artists(song_catalog(spark, d))
-    return reports.popular_artists(_lake_counts(spark, d, "artist_id"), artists, weight="plays")
+    """Artists that are not in the fact cannot count, so the dimension need not be limited to it first."""
+    artists = dims.make_artists_distinct(song_catalog(spark, d))
+    return reports.popular_artists(_artist_place_fact(spark, d), artists)
 
 
 def popular_songs(spark: SparkSession, d: str) -> DataFrame:
     catalog = song_catalog(spark, d)
-    songs, artists = dims.make_songs_unique(catalog), dims.make_artists(catalog)
-    return reports.popular_songs(_lake_counts(spark, d, "song_id"), songs, artists, weight="plays")
+    songs, artists = dims.make_songs(catalog), dims.make_artists_distinct(catalog)
+    return reports.popular_songs(_artist_place_fact(spark, d), songs, artists)
 
 
 def location_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -287,20 +284,20 @@ def top3_locations(spark: SparkSession, d: str) -> DataFrame:
 
 
 def plays_by_user_agent(spark: SparkSession, d: str) -> DataFrame:
-    return reports.plays_by_user_agent(_lake_counts(spark, d, "user_agent"), "plays")
+    return reports.plays_by_user_agent(_artist_place_fact(spark, d))
 
 
 def plays_by_device(spark: SparkSession, d: str) -> DataFrame:
-    return reports.plays_by_device(_lake_counts(spark, d, "user_agent"), "plays")
+    return reports.plays_by_device(_artist_place_fact(spark, d))
 
 
 def plays_by_hour(spark: SparkSession, d: str) -> DataFrame:
-    fact = _event_plays(spark, d)
-    return reports.plays_by_hour(fact, dims.make_times(fact))
+    fact = _artist_place_fact(spark, d)
+    return reports.plays_by_hour(fact, dims.make_times(fact, "sunday0"))
 
 
 def plays_by_weekday(spark: SparkSession, d: str) -> DataFrame:
-    fact = _event_plays(spark, d)
+    fact = _artist_place_fact(spark, d)
     return reports.plays_by_weekday(fact, dims.make_times(fact, "sunday0"), "sunday0")
 
 
@@ -394,20 +391,25 @@ def cascade_delete(spark: SparkSession, d: str) -> DataFrame:
 def dq_results(spark: SparkSession, d: str) -> DataFrame:
     """Named counts with the value each should have; some of them do not hold on this data."""
     total = F.coalesce(F.sum("row_count"), F.lit(0)).alias("violations")
-    users = users_latest(spark, d)
     item = ["session_id", "item_in_session"]
-    plays = _plays(spark, d, *item, *_MATCH3)
-    catalog = song_catalog(spark, d)
-    unnamed = users.agg(F.count_if(F.col("first_name").isNull()).alias("violations"))
-    orphans = quality.orphan_counts(plays, catalog, _MATCH3, facts.TITLE_ARTIST_DURATION).agg(total)
-    return quality.check_frame(
+    profiles = dims.make_users(_plays(spark, d, "user_id", *_PROFILE), "distinct")
+    per_user = profiles.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_if(F.col("first_name").isNull()).alias("unnamed")
+    )
+    users = per_user.agg(
+        F.coalesce(F.sum("unnamed"), F.lit(0)).alias("users without first name"),
+        F.coalesce(F.sum(F.when(F.col("row_count") > 1, F.col("row_count"))), F.lit(0)).alias("users repeated"),
+    ).unpivot([], ["users without first name", "users repeated"], "name", "actual")
+    orphans = quality.orphan_counts(
+        _plays(spark, d, *_MATCH3), song_catalog(spark, d), _MATCH3, facts.TITLE_ARTIST_DURATION
+    )
+    checks = quality.check_frame(
         [
-            ("users without first name", unnamed, 0),
-            ("users repeated", quality.duplicate_keys(users, ["user_id"]).agg(total), 0),
-            ("plays repeated", quality.duplicate_keys(plays, item).agg(total), 0),
-            ("plays without song", orphans, 0),
+            ("plays repeated", quality.duplicate_keys(_plays(spark, d, *item), item).agg(total), 0),
+            ("plays without song", orphans.agg(total), 0),
         ]
     )
+    return checks.unionByName(quality.verdicts(users, "name", "actual", 0))
 
 
 def dq_not_null(spark: SparkSession, d: str) -> DataFrame:
