@@ -27,7 +27,7 @@ from playmart.operators import dims, facts, quality
 from playmart.operators.dedupe import first_per_key, profile_summary
 from playmart.schemas import Table
 from playmart.sources import feeds
-from playmart.sources.staging import period_path
+from playmart.sources.staging import stage_period
 
 @dataclass(frozen=True)
 class Dialect:
@@ -359,9 +359,12 @@ def load_period(
     checks: Sequence[quality.Check] = (),
     recursive: bool = True,
     max_corrupt: int = 0,
+    json_paths: Sequence[str] | None = None,
 ) -> Loaded:
     """Load one month, or load it again.
 
+    The month's log is staged into typed columns by name, or by an ordered path list if one is given.
+
     The month's part of the fact and its summaries are replaced; users, songs and artists are rebuilt from the
     summaries of all months, and times for the calendar months the rows fall in. A play that another month
     has already brought is left to that month. A root that was loaded as a whole takes no monthly loads.
@@ -371,8 +374,10 @@ def load_period(
     if ("songplays", sinks.WHOLE) in this.base.paths:
         raise ValueError(f"{root} was loaded as a whole; load months into a root of their own")
     period = run_date.strftime("%Y-%m")
-    paths = period_path(log_template, run_date)
-    log = this.stage("log", feeds.read_log_data(spark, paths, recursive=recursive, keep_corrupt=True))
+    staged = stage_period(
+        spark, log_template, run_date, schemas.LOG, json_paths=json_paths, recursive=recursive, keep_corrupt=True
+    )
+    log = this.stage("log", staged)
     songs = feeds.read_song_data(spark, song_paths, recursive=recursive, keep_corrupt=True)
     songs = this.stage("songs", songs, compact=True)
 

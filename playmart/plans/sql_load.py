@@ -1,41 +1,46 @@
-"""Loads written as SQL over catalog tables: run statements, fill a fact, fill a dimension."""
+"""Filling catalog tables with SQL.
+
+Queries name their sources and values as parameters, `:name` for a value and `IDENTIFIER(:name)` for a table, so
+one query serves several tables and nothing is pasted into its text.
+"""
 
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+import time
+from collections.abc import Iterable
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
-logger = logging.getLogger(__name__)
+log = logging.getLogger(__name__)
 
 
-def run_queries(spark: SparkSession, queries: Sequence[str]) -> list[DataFrame]:
-    """Run SQL statements in order; each is logged. The frames are lazy until they are used."""
-    results = []
-    for query in queries:
-        logger.info("Executing query: %s", query)
-        results.append(spark.sql(query))
-    return results
+def script(spark: SparkSession, statements: Iterable[str], **parameters: Any) -> DataFrame | None:
+    """Run statements one after the other; the result of the last one.
 
+    DDL and inserts take effect at once. How long each took is logged with its first line.
+    """
+    result = None
+    for number, statement in enumerate(statements, 1):
+        began = time.monotonic()
+        result = spark.sql(statement, args=parameters)
+        head = statement.strip().partition("\n")[0]
+        log.info("statement %d took %.1f s: %s", number, time.monotonic() - began, head)
+    return result
 
-def _insert(spark: SparkSession, into: str, select: str, overwrite: bool) -> None:
-    # Columns are matched by name, so the order of the SELECT list does not matter.
-    how = "OVERWRITE" if overwrite else "INTO"
-    run_queries(spark, [f"INSERT {how} TABLE {into} BY NAME {select}"])
 
+def fill(rows: DataFrame, table: str, replace: bool = False) -> None:
+    """Append rows to a catalog table, or put them in the place of what it holds.
 
-def load_fact(spark: SparkSession, into: str, select_query: str, from_tables: Sequence[str]) -> None:
-    """Append a query result to a fact table; the query names its source tables as {} in order."""
-    _insert(spark, into, select_query.format(*from_tables), overwrite=False)
+    Columns are matched by name. Replacing is one statement: the old rows go when the new ones are written.
+    """
+    verb = "OVERWRITE" if replace else "INTO"
+    rows.sparkSession.sql(f"INSERT {verb} {table} BY NAME SELECT * FROM {{rows}}", rows=rows)
 
 
-def load_dimension(
-    spark: SparkSession, into: str, select_query: str, from_table: str, empty_before_load: bool = True
+def fill_from(
+    spark: SparkSession, table: str, query: str, replace: bool = False, **parameters: Any
 ) -> None:
-    """Replace a dimension by a query result (default), or append to it.
-
-    The query names its source as {select_from_table}. Replacing is one statement: the old rows go only
-    when the new ones are written.
-    """
-    _insert(spark, into, select_query.format(select_from_table=from_table), overwrite=empty_before_load)
+    """fill() with the result of a query: facts are appended to, dimensions as a rule replaced."""
+    fill(spark.sql(query, args=parameters), table, replace)

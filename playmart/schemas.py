@@ -82,6 +82,9 @@ class Table:
         return self.schema.fieldNames()
 
 
+# The log as delivered: staging columns of monthly loads.
+LOG = Table("log", LOG_FEED)
+
 STAGING_EVENTS = Table(
     "staging_events",
     "artist STRING, auth STRING, firstName STRING, gender STRING, itemInSession INT, lastName STRING, "

@@ -5,7 +5,6 @@ Schemas are always given, so no inference pass runs. Paths may be a string, a li
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
@@ -97,11 +96,15 @@ def paths_from_prefix(prefix: str) -> str:
 
 
 def paths_from_manifest(spark: SparkSession, manifest: str) -> list[str]:
-    """URLs listed in a manifest file: {"entries": [{"url": ...}, ...]}. The manifest is a small file."""
-    text = spark.read.text(manifest, wholetext=True).first()
-    if text is None:
-        raise ValueError(f"empty manifest: {manifest}")
-    return [entry["url"] for entry in json.loads(text.value)["entries"]]
+    """URLs listed in a manifest file: {"entries": [{"url": ...}, ...]}.
+
+    Parsed by Spark; only the URLs come to the driver, where a reader needs them as its arguments.
+    """
+    entries = spark.read.schema("entries ARRAY<STRUCT<url: STRING>>").json(manifest, multiLine=True)
+    urls = [r.url for r in entries.select(F.explode("entries.url").alias("url")).collect()]
+    if not urls:
+        raise ValueError(f"manifest without entries: {manifest}")
+    return urls
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:

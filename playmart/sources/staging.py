@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DecimalType, IntegralType, StringType
 
 from playmart.schemas import Table
-from playmart.sources.feeds import Paths, json_reader, path_list
+from playmart.sources.feeds import CORRUPT, Paths, json_reader, path_list
 
 _TOP_LEVEL = re.compile(r"^\$(?:\.(\w+)|\['([^'\]]+)'\])$")
 
@@ -30,32 +30,36 @@ def _typed(text: Column, kind: DataType) -> Column:
     return text.try_cast(kind)
 
 
-def _value_of(entries: str, lower_name: str) -> Column:
-    """Value of the first map entry whose key equals a name, case aside."""
-    hits = F.filter(entries, lambda entry: F.lower(entry["key"]) == F.lit(lower_name))
-    return F.get(hits, F.lit(0))["value"]
-
-
 def _read_lines(spark: SparkSession, paths: Paths, recursive: bool) -> DataFrame:
     return json_reader(spark, recursive).text(path_list(paths)).where(F.trim("value") != "")
 
 
 def stage_by_name(
-    spark: SparkSession, paths: Paths, table: Table, *, ignore_case: bool = False, recursive: bool = False
+    spark: SparkSession,
+    paths: Paths,
+    table: Table,
+    *,
+    ignore_case: bool = False,
+    recursive: bool = False,
+    keep_corrupt: bool = False,
 ) -> DataFrame:
-    """Match JSON fields to staging columns by exact name, or by name without regard to case."""
+    """Match JSON fields to staging columns by exact name, or by name without regard to case.
+
+    keep_corrupt=True (exact names) adds the text of lines that cannot be parsed.
+    """
     schema = table.schema
     if not ignore_case:
-        strings = ", ".join(f"`{n}` STRING" for n in schema.fieldNames())
-        raw = json_reader(spark, recursive).schema(strings).json(path_list(paths))
-        return raw.select(*[_typed(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields])
+        kept = [CORRUPT] if keep_corrupt else []
+        strings = ", ".join(f"`{n}` STRING" for n in [*schema.fieldNames(), *kept])
+        reader = json_reader(spark, recursive).option("columnNameOfCorruptRecord", CORRUPT).schema(strings)
+        typed = [_typed(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields]
+        return reader.json(path_list(paths)).select(*kept, *typed)
 
-    entries = F.map_entries(F.from_json("value", "MAP<STRING, STRING>"))
-    raw = _read_lines(spark, paths, recursive).select(entries.alias("e"))
-    columns = []
-    for f in schema.fields:
-        columns.append(_typed(_value_of("e", f.name.lower()), f.dataType).alias(f.name))
-    return raw.select(*columns)
+    # Keys are lowered once per line; of keys that differ in case only the first counts.
+    entries = _read_lines(spark, paths, recursive).select(F.from_json("value", "MAP<STRING, STRING>").alias("m"))
+    raw = entries.select(F.transform(F.map_keys("m"), F.lower).alias("k"), F.map_values("m").alias("v"))
+    at = {f.name: F.nullif(F.array_position("k", f.name.lower()), F.lit(0)) for f in schema.fields}
+    return raw.select(*[_typed(F.get("v", at[f.name] - 1), f.dataType).alias(f.name) for f in schema.fields])
 
 
 def extract_json_paths(
@@ -87,9 +91,20 @@ def read_path_list(spark: SparkSession, path: str) -> list[str]:
 
 
 def stage_by_paths(
-    spark: SparkSession, paths: Paths, table: Table, json_paths: Sequence[str], *, recursive: bool = False
+    spark: SparkSession,
+    paths: Paths,
+    table: Table,
+    json_paths: Sequence[str],
+    *,
+    recursive: bool = False,
+    keep_corrupt: bool = False,
 ) -> DataFrame:
-    return extract_json_paths(_read_lines(spark, paths, recursive), "value", json_paths, table)
+    """Lines read by path list; keep_corrupt=True adds the text of lines that are no JSON objects."""
+    lines = _read_lines(spark, paths, recursive)
+    if not keep_corrupt:
+        return extract_json_paths(lines, "value", json_paths, table)
+    broken = F.when(F.json_object_keys("value").isNull(), F.col("value"))
+    return extract_json_paths(lines.withColumn(CORRUPT, broken), "value", json_paths, table, keep=[CORRUPT])
 
 
 def period_path(template: str, run_date: dt.date) -> str:
@@ -105,9 +120,11 @@ def stage_period(
     *,
     json_paths: Sequence[str] | None = None,
     templated: bool = True,
+    recursive: bool = True,
+    keep_corrupt: bool = False,
 ) -> DataFrame:
     """Stage the files of one period, or of a fixed prefix when templated=False."""
     path = period_path(template, run_date) if templated else template
     if json_paths is None:
-        return stage_by_name(spark, path, table, recursive=True)
-    return stage_by_paths(spark, path, table, json_paths, recursive=True)
+        return stage_by_name(spark, path, table, recursive=recursive, keep_corrupt=keep_corrupt)
+    return stage_by_paths(spark, path, table, json_paths, recursive=recursive, keep_corrupt=keep_corrupt)

@@ -3,7 +3,7 @@ import datetime as dt
 
 import pytest
 
-from playmart import sinks
+from playmart import schemas, sinks
 from playmart.__main__ import main
 from playmart.operators import quality
 from playmart.plans import etl
@@ -160,6 +160,19 @@ def test_monthly_loads(spark, tmp_path, name):
         etl.load_period(spark, logs, songs, dt.date(2018, 11, 1), str(tmp_path / "one"), dialect)
 
 
+def test_a_month_staged_by_path_list(spark, roots, tmp_path):
+    logs, songs = roots
+    results = []
+    for name, paths in (("by_name", None), ("by_path", schemas.LOG_JSON_PATHS)):
+        root = str(tmp_path / name)
+        loaded = etl.load_period(
+            spark, logs + "/{year}/{month}", songs, dt.date(2018, 11, 1), root, max_corrupt=1, json_paths=paths
+        )
+        assert loaded.rejected == {"log": 1, "songs": 0}
+        results.append(_rows(_tables(spark, root, etl.SCHEDULED)))
+    assert results[0] == results[1]
+
+
 @pytest.mark.parametrize("name", ["scheduled", "history"])
 def test_a_month_that_fails_changes_nothing(spark, roots, tmp_path, monkeypatch, name):
     dialect, root = etl.DIALECTS[name], str(tmp_path)

@@ -21,29 +21,32 @@ def mart(spark, tmp_path):
 
 
 USERS_QUERY = """SELECT DISTINCT level, userId AS user_id, firstName AS first_name,
-  CAST(NULL AS STRING) AS last_name, CAST(NULL AS STRING) AS gender FROM {select_from_table}"""
+  CAST(NULL AS STRING) AS last_name, CAST(NULL AS STRING) AS gender
+  FROM IDENTIFIER(:events) WHERE level <> :without"""
 
 
 def test_dimension_is_replaced_or_appended(spark, mart):
+    given = {"events": "mart.staging_events", "without": "none"}
     for _ in range(2):
-        sql_load.load_dimension(spark, "mart.users", USERS_QUERY, "mart.staging_events")
+        sql_load.fill_from(spark, "mart.users", USERS_QUERY, replace=True, **given)
     assert sorted(map(tuple, spark.table("mart.users").select("user_id", "level").collect())) == [(1, "free"), (2, "paid")]
-    sql_load.load_dimension(spark, "mart.users", USERS_QUERY, "mart.staging_events", empty_before_load=False)
-    assert spark.table("mart.users").count() == 4
+    sql_load.fill_from(spark, "mart.users", USERS_QUERY, **given | {"without": "free"})
+    assert spark.table("mart.users").count() == 3
 
 
 def test_fact_is_appended_from_several_tables(spark, mart):
     query = """SELECT e.level AS artist_id, e.firstName AS name, CAST(NULL AS STRING) AS location,
       CAST(NULL AS DOUBLE) AS latitude, CAST(NULL AS DOUBLE) AS longitude
-      FROM {} e LEFT JOIN {} s ON e.song = s.title"""
+      FROM IDENTIFIER(:events) e LEFT JOIN IDENTIFIER(:songs) s ON e.song = s.title"""
     for _ in range(2):
-        sql_load.load_fact(spark, "mart.artists", query, ["mart.staging_events", "mart.staging_songs"])
+        sql_load.fill_from(spark, "mart.artists", query, events="mart.staging_events", songs="mart.staging_songs")
     assert spark.table("mart.artists").count() == 6
 
 
-def test_run_queries(spark, caplog):
-    statements = ["CREATE OR REPLACE TEMP VIEW one AS SELECT 1 AS x", "SELECT x + 1 AS y FROM one"]
+def test_script(spark, caplog):
+    statements = ["CREATE OR REPLACE TEMP VIEW one AS SELECT 1 AS x", "SELECT x + :more AS y\nFROM one"]
     with caplog.at_level("INFO"):
-        *_, last = sql_load.run_queries(spark, statements)
-    assert last.first().y == 2
-    assert "SELECT x + 1" in caplog.text
+        assert sql_load.script(spark, statements, more=2).first().y == 3
+    assert "SELECT x + :more AS y" in caplog.text
+    assert sql_load.script(spark, []) is None
+    spark.catalog.dropTempView("one")
