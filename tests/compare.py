@@ -7,7 +7,10 @@ import os
 import duckdb
 import pandas as pd
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+TABLES = [
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "labels",
+    "benchmark", "conversations",
+]
 
 
 def connect(sf_dir: str):
@@ -23,7 +26,7 @@ def connect(sf_dir: str):
 def _canonical(frame: pd.DataFrame) -> list[tuple]:
     frame = frame[sorted(frame.columns)]
     rows = [
-        tuple(None if v is None or v is pd.NaT or (isinstance(v, float) and v != v) else v for v in row)
+        tuple(None if v is None or v is pd.NaT or v is pd.NA or (isinstance(v, float) and v != v) else v for v in row)
         for row in frame.itertuples(index=False, name=None)
     ]
     return sorted(rows, key=repr)
