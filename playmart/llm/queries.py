@@ -11,6 +11,9 @@ from playmart.llm import (
     substring_dedup, token_counts,
 )
 from playmart.llm.common import table
+from playmart.llm.oracle import ORACLE
+
+__all__ = ["ORACLE", "QUERIES"]
 
 TOKEN_LIMIT = 512
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -93,5 +96,3 @@ QUERIES = {
         op7_substring_dedup, op8_quality_rules, op9_chat_formatting, op10_best_fit_packing,
     )
 }
-
-ORACLE: dict[str, str] = {}

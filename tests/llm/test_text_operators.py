@@ -8,8 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from playmart.llm import chat, language_id, licenses, pieces, quality, token_counts
-from playmart.llm.queries import BYTE_VOCABULARY, QUERIES, WORD_VOCABULARY
-from tests.compare import TABLES, connect
+from playmart.llm.queries import BYTE_VOCABULARY, ORACLE, QUERIES, WORD_VOCABULARY
+from tests.compare import assert_same, connect
 from tests.conftest import TESTDATA
 from tests.llm.conftest import ODD, prose
 
@@ -202,7 +202,10 @@ def test_license_scan(spark, frame, rng):
     assert licenses.scan_licenses(frame([])).count() == 0
 
 
-def test_twins_are_of_known_queries():
-    from playmart.llm.queries import ORACLE
+# SQL twins -------------------------------------------------------------------------------------------
 
-    assert set(ORACLE) <= set(QUERIES) and TABLES and connect
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_equals_sql(spark, name):
+    with connect(f"{TESTDATA}/sf0.01") as sql:
+        assert_same(QUERIES[name](spark, f"{TESTDATA}/sf0.01").toPandas(), sql.execute(ORACLE[name]).df())
