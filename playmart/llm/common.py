@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 U64 = np.uint64
 
+SEGMENT = 1 << 20  # bytes of a text for which 64-bit arrays are held at a time
+
 # An odd multiplier and its inverse modulo 2**64: a prefix sum of byte * MULTIPLIER**position then gives the
 # hash of any byte range by one subtraction and one multiplication.
 MULTIPLIER = 0xD1342543DE82EF95
@@ -75,6 +77,19 @@ def range_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
     return mix(raw ^ ((end - start).astype(U64) * U64(0x9E3779B97F4A7C15)))
 
 
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of every word, some megabytes of text at a time."""
+    out = np.zeros(len(starts), U64)
+    first = 0
+    while first < len(starts):
+        last = max(first + 1, int(np.searchsorted(ends, starts[first] + SEGMENT)))
+        base = starts[first]
+        prefix = prefix_hash(data[base : ends[last - 1]])
+        out[first:last] = range_hash(prefix, starts[first:last] - base, ends[first:last] - base)
+        first = last
+    return out
+
+
 def byte_set(*members: int | range) -> np.ndarray:
     """A look-up table over the 256 byte values."""
     out = np.zeros(256, bool)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playmart.llm.common import (
-    U64, byte_set, group_bounds, mix, prefix_hash, range_hash, saved, spans, whole_groups,
+    U64, byte_set, group_bounds, mix, prefix_hash, range_hash, saved, spans, whole_groups, word_hashes,
 )
 
 SEED_WORDS = 5
@@ -45,7 +45,7 @@ def _seeds_of(text: str) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
     starts, ends = spans(_WORD[np.frombuffer(data, np.uint8)])
     if len(starts) < SEED_WORDS:
         return data, starts, ends, np.zeros(0, U64)
-    words = prefix_hash(range_hash(prefix_hash(np.frombuffer(data, np.uint8)), starts, ends))
+    words = prefix_hash(word_hashes(np.frombuffer(data, np.uint8), starts, ends))
     at = np.arange(len(starts) - SEED_WORDS + 1)
     return data, starts, ends, range_hash(words, at, at + SEED_WORDS)
 

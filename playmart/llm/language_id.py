@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from playmart.llm.common import byte_set, utf8
+from playmart.llm.common import SEGMENT, byte_set
 
 BUCKETS = 1 << 13
 DIM = 16
@@ -46,11 +46,18 @@ _SPACE = np.uint8(0x20)
 def subword_counts(text: str) -> np.ndarray:
     """Counts of the hash buckets of all subwords of a whole text."""
     raw = np.frombuffer(text.lower().encode(), np.uint8)
-    data = np.concatenate(([_SPACE], np.where(_KEPT[raw], raw, _SPACE), [_SPACE])).astype(np.uint32)
-    blank = data == _SPACE
+    whole = np.concatenate(([_SPACE], np.where(_KEPT[raw], raw, _SPACE), [_SPACE]))
     counts = np.zeros(BUCKETS, np.int64)
+    for begin in range(0, len(whole), SEGMENT):
+        _count_subwords(whole[begin : begin + SEGMENT + max(GRAMS) - 1].astype(np.uint32), counts)
+    return counts
+
+
+def _count_subwords(data: np.ndarray, counts: np.ndarray) -> None:
+    """Add the subwords that begin in the first SEGMENT bytes of data."""
+    blank = data == _SPACE
     for n in GRAMS:
-        places = len(data) - n + 1
+        places = min(len(data) - n + 1, SEGMENT)
         if places <= 0:
             continue
         packed = np.full(places, n, np.uint32)
@@ -63,7 +70,6 @@ def subword_counts(text: str) -> np.ndarray:
             inner = blank[:places] & blank[1 : 1 + places]
         buckets = (packed * np.uint32(0x9E3779B1)) >> np.uint32(32 - (BUCKETS.bit_length() - 1))
         counts += np.bincount(buckets[~inner], minlength=BUCKETS)
-    return counts
 
 
 @dataclass(frozen=True)

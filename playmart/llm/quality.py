@@ -21,7 +21,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from playmart.llm.common import SPACES, U64, byte_set, doc_texts, mix, prefix_hash, range_hash, saved, spans, utf8
+from playmart.llm.common import (
+    SEGMENT, SPACES, U64, byte_set, doc_texts, mix, prefix_hash, range_hash, saved, spans, utf8, word_hashes,
+)
 
 GRAM = 4  # bytes of an n-gram
 BUCKETS = 1 << 16
@@ -40,22 +42,27 @@ FEATURES = (
 )
 
 
-def gram_buckets(data: np.ndarray) -> np.ndarray:
-    """Hash bucket of every byte n-gram; a text shorter than one n-gram has none."""
-    n = len(data) - GRAM + 1
-    if n <= 0:
-        return np.zeros(0, np.int64)
-    packed = np.zeros(n, U64)
-    for k in range(GRAM):
-        packed |= data[k : k + n].astype(U64) << U64(8 * k)
-    return (mix(packed) >> U64(64 - (BUCKETS.bit_length() - 1))).astype(np.int64)
+def gram_buckets(data: np.ndarray) -> Iterator[np.ndarray]:
+    """Hash buckets of all byte n-grams, a segment at a time; a text shorter than one n-gram has none."""
+    for begin in range(0, len(data) - GRAM + 1, SEGMENT):
+        n = min(SEGMENT, len(data) - GRAM + 1 - begin)
+        packed = np.zeros(n, U64)
+        for k in range(GRAM):
+            packed |= data[begin + k : begin + k + n].astype(U64) << U64(8 * k)
+        yield (mix(packed) >> U64(64 - (BUCKETS.bit_length() - 1))).astype(np.int64)
+
+
+def _score(data: np.ndarray, ratio: np.ndarray) -> float:
+    """Mean log ratio over the n-grams; 0 if there are none."""
+    total = sum(float(ratio[found].sum()) for found in gram_buckets(data))
+    return total / max(1, len(data) - GRAM + 1)
 
 
 def _repeat_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> int:
     """Words inside 3-word windows that are found at least twice."""
     if len(starts) < 4:
         return 0
-    words = range_hash(prefix_hash(data), starts, ends)
+    words = word_hashes(data, starts, ends)
     places = np.arange(len(words) - 2)
     windows = range_hash(prefix_hash(words), places, places + 3)
     order = np.argsort(windows, kind="stable")
@@ -107,10 +114,11 @@ def log_ratio(docs: DataFrame, labels: DataFrame) -> np.ndarray:
         raw, trusted = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
         for batch in batches:
             for text, good in zip(utf8(batch.column(0)), batch.column(1).to_pylist()):
-                found = np.bincount(gram_buckets(np.frombuffer(text, np.uint8)), minlength=BUCKETS)
-                raw += found
-                if good:
-                    trusted += found
+                for buckets in gram_buckets(np.frombuffer(text, np.uint8)):
+                    found = np.bincount(buckets, minlength=BUCKETS)
+                    raw += found
+                    if good:
+                        trusted += found
         at = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays(
             [pa.array(at), pa.array(raw[at]), pa.array(trusted[at])], ["bucket", "raw", "trusted"]
@@ -136,8 +144,7 @@ def features(docs: DataFrame, ratio: np.ndarray, name: str = "quality") -> DataF
             rows, scores = [], []
             for text in utf8(batch.column(at)):
                 rows.append(base_counts(text or b""))
-                found = gram_buckets(np.frombuffer(text or b"", np.uint8))
-                scores.append(float(ratio[found].mean()) if len(found) else 0.0)
+                scores.append(_score(np.frombuffer(text or b"", np.uint8), ratio))
             counts = np.array(rows, np.int64).reshape(-1, 5)
             fields = [*(pa.array(counts[:, k]) for k in range(5)), pa.array(scores, pa.float64())]
             struct = pa.StructArray.from_arrays(fields, [f.split()[0] for f in FEATURES.split(", ")])

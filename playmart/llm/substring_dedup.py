@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from playmart.llm.common import (
-    U64, doc_texts, mix, prefix_hash, range_hash, whole_groups,
+    SEGMENT, U64, doc_texts, mix, prefix_hash, range_hash, whole_groups,
 )
 
 MIN_BYTES = 100
@@ -56,19 +56,39 @@ def _sliding(values: np.ndarray, width: int, pick: Callable) -> np.ndarray:
 
 
 def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Positions, gram hash and hash of the surroundings (with their extent) of all anchors of a text."""
+    """Positions, gram hash and hash of the surroundings (with their extent) of all anchors of a text.
+
+    A segment of a long text is looked at with what its windows reach on both sides; an anchor of windows of
+    two segments is found in both and counts once.
+    """
     n = len(data)
     if n < MIN_BYTES:
         return np.zeros(0, np.int64), np.zeros(0, U64), np.zeros(0, U64)
+    found = []
+    for first in range(0, n - MIN_BYTES + 1, SEGMENT):
+        last = min(first + SEGMENT, n - MIN_BYTES + 1)  # windows that begin from first to last
+        low, high = max(0, first - SIDE), min(n, last + 2 * MIN_BYTES)
+        part = _anchors_of_part(data[low:high], first - low, last - low)
+        found.append((part[0] + low, *part[1:]))
+    pos, gram, around = (np.concatenate(x) for x in zip(*found))
+    pos, once = np.unique(pos, return_index=True)
+    return pos, gram[once], around[once]
+
+
+def _anchors_of_part(data: np.ndarray, first: int, last: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Anchors of the windows that begin in data from first to last (exclusive)."""
+    n = len(data)
     prefix = prefix_hash(data)
-    at = np.arange(n - GRAM + 1)
+    at = np.arange(first, last + SIDE)
     grams = range_hash(prefix, at, at + GRAM)
     least = _sliding(grams, WINDOWS, np.minimum)
     pad = np.zeros(SIDE, U64)
     chosen = np.flatnonzero(_sliding(np.concatenate((pad, least, pad)), WINDOWS, np.maximum) == grams)
+    gram = grams[chosen]
+    chosen = chosen + first
     low, high = np.maximum(chosen - SIDE, 0), np.minimum(chosen + MIN_BYTES, n)
     around = mix(range_hash(prefix, low, high) + (chosen - low).astype(U64))
-    return chosen, grams[chosen], around
+    return chosen, gram, around
 
 
 KEYED = "gram bigint, around bigint, doc bigint, sub int, pos int"

@@ -7,7 +7,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from playmart.llm import chat, language_id, licenses, pieces, quality, token_counts
+from playmart.llm import (
+    chat, common, decontaminate, language_id, licenses, pieces, quality, substring_dedup, token_counts,
+)
 from playmart.llm.queries import BYTE_VOCABULARY, ORACLE, QUERIES, WORD_VOCABULARY
 from tests.compare import assert_same, connect
 from tests.conftest import TESTDATA
@@ -20,6 +22,25 @@ def by_id(df):
     return {r["doc_id"]: r for r in df.collect()}
 
 
+def test_segments_of_long_texts_change_nothing(rng, monkeypatch):
+    text = prose(rng, 4000)
+    data = np.frombuffer(text.encode(), np.uint8)
+    ratio = np.random.default_rng(1).normal(size=quality.BUCKETS)
+
+    def all_of_it():
+        return (
+            round(quality._score(data, ratio), 9), quality.base_counts(text.encode()),
+            language_id.subword_counts(text).tolist(), [x.tolist() for x in substring_dedup.anchors(data)],
+            decontaminate._seeds_of(text)[3].tolist(),
+        )
+
+    whole = all_of_it()
+    for size in (100, 4099):
+        for module in (common, quality, language_id, substring_dedup):
+            monkeypatch.setattr(module, "SEGMENT", size)
+        assert all_of_it() == whole
+
+
 # Quality ---------------------------------------------------------------------------------------------
 
 
