@@ -1,8 +1,9 @@
 """Connected components by alternating large-star and small-star steps.
 
-Each step is two shuffles of the edges. The smallest neighbour of a node is taken by an aggregate that Spark
-combines before the shuffle, and joined back, so the neighbours of a node are never collected. Edges are
-written to the checkpoint folder after every step.
+The smallest neighbour of a node is taken by an aggregate that Spark combines before the shuffle, and joined
+back, so the neighbours of a node are never collected. The smallest neighbours are written to the checkpoint
+folder before the join: a join on a plain shuffle is one that Spark can split where a node has very many
+edges, one on an aggregate is not. Edges are written after every step too.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     if large:
         ends = ends.union(ends.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = ends.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    least = saved(least)
     joined = ends.join(least, "u")
     if large:
         out = joined.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))

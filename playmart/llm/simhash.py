@@ -166,7 +166,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
     found = components(links(nodes.select("fp"), max_bits)).withColumnRenamed("node", "fp")
     labelled = nodes.join(found, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    smallest = labelled.groupBy("root").agg(F.min("first").alias("component_id"))
+    labelled = saved(labelled.select("fp", "first", "root"))
+    # Saved, so that the join is on a plain shuffle, where Spark splits a component of very many fingerprints.
+    smallest = saved(labelled.groupBy("root").agg(F.min("first").alias("component_id")))
     by_fp = labelled.join(smallest, "root").select("fp", "component_id")
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
     return rows.join(by_fp, "fp").select("doc_id", hexed, "component_id")
