@@ -20,7 +20,8 @@ begin at anchors and to extend those to the left.
 
 Defined cases: a null or empty text has no bytes; texts shorter than MIN_BYTES lose nothing. Rows that repeat
 a doc_id are documents of their own, ordered by the hash of their text, so of wholly repeated rows one stays
-whole. A null doc_id counts as smaller than all others. Strings are judged on the input, overlapping ones too.
+whole. Rows without a doc_id come before all others, ordered by that hash. Strings are judged on the input,
+overlapping ones too.
 """
 
 from __future__ import annotations
@@ -42,7 +43,8 @@ GRAM = 32
 SIDE = MIN_BYTES - GRAM  # bytes that a string through an anchor may reach to either side of its gram
 WINDOWS = SIDE + 1  # strings of MIN_BYTES through an anchor
 
-NULL_ID = -(1 << 63)  # stands for a null doc_id inside the operator
+# Inside the operator a row without a doc_id has one below this, by its text; such ids are not for documents.
+NO_ID_BELOW = -(1 << 62)
 
 
 def _sliding(values: np.ndarray, width: int, pick: Callable) -> np.ndarray:
@@ -268,7 +270,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 removed, count = int((high - low).sum()), len(low)
                 ends = [0, *high.tolist()]
                 kept = b"".join(text[a:b] for a, b in zip(ends, [*low.tolist(), len(text)]))
-            rows.append((None if doc == NULL_ID else doc, len(text), removed, count, kept))
+            rows.append((None if doc < NO_ID_BELOW else doc, len(text), removed, count, kept))
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
         yield pa.RecordBatch.from_arrays(
             [pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)],
@@ -276,20 +278,31 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _with(base: DataFrame, more: DataFrame, how: str) -> DataFrame:
+    """Rows of base with what `more` has of the same document."""
+    more = more.withColumnsRenamed({"doc": "_doc", "sub": "_sub"})
+    same = (F.col("doc") == F.col("_doc")) & (F.col("sub") - F.col("_sub") == 0)
+    return base.join(more, same, how).drop("_doc", "_sub")
+
+
 def remove_repeated(docs: DataFrame) -> DataFrame:
     """REMOVED for every row: kept holds the remaining bytes."""
+    no_id = F.shiftrightunsigned(F.xxhash64("text"), 2) + F.lit(-(1 << 63))
     text = doc_texts(docs).select(
-        F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc"), F.col("text").cast("binary").alias("text")
+        F.coalesce("doc_id", no_id).alias("doc"), F.col("text").cast("binary").alias("text")
     )
-    # Dealt out by document once: the anchors, the fetched bytes and the cut texts all read this exchange.
+    # Dealt out by document once: the anchors, the fetched bytes and the cut texts all read this exchange. The
+    # joins below are on doc alone for that; sub only tells rows of one doc_id apart.
     row = F.row_number().over(Window.partitionBy("doc").orderBy(F.xxhash64("text"))) - 1
     base = text.withColumn("sub", row.cast("int")).select("doc", "sub", "text")
     found = base.mapInArrow(_find_anchors, KEYED).repartition("gram").sortWithinPartitions("gram")
-    wanted = found.mapInArrow(_settle, REQUESTS).groupBy("doc", "sub").agg(
+    wanted = found.mapInArrow(_settle, REQUESTS).repartition("doc").groupBy("doc", "sub").agg(
         F.collect_list(F.struct("pos", "gram", "whole")).alias("wanted")  # of one document
     )
-    parts = base.join(wanted, ["doc", "sub"]).select("doc", "sub", "text", "wanted").mapInArrow(_fetch, PARTS)
+    parts = _with(base, wanted, "inner").select("doc", "sub", "text", "wanted").mapInArrow(_fetch, PARTS)
     ranges = parts.repartition("gram").sortWithinPartitions("gram").mapInArrow(_expand, COVERED)
-    covered = ranges.groupBy("doc", "sub").agg(F.collect_list(F.struct("low", "high")).alias("covered"))
-    return base.join(covered, ["doc", "sub"], "left").select("doc", "text", "covered").mapInArrow(_cut, REMOVED)
+    covered = ranges.repartition("doc").groupBy("doc", "sub").agg(
+        F.collect_list(F.struct("low", "high")).alias("covered")
+    )
+    return _with(base, covered, "left").select("doc", "text", "covered").mapInArrow(_cut, REMOVED)
 
