@@ -1,7 +1,7 @@
 """Token counts without token ids: pieces per distinct pre-token, joined to per-document frequencies.
 
 1. Every Arrow batch of documents becomes one row per distinct pre-token of the batch, with the documents it
-   is in and how often (short arrays). A pre-token that is in every document is one row per batch, not per
+   is in and how often (a short array). A pre-token that is in every document is one row per batch, not per
    document, so it makes no hot key.
 2. These rows are dealt out by pre-token once. Both the distinct pre-tokens, whose pieces are counted once
    each, and the join back to the frequencies use that exchange.
@@ -25,38 +25,42 @@ from pyspark.sql import functions as F
 from playmart.llm.common import doc_texts
 from playmart.llm.pieces import vocabulary
 
-# slot 0 holds pre-tokens; the batch's document list is a row of its own, told apart by its slot.
-FREQUENCIES = (
-    "piece string, slot bigint, first bigint, docs array<int>, times array<int>, "
-    "doc_ids array<bigint>, bytes array<bigint>"
-)
+# slot 0 holds pre-tokens; the batch's document list is a row of its own, told apart by its slot. An entry of
+# found is a document's place in the batch and a frequency; a larger one is divided over several entries.
+FREQUENCIES = "piece string, slot bigint, first bigint, found array<int>, doc_ids array<bigint>, bytes array<bigint>"
+PLACES = 1 << 16  # documents in a batch at most
+MOST = (1 << 15) - 1  # frequency in an entry at most
 SPECIAL = "\0special"  # a special token found in a text: one token; no pre-token looks like this
 
 
+def _entries(pairs: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs repeated where the frequency needs more than one entry, and the frequency of each entry."""
+    parts = -(-times // MOST)
+    repeated = np.repeat(pairs, parts)
+    left = np.full(len(repeated), MOST)
+    left[np.cumsum(parts) - 1] = times - (parts - 1) * MOST
+    return repeated, left
+
+
 def _frequencies(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (b.slice(k, PLACES) for b in batches for k in range(0, b.num_rows, PLACES)):
             names: dict[str, int] = {}
             codes: list[np.ndarray] = []
-            sizes: list[int] = []
             for text in batch.column(2).to_pylist():
                 parts = vocab.pre_tokens(text) if vocab.plain(text) else [
                     SPECIAL if p is None else p for p in vocab.library_parts(text)
                 ]
                 codes.append(np.array([names.setdefault(p, len(names)) for p in parts], np.int64))
-                sizes.append(len(parts))
-            rows = np.repeat(np.arange(len(sizes)), sizes)
-            n_docs = len(sizes)
-            pairs, times = np.unique(np.concatenate(codes) * n_docs + rows, return_counts=True)
-            ends = np.searchsorted(pairs, np.arange(len(names) + 1) * n_docs).astype(np.int32)
-            first = batch.column(0)[0].as_py()
+            n_docs = len(codes)
+            rows = np.repeat(np.arange(n_docs), [len(c) for c in codes])
+            pairs, times = _entries(*np.unique(np.concatenate(codes) * n_docs + rows, return_counts=True))
+            ends = np.searchsorted(pairs, np.arange(len(names) + 1) * n_docs)
             # After the pre-tokens one row with the documents themselves.
-            ends = np.append(ends, np.int32(len(pairs) + n_docs))
-            docs = np.concatenate((pairs % n_docs, np.arange(n_docs))).astype(np.int32)
-            counts = np.concatenate((times, np.zeros(n_docs, np.int64))).astype(np.int32)
+            ends = np.append(ends, len(pairs) + n_docs).astype(np.int32)
+            found = np.concatenate((pairs % n_docs + times * PLACES, np.arange(n_docs))).astype(np.int32)
+            first = batch.column(0)[0].as_py()
             only_last = np.append(np.zeros(len(names) + 1, np.int32), np.int32(n_docs))
             nothing = pa.array(np.append(np.ones(len(names), bool), False))
             yield pa.RecordBatch.from_arrays(
@@ -64,8 +68,7 @@ def _frequencies(path: str):
                     pa.array([*names, ""], pa.string()),
                     pa.array(np.append(np.zeros(len(names), np.int64), first + 1)),
                     pa.array(np.full(len(names) + 1, first, np.int64)),
-                    pa.ListArray.from_arrays(pa.array(ends), pa.array(docs)),
-                    pa.ListArray.from_arrays(pa.array(ends), pa.array(counts)),
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(found)),
                     pa.ListArray.from_arrays(pa.array(only_last), batch.column(1), mask=nothing),
                     pa.ListArray.from_arrays(pa.array(only_last), batch.column(3), mask=nothing),
                 ],
@@ -91,15 +94,15 @@ def count_tokens(docs: DataFrame, vocabulary_path: str) -> DataFrame:
 
     # The aggregate over the arrays makes this side ask for the same columns as the other, so that Spark
     # deals the rows out once for both.
-    whole = F.max(F.hash("first", "docs", "times", "doc_ids", "bytes")).alias("seen")
+    whole = F.max(F.hash("first", "found", "doc_ids", "bytes")).alias("seen")
     distinct = found.groupBy("piece", "slot").agg(whole).where("seen IS NOT NULL").select("piece", "slot")
     counted = distinct.withColumn("pieces", pieces("piece"))
     joined = found.join(counted, ["piece", "slot"])
-    per_doc = joined.select(
-        "pieces", "first", "doc_ids", "bytes", F.posexplode(F.arrays_zip("docs", "times")).alias("at", "f")
-    ).select(
-        (F.col("first") + F.col("f.docs")).alias("row"),
-        (F.col("pieces").cast("bigint") * F.col("f.times")).alias("n"),
+    # The outer form adds no filter of its own to this side of the join, so that both sides stay one exchange.
+    entries = F.posexplode_outer("found").alias("at", "entry")
+    per_doc = joined.select("pieces", "first", "doc_ids", "bytes", entries).select(
+        (F.col("first") + F.col("entry") % PLACES).alias("row"),
+        (F.col("pieces").cast("bigint") * F.shiftright("entry", PLACES.bit_length() - 1)).alias("n"),
         F.col("doc_ids")[F.col("at")].alias("doc_id"),
         F.col("bytes")[F.col("at")].alias("n_bytes"),
     )
