@@ -45,9 +45,13 @@ def as_alphabet(pre_token: str) -> str:
 
 
 class Vocabulary:
-    """One tokenizer file, with the pre-tokens seen so far and their ids."""
+    """One tokenizer file, with the pre-tokens seen lately and their ids.
 
-    REMEMBERED = 1_000_000  # pre-tokens held in a task; beyond, the memory starts anew
+    They are held in two generations: when the young one is full it becomes the old one, which goes when the
+    next is full. What is asked for again moves up, so frequent pre-tokens stay.
+    """
+
+    REMEMBERED = 200_000  # pre-tokens of a generation
 
     def __init__(self, path: str) -> None:
         self.library = Tokenizer.from_file(path)
@@ -55,6 +59,7 @@ class Vocabulary:
         self.lower = self.library.normalizer is not None
         self.pattern = WORD_LEVEL if self.lower else BYTE_LEVEL
         self._known: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
 
     def plain(self, text: str) -> bool:
         """True if pre_tokens gives what the library would."""
@@ -68,9 +73,13 @@ class Vocabulary:
         return len(self.library.model.tokenize(as_alphabet(pre_token)))
 
     def _ids_of(self, pre_token: str) -> bytes:
-        ids = np.array([t.id for t in self.library.model.tokenize(as_alphabet(pre_token))], "<u4").tobytes()
+        ids = self._older.get(pre_token)
+        if ids is None:
+            tokens = self.library.model.tokenize(as_alphabet(pre_token))
+            ids = np.array([t.id for t in tokens], "<u4").tobytes()
         if len(self._known) >= self.REMEMBERED:
-            self._known.clear()
+            self._older = dict(self._known)
+            self._known.clear()  # the same object, which encode() has in hand
         self._known[pre_token] = ids
         return ids
 
