@@ -25,9 +25,12 @@ from pyspark.sql import functions as F
 from playmart.llm.common import doc_texts
 from playmart.llm.pieces import vocabulary
 
-# slot 0 holds pre-tokens; the batch's document list is a row of its own, told apart by its slot. An entry of
-# found is a document's place in the batch and a frequency; a larger one is divided over several entries.
-FREQUENCIES = "piece string, slot bigint, first bigint, found array<int>, doc_ids array<bigint>, bytes array<bigint>"
+# slot 0 holds pre-tokens; the batch's document list is a row of its own, told apart by its slot. An entry is a
+# document's place in the batch and a frequency; a larger one is divided over several entries. Most pre-tokens
+# have a single entry, which is a plain number in place of an array.
+FREQUENCIES = (
+    "piece string, slot bigint, first bigint, entry int, found array<int>, doc_ids array<bigint>, bytes array<bigint>"
+)
 PLACES = 1 << 16  # documents in a batch at most
 MOST = (1 << 15) - 1  # frequency in an entry at most
 SPECIAL = "\0special"  # a special token found in a text: one token; no pre-token looks like this
@@ -52,14 +55,18 @@ def _frequencies(path: str):
                 parts = vocab.pre_tokens(text) if vocab.plain(text) else [
                     SPECIAL if p is None else p for p in vocab.library_parts(text)
                 ]
-                codes.append(np.array([names.setdefault(p, len(names)) for p in parts], np.int64))
+                codes.append(np.array([names.setdefault(p, len(names)) for p in parts], np.int32))
             n_docs = len(codes)
             rows = np.repeat(np.arange(n_docs), [len(c) for c in codes])
-            pairs, times = _entries(*np.unique(np.concatenate(codes) * n_docs + rows, return_counts=True))
+            pairs = np.concatenate(codes).astype(np.int64) * n_docs + rows
+            pairs, times = _entries(*np.unique(pairs, return_counts=True))
             ends = np.searchsorted(pairs, np.arange(len(names) + 1) * n_docs)
             # After the pre-tokens one row with the documents themselves.
             ends = np.append(ends, len(pairs) + n_docs).astype(np.int32)
             found = np.concatenate((pairs % n_docs + times * PLACES, np.arange(n_docs))).astype(np.int32)
+            single = np.diff(ends) == 1
+            single[-1] = False
+            entry = np.append(found, np.int32(0))[ends[:-1]]
             first = batch.column(0)[0].as_py()
             only_last = np.append(np.zeros(len(names) + 1, np.int32), np.int32(n_docs))
             nothing = pa.array(np.append(np.ones(len(names), bool), False))
@@ -68,7 +75,8 @@ def _frequencies(path: str):
                     pa.array([*names, ""], pa.string()),
                     pa.array(np.append(np.zeros(len(names), np.int64), first + 1)),
                     pa.array(np.full(len(names) + 1, first, np.int64)),
-                    pa.ListArray.from_arrays(pa.array(ends), pa.array(found)),
+                    pa.array(entry, mask=~single),
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(found), mask=pa.array(single)),
                     pa.ListArray.from_arrays(pa.array(only_last), batch.column(1), mask=nothing),
                     pa.ListArray.from_arrays(pa.array(only_last), batch.column(3), mask=nothing),
                 ],
@@ -94,12 +102,13 @@ def count_tokens(docs: DataFrame, vocabulary_path: str) -> DataFrame:
 
     # The aggregate over the arrays makes this side ask for the same columns as the other, so that Spark
     # deals the rows out once for both.
-    whole = F.max(F.hash("first", "found", "doc_ids", "bytes")).alias("seen")
+    whole = F.max(F.hash("first", "entry", "found", "doc_ids", "bytes")).alias("seen")
     distinct = found.groupBy("piece", "slot").agg(whole).where("seen IS NOT NULL").select("piece", "slot")
     counted = distinct.withColumn("pieces", pieces("piece"))
     joined = found.join(counted, ["piece", "slot"])
     # The outer form adds no filter of its own to this side of the join, so that both sides stay one exchange.
-    entries = F.posexplode_outer("found").alias("at", "entry")
+    every = F.coalesce("found", F.array("entry"))
+    entries = F.posexplode_outer(every).alias("at", "entry")
     per_doc = joined.select("pieces", "first", "doc_ids", "bytes", entries).select(
         (F.col("first") + F.col("entry") % PLACES).alias("row"),
         (F.col("pieces").cast("bigint") * F.shiftright("entry", PLACES.bit_length() - 1)).alias("n"),
