@@ -111,7 +111,26 @@ def _forest(f: np.ndarray, max_bits: int) -> list[tuple[np.ndarray, np.ndarray]]
     return out
 
 
-def _links(max_bits: int):
+def _contract(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links from every node to the smallest it is connected to by the given ones."""
+    nodes, at = np.unique(np.concatenate((a, b)), return_inverse=True)
+    u, v = at[: len(a)], at[len(a) :]
+    root = np.arange(len(nodes))
+    while True:
+        low = np.minimum(root[u], root[v])
+        new = root.copy()
+        np.minimum.at(new, root[u], low)
+        np.minimum.at(new, root[v], low)
+        while (new[new] != new).any():
+            new = new[new]
+        if (new == root).all():
+            break
+        root = new
+    moved = np.flatnonzero(root != np.arange(len(nodes)))
+    return nodes[moved], nodes[root[moved]]
+
+
+def _links(max_bits: int, contract: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = ["t", "bytes", "part"]
         for rows in whole_groups(batches, keys):
@@ -130,13 +149,19 @@ def _links(max_bits: int):
                 found += _forest(f[bounds[g] : bounds[g + 1]], max_bits)
             if found:
                 a, b = (np.concatenate(x).view(np.int64) for x in zip(*found))
+                if contract:
+                    a, b = _contract(a, b)
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     return run
 
 
-def links(nodes: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataFrame:
-    """Links a, b that connect all distinct fp at most max_bits apart; max_bits is 4 at most."""
+def links(nodes: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK, contract: bool = False) -> DataFrame:
+    """Links a, b that connect all distinct fp at most max_bits apart; max_bits is 4 at most.
+
+    With contract=True a task replaces the links it has found by links to the smallest connected node, which
+    need not be near itself: fewer links and steps where only the components are wanted.
+    """
     masks = []
     for n, t in enumerate(triples()):
         mask = sum(0xFF << (8 * i) for i in t)
@@ -155,7 +180,7 @@ def links(nodes: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> Dat
     )
     keys = ["t", "bytes", "part"]
     dealt = rows.select("t", "bytes", part.cast("int").alias("part"), "fp").repartition(*keys)
-    return dealt.sortWithinPartitions(*keys).mapInArrow(_links(max_bits), "a bigint, b bigint")
+    return dealt.sortWithinPartitions(*keys).mapInArrow(_links(max_bits, contract), "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
@@ -164,7 +189,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
         raise ValueError(f"max_bits is between 0 and {MAX_BITS}")
     rows = saved(fingerprints(docs, shingle))
     nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    found = components(links(nodes.select("fp"), max_bits)).withColumnRenamed("node", "fp")
+    found = components(links(nodes.select("fp"), max_bits, contract=True)).withColumnRenamed("node", "fp")
     labelled = nodes.join(found, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     labelled = saved(labelled.select("fp", "first", "root"))
     # Saved, so that the join is on a plain shuffle, where Spark splits a component of very many fingerprints.

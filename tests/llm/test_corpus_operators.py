@@ -92,6 +92,8 @@ def test_links_connect_what_is_close(spark, rng, block):
     pairs = [(r.a % (1 << 64), r.b % (1 << 64)) for r in found]
     assert all((a ^ b).bit_count() <= 4 for a, b in pairs)
     assert joined(pairs, prints) == expected
+    short = simhash.links(nodes, 4, block, contract=True).collect()
+    assert joined([(r.a % (1 << 64), r.b % (1 << 64)) for r in short], prints) == expected
 
 
 def test_simhash_odd_input(spark, frame, rng):
