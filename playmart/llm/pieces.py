@@ -8,6 +8,7 @@ distinct pre-token goes through the library's BPE model once.
 from __future__ import annotations
 
 import re
+import struct
 import unicodedata
 from functools import cache
 
@@ -41,6 +42,8 @@ def byte_alphabet() -> dict[int, str]:
 
 
 def as_alphabet(pre_token: str) -> str:
+    if pre_token.isascii() and pre_token.isalnum():
+        return pre_token  # stand-ins of themselves
     return pre_token.encode().decode("latin-1").translate(byte_alphabet())
 
 
@@ -51,7 +54,7 @@ class Vocabulary:
     next is full. What is asked for again moves up, so frequent pre-tokens stay.
     """
 
-    REMEMBERED = 200_000  # pre-tokens of a generation
+    REMEMBERED = 250_000  # pre-tokens of a generation
 
     def __init__(self, path: str) -> None:
         self.library = Tokenizer.from_file(path)
@@ -76,7 +79,7 @@ class Vocabulary:
         ids = self._older.get(pre_token)
         if ids is None:
             tokens = self.library.model.tokenize(as_alphabet(pre_token))
-            ids = np.array([t.id for t in tokens], "<u4").tobytes()
+            ids = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
         if len(self._known) >= self.REMEMBERED:
             self._older = dict(self._known)
             self._known.clear()  # the same object, which encode() has in hand
