@@ -247,6 +247,36 @@ def test_line_dedup_against_brute_force(spark, frame, rng):
     assert line_dedup.line_dedup(frame([])).count() == 0
 
 
+def plain_whole_runs(rows, least=line_dedup.MIN_WORDS):
+    """Every line inside any repeated run of enough words goes."""
+    first, gone = {}, {}
+    for key, text in sorted(rows, key=lambda r: r[0]):
+        lines = (text or "").split("\n")
+        held = [k for k, x in enumerate(lines) if x.encode().split()]
+        for a in range(len(held)):
+            for b in range(a, len(held)):
+                run = tuple(lines[k] for k in held[a : b + 1])
+                if sum(len(x.encode().split()) for x in run) >= least and first.setdefault(run, (key, a)) != (key, a):
+                    gone.setdefault(key, set()).update(range(held[a], held[b] + 1))
+    return {
+        key: text if key not in gone else "\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone[key])
+        for key, text in rows
+    }
+
+
+def test_line_dedup_of_whole_runs(spark, frame, rng):
+    long, mid, short = " ".join("abcdefghijkl"), "m n o", "p q"
+    tail = [(1, f"{long}\n{mid}\n{short}"), (2, f"{long}\n{mid}\n{short}"), (3, f"x\n{long}\n{mid}\n{short}\ny")]
+    out = line_dedup.delete_repeated_runs(frame(tail), whole=True).collect()
+    assert {r.doc_id: r.text for r in out} == {1: tail[0][1], 2: "", 3: "x\ny"}
+    lines = [" ".join(rng.choice("abcde") for _ in range(rng.choice([1, 2, 3, 6, 12]))) for _ in range(25)] + ["", " ", "\t"]
+    rows = [(i, "\n".join(rng.choice(lines) for _ in range(rng.randrange(30)))) for i in range(120)]
+    rows += [(200 + i, t) for i, t in enumerate(ODD)] + [(300, rows[5][1]), (301, f"{rows[6][1]}\nend")]
+    expected = plain_whole_runs(rows)
+    assert expected != plain_line_dedup(rows)
+    assert {r.doc_id: r.text for r in line_dedup.delete_repeated_runs(frame(rows, 3), whole=True).collect()} == expected
+
+
 def test_line_dedup_query(spark, texts):
     kept = plain_line_dedup(list(texts.items()))
     for r in QUERIES["op6_line_dedup"](spark, SF).collect():
