@@ -11,8 +11,9 @@ forest), not all pairs. Lists longer than BLOCK are cut into blocks by hash and
 compared in a task of its own, so no task holds a whole hot list and no link is lost.
 
 Defined cases: a null or empty text has fingerprint zero and is linked like any other. Rows with the same
-doc_id are kept as rows; a null doc_id takes part and counts as larger than all others when the smallest id
-of a component is taken. An empty table gives an empty result.
+doc_id are kept as rows in near_duplicates; a null doc_id takes part and counts as larger than all others when
+the smallest id of a component is taken. first_of_groups judges rows, not ids: of the rows with an id one of the
+smallest id stays, and of the rows without an id one, beside it. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -73,15 +74,21 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and fp (the 64 bits as a signed number) of every row."""
+def _printed(rows: DataFrame, shingle: int) -> DataFrame:
+    """fp (the 64 bits as a signed number) in place of text, the last column; the others are bigint."""
+    names = [*rows.columns[:-1], "fp"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([fingerprint(t, shingle) for t in utf8(batch.column(1))], U64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], ["doc_id", "fp"])
+            found = np.array([fingerprint(t, shingle) for t in utf8(batch.columns[-1])], U64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found)], names)
+
+    return rows.mapInArrow(run, ", ".join(f"{c} bigint" for c in names))
+
 
-    return doc_texts(docs).mapInArrow(run, "doc_id bigint, fp bigint")
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """doc_id and fp (the 64 bits as a signed number) of every row."""
+    return _printed(doc_texts(docs), shingle)
 
 
 def linked(a: np.ndarray, b: np.ndarray, max_bits: int = MAX_BITS) -> np.ndarray:
@@ -183,15 +190,22 @@ def links(nodes: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK, contra
     return dealt.sortWithinPartitions(*keys).mapInArrow(_links(max_bits, contract), "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """doc_id, fingerprint (hex) and component_id (smallest doc_id that can be reached) of every row."""
+def _check(max_bits: int) -> None:
     if not 0 <= max_bits <= MAX_BITS:
         raise ValueError(f"max_bits is between 0 and {MAX_BITS}")
-    rows = saved(fingerprints(docs, shingle))
-    nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
+
+
+def _labelled(nodes: DataFrame, max_bits: int) -> DataFrame:
+    """nodes (distinct fp, any other columns) with root, the same for all of a component."""
     found = components(links(nodes.select("fp"), max_bits, contract=True)).withColumnRenamed("node", "fp")
-    labelled = nodes.join(found, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    labelled = saved(labelled.select("fp", "first", "root"))
+    return saved(nodes.join(found, "fp", "left").withColumn("root", F.coalesce("root", "fp")))
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """doc_id, fingerprint (hex) and component_id (smallest doc_id that can be reached) of every row."""
+    _check(max_bits)
+    rows = saved(fingerprints(docs, shingle))
+    labelled = _labelled(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), max_bits)
     # Saved, so that the join is on a plain shuffle, where Spark splits a component of very many fingerprints.
     smallest = saved(labelled.groupBy("root").agg(F.min("first").alias("component_id")))
     by_fp = labelled.join(smallest, "root").select("fp", "component_id")
@@ -200,7 +214,17 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
 
 
 def first_of_groups(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """The documents that are the smallest id of their component; rows without an id stay."""
-    found = near_duplicates(docs, shingle, max_bits)
-    later = found.where("doc_id != component_id").select("doc_id").distinct()
-    return docs.join(later, "doc_id", "left_anti").select(*docs.columns)
+    """Of every component the first row of the smallest id, and the first row without an id."""
+    _check(max_bits)
+    # Written with a key of its own for every row, which stays the same however often it is read.
+    keyed = saved(docs.withColumn("_row", F.monotonically_increasing_id()))
+    texts = keyed.select(F.col("doc_id").cast("bigint"), "_row", F.coalesce("text", F.lit("")).alias("text"))
+    rows = saved(_printed(texts, shingle))
+    named = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "_row"))
+    unnamed = F.when(F.col("doc_id").isNull(), F.col("_row"))
+    labelled = _labelled(rows.groupBy("fp").agg(F.min(named).alias("named"), F.min(unnamed).alias("unnamed")), max_bits)
+    first = labelled.groupBy("root").agg(F.min("named")["_row"].alias("named"), F.min("unnamed").alias("unnamed"))
+    by_fp = labelled.select("fp", "root").join(saved(first), "root").drop("root")
+    stays = F.when(F.col("doc_id").isNull(), F.col("unnamed")).otherwise(F.col("named"))
+    later = rows.join(by_fp, "fp").where(F.col("_row") != stays).select("_row")
+    return keyed.join(later, "_row", "left_anti").select(*docs.columns)

@@ -114,6 +114,19 @@ def test_simhash_odd_input(spark, frame, rng):
     assert simhash.near_duplicates(frame([])).count() == 0 and simhash.first_of_groups(frame([])).count() == 0
 
 
+def test_one_row_of_a_group_stays(spark, frame, rng):
+    """Rows that repeat the smallest id, copies without an id, and an id that is later in one group only."""
+    a, b, c, d = (prose(rng, 300) for _ in range(4))
+    rows = [(1, a), (1, a), (2, a), (None, b), (None, b), (None, b), (7, c), (None, c), (None, c), (2, d), (9, d)]
+    stay = simhash.first_of_groups(frame(rows, 3))
+    assert stay.columns == frame(rows).columns
+    assert sorted(repr((r.doc_id, r.text)) for r in stay.collect()) == sorted(
+        map(repr, [(1, a), (None, b), (7, c), (None, c), (2, d)])
+    )
+    many = frame([(None, a)] * 200 + [(k, b) for k in range(50)] * 2, 7)
+    assert sorted(repr(r.doc_id) for r in simhash.first_of_groups(many).collect()) == ["0", "None"]
+
+
 def test_components(spark, rng):
     chain = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(30)] + [(200, 200), (7, 3)]
     chain += [(rng.randrange(300, 400), rng.randrange(300, 400)) for _ in range(60)]
