@@ -248,7 +248,7 @@ class _Run:
         rows.write.mode("overwrite").parquet(path)
         good, corrupt = feeds.split_corrupt(self.spark.read.schema(feed.schema).parquet(path))
         aside = f"{self.root}/runs/{self.run_id}/rejected/{name}"
-        corrupt.select(feeds.CORRUPT).coalesce(1).write.mode("overwrite").text(aside)
+        corrupt.select(feeds.CORRUPT).write.mode("overwrite").text(aside)
         found = self.rejected[name] = self.spark.read.text(aside).count()
         if found > self.max_corrupt:
             raise quality.DataQualityError(f"{found} corrupt rows put aside in {aside}, {self.max_corrupt} allowed")

@@ -7,6 +7,7 @@ from playmart import schemas, sinks
 from playmart.__main__ import main
 from playmart.operators import quality
 from playmart.plans import etl
+from playmart.sources import feeds
 from tests.feeds import PLAYS, T0, play, song, write_feeds, write_lines
 
 
@@ -116,6 +117,16 @@ def test_corrupt_rows_stop_a_load_or_are_put_aside(spark, roots, tmp_path):
     assert etl.load_period(spark, *month, max_corrupt=1).rejected == {"log": 1, "songs": 0}
 
 
+def test_corrupt_rows_are_written_by_all_tasks(spark, tmp_path):
+    feed = spark.createDataFrame([(f"broken {k}",) for k in range(8)], f"{feeds.CORRUPT} string").repartition(4)
+    run = etl._Run(spark, str(tmp_path), etl.LAKE, max_corrupt=8)
+    run.stage("log", feed)
+    assert run.rejected == {"log": 8}
+    aside = spark.read.text(f"{tmp_path}/runs/{run.run_id}/rejected/log")
+    assert sorted(r.value for r in aside.collect()) == [f"broken {k}" for k in range(8)]
+    assert len(aside.inputFiles()) > 1
+
+
 @pytest.mark.parametrize("redelivered, more", [("dropped", 0), ("kept", 4)])
 def test_redelivered_file(spark, tmp_path, redelivered, more):
     dialect = dataclasses.replace(etl.LAKE, redelivered=redelivered)
