@@ -1,4 +1,4 @@
-"""What the operators share: input columns, rolling hashes, word spans, streamed groups, saved tables.
+"""What the operators share: input columns, rolling hashes, word spans, streamed groups.
 
 Every operator reads only the columns it names, so further columns, whatever they are called, change
 nothing. A null text counts as empty unless the operator says otherwise.
@@ -6,7 +6,6 @@ nothing. A null text counts as empty unless the operator says otherwise.
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from playmart.shared import saved, shared_folder  # noqa: F401
+
 U64 = np.uint64
 
 SEGMENT = 1 << 20  # bytes of a text for which 64-bit arrays are held at a time
@@ -152,24 +153,3 @@ def _starts(rows: pa.Table, keys: list[str]) -> np.ndarray:
 def group_bounds(rows: pa.Table, keys: list[str]) -> np.ndarray:
     """Row numbers at which groups start, and the row count at the end."""
     return np.concatenate(([0], _starts(rows, keys), [rows.num_rows])).astype(np.int64)
-
-
-# Saved tables ----------------------------------------------------------------------------------------
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors and the driver share, set as the checkpoint folder."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-")
-        context.setCheckpointDir(folder)
-    return context.getCheckpointDir()
-
-
-def saved(df: DataFrame) -> DataFrame:
-    """The rows written to the shared checkpoint folder and read from there, which cuts the lineage.
-
-    The folder is the session's spark.checkpoint.dir; a folder of its own is only made where that is unset.
-    """
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
