@@ -7,8 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playmart.llm import (
-    chat, decontaminate, language_id, licenses, line_dedup, merkle, packing, quality, simhash,
-    substring_dedup, token_counts,
+    chat, decontaminate, language_id, licenses, line_dedup, merkle, packing, quality,
+    sentencepieces, simhash, substring_dedup, token_counts,
 )
 from playmart.llm.common import table
 from playmart.llm.oracle import ORACLE
@@ -18,6 +18,7 @@ __all__ = ["ORACLE", "QUERIES"]
 TOKEN_LIMIT = 512
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+PIECE_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _held_out() -> Column:
@@ -89,6 +90,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), WORD_VOCABULARY)
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepieces.encode_documents(table(spark, sf_dir, "documents"), PIECE_VOCABULARY)
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
     out = merkle.manifest(table(spark, sf_dir, "documents"), tampered)
@@ -102,6 +107,6 @@ QUERIES = {
     for f in (
         op1_language_id, op2_simhash, op3_license_scan, op4_token_counts, op5_decontamination, op6_line_dedup,
         op7_substring_dedup, op8_quality_rules, op9_chat_formatting, op10_best_fit_packing,
-        op13_merkle_manifest,
+        op11_sentencepiece, op13_merkle_manifest,
     )
 }
