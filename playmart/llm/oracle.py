@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from playmart.llm import chat, licenses, line_dedup
+from playmart.llm import chat, collocations, licenses, line_dedup
 
 # Words of a text as a list, [1] being word 0.
 _WORDS = (
@@ -126,6 +126,45 @@ SELECT conv_id, count(*) AS n_turns,
 FROM shown GROUP BY conv_id"""
 
 
+def phrases() -> str:
+    return rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+),
+worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM worded GROUP BY lang),
+placed AS (SELECT lang, w, unnest(generate_series(1, len(w))) AS i FROM worded),
+runs AS (SELECT lang, w[i:i + k - 1] AS words, k FROM placed, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE i + k - 1 <= len(w)),
+counts AS (SELECT lang, words, k, CAST(count(*) AS HUGEINT) AS f FROM runs GROUP BY ALL HAVING count(*) >= {collocations.MIN_COUNT}),
+cuts AS (
+  SELECT c.lang, c.words, c.f AS a, cut, l.f AS l, r.f AS r, t.n, (1000 * c.f * t.n) // (l.f * r.f) AS score
+  FROM (SELECT *, unnest(generate_series(1, k - 1)) AS cut FROM counts WHERE k > 1) c
+  JOIN counts l ON l.lang = c.lang AND l.words = c.words[1:cut]
+  JOIN counts r ON r.lang = c.lang AND r.words = c.words[cut + 1:]
+  JOIN totals t ON t.lang = c.lang
+),
+weakest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, cut) = 1),
+parts AS (
+  SELECT lang, words[i:i + size - 1] AS words, f FROM (
+    SELECT *, unnest(generate_series(1, k - size + 1)) AS i FROM (
+      SELECT *, unnest(generate_series(2, k - 1)) AS size FROM counts WHERE k > 2))
+),
+covered AS (
+  SELECT DISTINCT c.lang, c.words FROM counts c JOIN parts p ON p.lang = c.lang AND p.words = c.words
+  WHERE 100 * p.f >= {collocations.WITHIN_PERCENT} * c.f
+),
+ranked AS (
+  SELECT *, array_to_string(words, ' ') AS phrase,
+    row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(words, ' ')) AS rank
+  FROM weakest w WHERE NOT EXISTS (SELECT 1 FROM covered c WHERE c.lang = w.lang AND c.words = w.words)
+)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+  CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked WHERE rank <= {collocations.TOP}"""
+
+
 def merkle_manifest() -> str:
     def leaf(n_chars: str) -> str:
         fields = [f"CAST({c} AS VARCHAR)" for c in ("doc_id", "source", "lang", n_chars, "text")]
@@ -183,5 +222,6 @@ ORACLE: dict[str, str] = {
     "op3_license_scan": license_scan(),
     "op6_line_dedup": line_runs(),
     "op9_chat_formatting": chats(),
+    "op12_phrases": phrases(),
     "op13_merkle_manifest": merkle_manifest(),
 }

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playmart.llm import (
-    chat, decontaminate, language_id, licenses, line_dedup, merkle, packing, quality,
+    chat, collocations, decontaminate, language_id, licenses, line_dedup, merkle, packing, quality,
     sentencepieces, simhash, substring_dedup, token_counts,
 )
 from playmart.llm.common import table
@@ -94,6 +94,10 @@ def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.encode_documents(table(spark, sf_dir, "documents"), PIECE_VOCABULARY)
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.phrases(table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
     out = merkle.manifest(table(spark, sf_dir, "documents"), tampered)
@@ -107,6 +111,6 @@ QUERIES = {
     for f in (
         op1_language_id, op2_simhash, op3_license_scan, op4_token_counts, op5_decontamination, op6_line_dedup,
         op7_substring_dedup, op8_quality_rules, op9_chat_formatting, op10_best_fit_packing,
-        op11_sentencepiece, op13_merkle_manifest,
+        op11_sentencepiece, op12_phrases, op13_merkle_manifest,
     )
 }

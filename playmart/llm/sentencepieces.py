@@ -176,8 +176,8 @@ def vocabulary(path: str) -> Vocabulary:
 class Memory:
     """Segment -> (count of ids, ids as text, text decoded where it is not the first)."""
 
-    def __init__(self, words: Vocabulary) -> None:
-        self.words = words
+    def __init__(self, words: Vocabulary, characters: int = MEMORY, longest: int = LONGEST) -> None:
+        self.words, self.characters, self.longest = words, characters, longest
         self.kept: dict[str, tuple[int, str, str]] = {}
         self.passing: list[str] = []
         self.size = 0
@@ -187,12 +187,12 @@ class Memory:
         for segment in self.passing:
             del self.kept[segment]
         self.passing = []
-        if self.size > MEMORY:
+        if self.size > self.characters:
             self.kept, self.size = {}, 0
         new = [s for s in segments if s not in self.kept]
         for segment, ids in zip(new, self.words.checked(new), strict=True):
             self.kept[segment] = len(ids), " ".join(map(str, ids)), self.inner(ids)
-            if len(segment) > LONGEST:
+            if len(segment) > self.longest:
                 self.passing.append(segment)
             else:
                 self.size += len(segment)
@@ -206,10 +206,10 @@ class Memory:
         return " " + text if dropped and first.startswith(b" ") else text
 
 
-def _encoder(path: str):
+def _encoder(path: str, characters: int, longest: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(path)
-        memory = Memory(words)
+        memory = Memory(words, characters, longest)
         end = str(words.end)
         for batch in batches:
             for first in range(0, batch.num_rows, ROWS):
@@ -234,9 +234,9 @@ def _encoder(path: str):
     return run
 
 
-def encode_documents(docs: DataFrame, path: str) -> DataFrame:
+def encode_documents(docs: DataFrame, path: str, characters: int = MEMORY, longest: int = LONGEST) -> DataFrame:
     """Per row: doc_id, the number of ids with the end id, and digests of the ids and of the text decoded from them."""
-    return doc_texts(docs).mapInArrow(_encoder(path), OUT)
+    return doc_texts(docs).mapInArrow(_encoder(path, characters, longest), OUT)
 
 
 def _pieces(path: str):

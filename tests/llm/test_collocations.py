@@ -1,0 +1,106 @@
+"""Phrase mining against counting everything."""
+
+import re
+from collections import Counter
+
+import pytest
+
+from playmart.llm import collocations
+from tests.llm.conftest import ODD
+
+SCHEMA = "doc_id bigint, text string, lang string, n bigint, phrase string, k int, words int, score string"
+
+
+def plain_counts(rows):
+    """lang -> words of the language, lang -> counts of phrases of 1 to 5 words."""
+    totals, counts = Counter(), {}
+    for _, text, lang in rows:
+        lang = "und" if lang is None else lang
+        low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", low):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            totals[lang] += len(words)
+            found = counts.setdefault(lang, Counter())
+            for k in range(1, 6):
+                found.update(tuple(words[i : i + k]) for i in range(len(words) - k + 1))
+    return totals, counts
+
+
+def plain_phrases(rows, least, top):
+    totals, counts = plain_counts(rows)
+    out = []
+    for lang, found in counts.items():
+        candidates = {w: f for w, f in found.items() if len(w) > 1 and f >= least}
+        within = {
+            w[i : i + k] for w, f in candidates.items() for k in range(2, len(w)) for i in range(len(w) - k + 1)
+            if 100 * f >= 100 * found[w[i : i + k]]
+        }
+        scored = []
+        for words, a in candidates.items():
+            if words in within:
+                continue
+            cuts = []
+            for k in range(1, len(words)):
+                left, right = found[words[:k]], found[words[k:]]
+                cuts.append((1000 * a * totals[lang] // (left * right), k, left, right))
+            score, _, left, right = min(cuts)
+            scored.append((-score, -a, " ".join(words).encode(), left, right))
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(scored)[:top], 1):
+            out.append((lang, rank, phrase.decode(), -a, left, right, totals[lang], -score))
+    return sorted(out)
+
+
+def frame(spark, rows, parts=3):
+    return spark.createDataFrame([(*r, 1, "p", 2, 3, "s") for r in rows], SCHEMA).repartition(parts)
+
+
+@pytest.fixture
+def rows(rng):
+    """Few words, so that phrases of all lengths repeat; a hot language, a null one, copies, ties."""
+    words = ["the", "The", "of", "é", "中", "a-b", "x y", "'s", "new", "york", "city"]
+    out = []
+    for k in range(120):
+        parts = []
+        for _ in range(rng.randrange(12)):
+            parts.append(rng.choice(["new york city", "New\tYork", *words]))
+            parts.append(rng.choice([" ", " ", "  ", ", ", ".\n", "\t"]))
+        out.append((k if k % 6 else None, "".join(parts), rng.choice(["en", "en", "en", "de", None, ""])))
+    out += [(500, "one same text of eight words in all", "de")] * 9 + [(501 + k, t, "en") for k, t in enumerate(ODD)]
+    return out
+
+
+@pytest.mark.parametrize("share", [1, 3, 1_000_000])
+def test_phrases_against_counting_everything(spark, rows, share):
+    """Samples of all rows, of some, and of none: failures of the border make further passes, never other counts."""
+    found = collocations.frequent_phrases(frame(spark, rows), 4, share=share, filter_bits=1 << 16, chunk_bytes=300).collect()
+    totals, counts = plain_counts(rows)
+    assert {(r.lang, r.n) for r in found if r.k == 0} == {(lang, n) for lang, n in totals.items() if n}
+    expected = {(lang, " ".join(w), len(w), f) for lang, c in counts.items() for w, f in c.items() if f >= 4}
+    assert {tuple(r) for r in found if r.k} == {(a, b, c, d) for a, b, c, d in expected}
+    assert len(found) == len({(r.lang, r.phrase, r.k) for r in found})
+
+
+def test_scores_and_ranks(spark, rows):
+    found = collocations.phrases(frame(spark, rows), min_count=4, top=10).collect()
+    assert sorted(map(tuple, found)) == plain_phrases(rows, 4, 10)
+    assert {r.lang for r in found} == {"", "de", "en", "und"} and any(r.rank == 10 for r in found)
+
+
+def test_a_full_bit_set_changes_nothing(spark, rows):
+    """Every look-up is a false hit."""
+    found = collocations.phrases(frame(spark, rows), min_count=4, top=10, filter_bits=64).collect()
+    assert sorted(map(tuple, found)) == plain_phrases(rows, 4, 10)
+
+
+def test_large_numbers_stay_exact(spark):
+    n, left, right, a = 9 * 10**16 + 7, 3 * 10**12 + 1, 10**12 + 9, 10**12 + 3
+    found = spark.createDataFrame(
+        [("en", "", 0, n), ("en", "u", 1, left), ("en", "v", 1, right), ("en", "u v", 2, a)], "lang string, phrase string, k int, n bigint"
+    )
+    row = collocations._scored(found).first()
+    assert row.score == 1000 * a * n // (left * right) and (row.l, row.r, row.n) == (left, right, n)
+
+
+def test_no_rows_and_no_phrases(spark):
+    assert collocations.phrases(frame(spark, [], 1)).count() == 0
+    assert collocations.phrases(frame(spark, [(1, None, None), (2, "", "x"), (3, "a b", "x")], 1)).count() == 0

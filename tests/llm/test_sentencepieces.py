@@ -60,13 +60,11 @@ def test_decoding_any_ids(rng, library):
         assert words.text(ids) == library.decode(ids), ids
 
 
-def test_odd_input(spark, frame, rng, library, monkeypatch):
+def test_odd_input(spark, frame, rng, library):
     """Null ids, repeated rows, an empty table, a memory that is emptied all the time."""
-    monkeypatch.setattr(sentencepieces, "MEMORY", 10)
-    monkeypatch.setattr(sentencepieces, "LONGEST", 3)
     texts = ODD + HARD + random_texts(rng, 30)
     rows = [(None if k % 7 == 0 else k, t) for k, t in enumerate(texts)] + [(3, "same")] * 3
-    found = sentencepieces.encode_documents(frame(rows), PIECE_VOCABULARY).collect()
+    found = sentencepieces.encode_documents(frame(rows), PIECE_VOCABULARY, 10, 3).collect()
     assert sorted(map(tuple, found), key=repr) == sorted(((i, *plain(library, t)) for i, t in rows), key=repr)
     assert sentencepieces.encode_documents(frame([], 1), PIECE_VOCABULARY).count() == 0
 
