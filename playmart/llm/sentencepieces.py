@@ -4,12 +4,13 @@ A text is normalised by the model's own rule and begins as a list of characters.
 joined text is a piece stand on an agenda, best score first, of equal scores the leftmost first. The best pair is
 merged, the pairs that it was part of are void, and the two new pairs beside it go onto the agenda, until it is
 empty. A symbol that is no piece becomes its bytes, or the unknown piece where the vocabulary has no bytes.
+Short segments run their agendas side by side in numpy, a merge in each of them per step; long ones have a heap.
 
 Merges never cross a place that no piece crosses. Where no piece has a space mark after another character, a text
 falls into segments (space marks, then other characters) that are encoded each by itself; equal segments
 are encoded once per memory of a worker. Every segment that enters the memory is checked against the library in
-one call per Arrow batch; a difference is an error, never a wrong row. Decoding goes from ids to bytes by the
-vocabulary, and is checked likewise.
+one call per group of rows of an Arrow batch; a difference is an error, never a wrong row. Decoding goes from ids to
+bytes by the vocabulary, and is checked likewise.
 
 Each row is encoded where it is, without a shuffle, so no key, hot or not, brings rows together. A worker holds one
 Arrow batch and the memory, which is emptied at MEMORY characters; a segment longer than LONGEST is not kept.
@@ -27,6 +28,7 @@ import heapq
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,9 +36,10 @@ from pyspark.sql import functions as F
 from playmart.llm.common import doc_texts
 
 SPACE = "▁"
-MEMORY = 1 << 21  # characters of segments remembered by a worker
+MEMORY = 1 << 22  # characters of segments remembered by a worker
 LONGEST = 256  # characters of a segment that is remembered
-ROWS = 256  # texts handled at a time within an Arrow batch
+SHORT = 32  # characters of a segment whose agenda runs in numpy
+ROWS = 512  # texts handled at a time within an Arrow batch
 
 OUT = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
@@ -78,6 +81,28 @@ class Vocabulary:
             for i in ids
         }
         self.byte_set = frozenset(self.byte_ids)
+        # The text of a piece that stands for itself; None for bytes, controls and the unknown piece.
+        whole = self.controls | self.byte_set | {self.unknown}
+        self.plain = [None if i in whole else self.text_of[i].decode() for i in ids]
+        # All ways to make a piece of two symbols, as sorted keys with the symbol and the (negated) score they give.
+        symbols = dict.fromkeys([*self.id_of, *(c for p in self.id_of for c in p)])
+        self.symbol_of = {p: k for k, p in enumerate(symbols)}
+        self.n_symbols = len(symbols) + 1  # one more for characters that no piece has
+        self.symbol_of_point = np.full(0x110000, self.n_symbols - 1, np.int32)
+        for p, k in self.symbol_of.items():
+            if len(p) == 1:
+                self.symbol_of_point[ord(p)] = k
+        self.piece_lengths = [len(pieces[i]) for i in ids]
+        self.piece_of_symbol = np.array([*(self.id_of.get(p, -1) for p in symbols), -1])
+        made = [
+            (self.symbol_of[p[:k]] * self.n_symbols + self.symbol_of[p[k:]], self.symbol_of[p], -self.score[p])
+            for p in self.id_of for k in range(1, len(p)) if p[:k] in symbols and p[k:] in symbols
+        ]
+        keys = np.array([m[0] for m in made], np.int64)
+        order = np.argsort(keys)
+        self.pair_keys = keys[order]
+        self.pair_symbols = np.array([m[1] for m in made], np.int64)[order]
+        self.pair_costs = np.array([m[2] for m in made], np.float64)[order]
         # Whether a decoded text loses the space of its first piece.
         self.drops_space = self.library.encode("a", out_type=str)[0].startswith(SPACE)
 
@@ -123,6 +148,81 @@ class Vocabulary:
                 ids.append(self.unknown)
         return ids
 
+    def _offers(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Cost of every pair of symbols, infinite if it makes no piece."""
+        key = left * self.n_symbols + right
+        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[at] == key, self.pair_costs[at], np.inf)
+
+    def agendas(self, segments: list[str]) -> list[list[int]]:
+        """Ids of many normalised segments."""
+        out: list[list[int]] = [[]] * len(segments)
+        by_width: dict[int, list[int]] = {}
+        for k, segment in enumerate(segments):
+            n = len(segment)
+            if n > SHORT or not len(self.pair_keys):
+                out[k] = self.agenda(segment)
+            else:
+                by_width.setdefault(4 if n <= 4 else 8 if n <= 8 else 16 if n <= 16 else SHORT, []).append(k)
+        for width, rows in by_width.items():
+            unknown = self.n_symbols - 1
+            symbols = np.full((len(rows), width + 1), unknown, np.int64)
+            lengths = np.array([len(segments[k]) for k in rows])
+            points = np.frombuffer("".join([segments[k] for k in rows]).encode("utf-32-le"), np.uint32)
+            symbols[np.arange(width + 1) < lengths[:, None]] = self.symbol_of_point[points]
+            self._merge(symbols, lengths)
+            pieces = self.piece_of_symbol[symbols]
+            lost = ((pieces < 0) & (np.arange(width + 1) < lengths[:, None])).any(axis=1)
+            for k, ids, n, odd in zip(rows, pieces.tolist(), lengths.tolist(), lost.tolist()):
+                out[k] = self._with_bytes(segments[k], ids[:n]) if odd else ids[:n]
+        return out
+
+    def _with_bytes(self, segment: str, pieces: list[int]) -> list[int]:
+        """Ids of a segment some of whose characters are no pieces (-1)."""
+        ids: list[int] = []
+        at = 0
+        for piece in pieces:
+            if piece >= 0:
+                ids.append(piece)
+                at += self.piece_lengths[piece]
+                continue
+            if self.byte_ids:
+                ids += [self.byte_ids[b] for b in segment[at].encode()]
+            elif not ids or ids[-1] != self.unknown:
+                ids.append(self.unknown)
+            at += 1
+        return ids
+
+    def _merge(self, symbols: np.ndarray, lengths: np.ndarray) -> None:
+        """Run the agenda of every row to its end; rows are filled up with symbols that make no pair."""
+        cost = self._offers(symbols[:, :-1], symbols[:, 1:])
+        rows = np.arange(len(symbols))
+        places = np.arange(symbols.shape[1])
+        fill = self.n_symbols - 1
+        while len(rows):
+            best = cost[rows].argmin(axis=1)  # of equal costs the leftmost
+            open_ = cost[rows, best] < np.inf
+            rows, best = rows[open_], best[open_]
+            if not len(rows):
+                break
+            key = symbols[rows, best] * self.n_symbols + symbols[rows, best + 1]
+            merged = self.pair_symbols[np.searchsorted(self.pair_keys, key)]
+            # What stands behind the pair moves one place to the left.
+            take = np.minimum(places + (places > best[:, None]), places[-1])
+            moved = np.take_along_axis(symbols[rows], take, axis=1)
+            moved[:, -1] = fill
+            moved[np.arange(len(rows)), best] = merged
+            symbols[rows] = moved
+            costs = np.take_along_axis(cost[rows], np.minimum(take[:, :-1], places[-2]), axis=1)
+            costs[:, -1] = np.inf
+            here = np.arange(len(rows))
+            costs[here, best] = self._offers(merged, moved[here, best + 1])
+            inner = best > 0
+            before = best[inner] - 1
+            costs[here[inner], before] = self._offers(moved[here[inner], before], merged[inner])
+            cost[rows] = costs
+            lengths[rows] -= 1
+
     def text(self, ids: list[int]) -> str:
         """The text that ids stand for. Bytes that are no UTF-8 become one replacement character each."""
         parts: list[str] = []
@@ -146,21 +246,34 @@ class Vocabulary:
         parts.append(run.decode("utf-8", "replace-each-byte"))
         return "".join(parts)
 
-    def checked(self, segments: list[str]) -> list[list[int]]:
-        """Ids of normalised segments, after the library has given the same for all of them."""
+    def inner(self, ids: list[int]) -> str:
+        """The text of ids that follow others, so that no space is dropped."""
+        try:
+            return "".join([self.plain[i] for i in ids])
+        except TypeError:  # bytes, controls or unknown pieces
+            text = self.text(ids)
+            dropped = self.drops_space and (self.plain[ids[0]] or "").startswith(" ")
+            return " " + text if dropped else text
+
+    def checked(self, segments: list[str]) -> tuple[list[list[int]], list[str]]:
+        """Ids and texts of normalised segments, after the library has given the same for all of them."""
         if not segments:
-            return []
-        found = [self.agenda(s) for s in segments]
+            return [], []
+        found = self.agendas(segments)
         # The library puts one space mark before a text, which these begin with.
         bare = [s.removeprefix(SPACE) if self.drops_space else s for s in segments]
-        for segment, ids, expected in zip(segments, found, self.library.encode(bare, num_threads=1), strict=True):
-            if ids != expected and not (self.drops_space and segment == SPACE):
-                raise ValueError(f"pieces of {segment[:80]!r} differ from the library's: {ids[:20]}, {expected[:20]}")
-        texts = self.library.decode(found, num_threads=1)
-        for segment, ids, expected in zip(segments, found, texts, strict=True):
-            if self.text(ids) != expected:
-                raise ValueError(f"text of the pieces of {segment[:80]!r} differs from the library's: {expected[:80]!r}")
-        return found
+        expected = self.library.encode(bare, num_threads=1)
+        if found != expected:
+            for segment, ids, other in zip(segments, found, expected, strict=True):
+                if ids != other and not (self.drops_space and segment == SPACE):
+                    raise ValueError(f"pieces of {segment[:80]!r} differ from the library's: {ids[:20]}, {other[:20]}")
+        texts = [self.inner(ids) for ids in found]
+        # All of them are decoded as one text, which loses one space.
+        whole = "".join(texts)
+        whole = whole.removeprefix(" ") if self.drops_space else whole
+        if whole != self.library.decode([i for ids in found for i in ids]):
+            raise ValueError(f"texts of {len(found)} segments differ from the library's, the first being {segments[0][:80]!r}")
+        return found, texts
 
 
 _loaded: dict[str, Vocabulary] = {}
@@ -190,32 +303,35 @@ class Memory:
         if self.size > self.characters:
             self.kept, self.size = {}, 0
         new = [s for s in segments if s not in self.kept]
-        for segment, ids in zip(new, self.words.checked(new), strict=True):
-            self.kept[segment] = len(ids), " ".join(map(str, ids)), self.inner(ids)
+        for segment, ids, text in zip(new, *self.words.checked(new), strict=True):
+            self.kept[segment] = len(ids), " ".join(map(str, ids)), text
             if len(segment) > self.longest:
                 self.passing.append(segment)
             else:
                 self.size += len(segment)
         return self.kept
 
-    def inner(self, ids: list[int]) -> str:
-        """The text of ids that follow others."""
-        text = self.words.text(ids)
-        first = self.words.text_of[ids[0]] if ids else b""
-        dropped = self.words.drops_space and ids[0] != self.words.unknown and ids[0] not in self.words.byte_set
-        return " " + text if dropped and first.startswith(b" ") else text
+
+_memories: dict[tuple[str, int, int], Memory] = {}
+
+
+def memory(path: str, characters: int = MEMORY, longest: int = LONGEST) -> Memory:
+    """The memory of a worker, which lasts from task to task."""
+    key = path, characters, longest
+    if key not in _memories:
+        _memories[key] = Memory(vocabulary(path), characters, longest)
+    return _memories[key]
 
 
 def _encoder(path: str, characters: int, longest: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = vocabulary(path)
-        memory = Memory(words, characters, longest)
+        words, known_segments = vocabulary(path), memory(path, characters, longest)
         end = str(words.end)
         for batch in batches:
             for first in range(0, batch.num_rows, ROWS):
                 rows = batch.slice(first, ROWS)
                 texts = [words.segments(words.library.normalize(t)) for t in rows.column(1).to_pylist()]
-                known = memory.of(set().union(*texts))
+                known = known_segments.of(set().union(*texts))
                 counts, encoded, decoded = [], [], []
                 for segments in texts:
                     entries = [known[s] for s in segments]
@@ -241,13 +357,12 @@ def encode_documents(docs: DataFrame, path: str, characters: int = MEMORY, longe
 
 def _pieces(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = vocabulary(path)
-        memory = Memory(words)
+        words, known_segments = vocabulary(path), memory(path)
         for batch in batches:
             for first in range(0, batch.num_rows, ROWS):
                 rows = batch.slice(first, ROWS)
                 texts = [words.segments(words.library.normalize(t)) for t in rows.column(1).to_pylist()]
-                known = memory.of(set().union(*texts))
+                known = known_segments.of(set().union(*texts))
                 ids = [[int(i) for s in segments for i in known[s][1].split()] + [words.end] for segments in texts]
                 yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 

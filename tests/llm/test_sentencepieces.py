@@ -50,6 +50,7 @@ def test_agenda_equals_the_library(rng, library, divided):
         segments = words.segments(whole) if divided else [whole]
         ids = [i for s in segments for i in words.agenda(s)]
         assert ids == library.encode(text)
+        assert [i for one in words.agendas(segments) for i in one] == ids
         assert words.text(ids) == library.decode(ids)
 
 
@@ -78,6 +79,12 @@ def test_ids_and_back(spark, frame, rng):
 
 def test_a_difference_is_an_error(monkeypatch):
     words = sentencepieces.Vocabulary(PIECE_VOCABULARY)
-    monkeypatch.setattr(words, "agenda", lambda segment: [5])
+    assert words.checked(["▁hello", "▁"])[1] == [" hello", " "]
+    monkeypatch.setattr(words, "agendas", lambda segments: [[5]])
+    with pytest.raises(ValueError, match="differ"):
+        words.checked(["▁hello"])
+    right = words.library.encode("hello")
+    monkeypatch.setattr(words, "agendas", lambda segments: [right])
+    monkeypatch.setattr(words, "inner", lambda ids: " hallo")
     with pytest.raises(ValueError, match="differ"):
         words.checked(["▁hello"])
