@@ -3,20 +3,23 @@
 A text falls into pieces and those into words; a phrase is a run of up to MAX_WORDS words of a piece. A phrase is
 frequent if it occurs MIN_COUNT times in its language, and then so is every phrase within it.
 
-A share of the rows, drawn by hash, is mined for phrases that are frequent in it at a lowered bound: the proposal.
-One pass over all rows then counts the proposal and its negative border exactly. The border is what the proposal
-lacks while it has both phrases that are one word shorter; so the pass counts all words, and every longer phrase whose
-first and last parts were proposed. A border phrase that turns out to be frequent is a failure of the sample: it
-joins the proposal, and another pass counts what the longer proposal adds, until no pass has failures. The result is
-that of counting everything, whatever was drawn; the sample only decides how many passes are needed (at most
-one for each length).
+A share of the pieces, drawn by hash, is mined for phrases that are frequent in it at a lowered bound: the proposal.
+One pass over all rows then counts the proposal and its negative border. The border is what the proposal lacks while
+it has all phrases within it that are one word shorter: words that were not proposed, and longer phrases whose first
+and last parts were. A border phrase that turns out to be frequent is a failure of the sample, and another pass
+counts whatever holds a failure. That closes the search: a frequent phrase that the first pass left out holds a
+shortest phrase that was not proposed, which was in the border, is frequent, and so is a failure. The result is that of
+counting everything, whatever was drawn.
+
+Phrases of the result are told apart exactly, never by hash: tasks number them by their words and count per chunk of
+text, Spark sums by the phrase itself. Border phrases, most of which are rare, are counted under a hash of HASH_BITS bits:
+those that share one can only seem more frequent than they are, and every failure is counted again by its words.
 
 Tasks know the proposal as a bit set of FILTER_BITS bits over hashes of phrases, which is all that is broadcast and
 all that the driver gets. A false hit counts a phrase that could have been left out, which changes nothing. Where a
 proposal is far larger than the set, the passes leave less out and the counts stay exact.
 
-Phrases are told apart exactly, never by hash: tasks number them by their words and count per chunk of text, Spark sums by
-the phrase itself, after combining in the map tasks. A hot language, source or phrase is no hot group anywhere.
+Counts are combined in the map tasks, so a hot language, source or phrase is no hot group anywhere.
 Sub-phrases and cuts are joined by phrase, and the final ranking keeps the best rows of each task before the shuffle.
 
 Defined cases: a null text has no words, a null language is `und`. Every row counts, repeated or without an id.
@@ -26,12 +29,12 @@ Words keep all bytes but blanks; A-Z are lower-cased. An empty table has no phra
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,17 +44,21 @@ from playmart.shared import saved
 MAX_WORDS = 5
 MIN_COUNT = 100
 TOP = 2000  # phrases of each language that are returned
+PARTS = 64  # into which the phrases of a language are dealt for the ranking
 WITHIN_PERCENT = 100  # a phrase goes if a longer one has this share of its count
-SAMPLE_SHARE = 8  # one row in so many is drawn
-LOWERED = 0.4  # part of MIN_COUNT, in proportion to the share, from which the sample proposes
-FILTER_BITS = 1 << 27  # 16 megabytes
-CHUNK = 1 << 23  # bytes of text whose phrases are counted together
+SAMPLE_SHARE = 8  # one piece in so many is drawn
+LOWERED = 0.7  # part of MIN_COUNT, in proportion to the share, from which the sample proposes
+FILTER_BITS = 1 << 25  # four megabytes
+CHUNK = 1 << 21  # bytes of text whose phrases are counted together
+ROWS = 256  # rows turned into Python objects at a time
 
 BLANKS = byte_set(0x20, 0x09)
 BREAKS = byte_set(*b".,;:!?", range(0x0A, 0x0E))
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 
-COUNTS = "lang string, phrase string, k int, n bigint"
+HASH_BITS = 40  # of a phrase's hash that are kept; above them stands its number of words
+
+COUNTS = "key bigint, name string, n bigint"  # name: language, tab, phrase; none for a phrase counted by hash
 
 
 class Chunk:
@@ -76,14 +83,19 @@ class Chunk:
         self.words = encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         self.n_words = max(1, len(self.dictionary))
 
-        content = b"".join(self.dictionary.to_pylist())
-        edges = np.concatenate(([0], np.cumsum(pc.binary_length(self.dictionary).to_numpy(zero_copy_only=False)))).astype(np.int64)
-        self._word_hash = word_hashes(np.frombuffer(content, np.uint8), edges[:-1], edges[1:])[self.words]
+        _, edges, content = (b and np.frombuffer(b, np.uint8) for b in self.dictionary.buffers())
+        edges = edges.view(np.int64)[: len(self.dictionary) + 1]
+        self._word_hash = word_hashes(content, edges[:-1], edges[1:])[self.words]
         names = [n.encode() for n in self.names]
         edges = np.concatenate(([0], np.cumsum([len(n) for n in names]))).astype(np.int64)
         of_lang = word_hashes(np.frombuffer(b"".join(names), np.uint8), edges[:-1], edges[1:])
         self._hashes = [mix(self._word_hash ^ mix(of_lang[self.lang] + U64(1)))] if self.size else [np.zeros(0, U64)]
 
+    def whole(self, k: int) -> np.ndarray:
+        """Whether the k words from each word stand in one piece."""
+        count = max(0, self.size - k + 1)
+        return self.piece[:count] == self.piece[self.size - count :]
+
     def hashes(self, k: int) -> np.ndarray:
         """Hash of the phrase of k words from every word that has k - 1 others behind it."""
         while len(self._hashes) < k:
@@ -102,20 +114,35 @@ class Chunk:
         first[code[::-1]] = at[::-1]
         parts = [self.dictionary.take(pa.array(self.words[first + j])) for j in range(k)]
         joined = pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.large_binary())) if k > 1 else parts[0]
-        names = pa.array(self.names[self.lang[first]], pa.string())
+        names = pa.array(self.names[self.lang[first]], pa.large_binary())
+        named = pc.binary_join_element_wise(names, joined, pa.scalar(b"\t", pa.large_binary()))
         counts = np.bincount(code, minlength=len(found))
-        return _rows(names, joined.cast(pa.large_string()).cast(pa.string()), k, pa.array(counts, pa.int64()))
+        return _rows(_keys(self.hashes(k)[first], k), named.cast(pa.large_string()).cast(pa.string()), counts)
+
+    def hashed(self, at: np.ndarray, k: int) -> pa.RecordBatch:
+        """Hashes of the phrases of k words that begin at some words, with their counts."""
+        code, found = pd.factorize(_keys(self.hashes(k)[at], k))
+        return _rows(found, pa.nulls(len(found), pa.string()), np.bincount(code, minlength=len(found)))
 
     def totals(self) -> pa.RecordBatch:
         """Words of each language, as the phrase of no words."""
-        counts = np.bincount(self.lang, minlength=len(self.names))
-        empty = pa.array([""] * len(self.names), pa.string())
-        return _rows(pa.array(self.names, pa.string()), empty, 0, pa.array(counts, pa.int64()))
+        names = pa.array([f"{n}\t" for n in self.names], pa.string())
+        return _rows(np.zeros(len(names), np.int64), names, np.bincount(self.lang, minlength=len(names)))
+
 
+def _keys(hashes: np.ndarray, k: int) -> np.ndarray:
+    return (hashes & U64((1 << HASH_BITS) - 1) | U64(k << HASH_BITS)).view(np.int64)
 
-def _rows(langs: pa.Array, phrases: pa.Array, k: int, counts: pa.Array) -> pa.RecordBatch:
-    sizes = pa.array(np.full(len(counts), k, np.int32))
-    return pa.RecordBatch.from_arrays([langs, phrases, sizes, counts], ["lang", "phrase", "k", "n"])
+
+def _rows(keys: np.ndarray, names: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(keys), names, pa.array(counts.astype(np.int64))], ["key", "name", "n"])
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Some rows at a time, so that no whole batch is held as Python objects."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, ROWS):
+            yield batch.slice(first, ROWS)
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[Chunk]:
@@ -123,8 +150,8 @@ def _chunks(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[Chunk]:
     langs: list[str] = []
     texts: list[bytes] = []
     size = 0
-    for batch in batches:
-        for lang, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
+    for rows in _slices(batches):
+        for lang, text in zip(rows.column(0).to_pylist(), utf8(rows.column(1))):
             langs.append(lang)
             texts.append(text)
             size += len(text)
@@ -135,94 +162,132 @@ def _chunks(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[Chunk]:
         yield Chunk(langs, texts)
 
 
-# Proposals ---------------------------------------------------------------------------------------------
-
-
-def _slots(hashes: np.ndarray, size: int) -> np.ndarray:
-    return (hashes & U64(size - 1)).astype(np.int64)
+# Bit sets ----------------------------------------------------------------------------------------------
 
 
 def _has(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    at = _slots(hashes, 8 * len(bits))
+    at = (hashes & U64(8 * len(bits) - 1)).astype(np.int64)
     return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
 
-def _bits_of(phrases: DataFrame, size: int) -> np.ndarray:
-    """The bit set, of size bits, of phrases with lang and phrase. That is all the driver gets."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in _chunks(batches, CHUNK):
-            # Every text is one phrase here.
-            _, first, words = np.unique(chunk.text, return_index=True, return_counts=True)
-            slots = np.concatenate([_slots(chunk.hashes(k)[first[words == k]], size) for k in range(1, MAX_WORDS + 1)])
-            mask = (U64(1) << (slots & 63).astype(U64)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(slots >> 6), pa.array(mask)], ["slot", "mask"])
-
-    marked = phrases.select("lang", "phrase").mapInArrow(run, "slot bigint, mask bigint")
-    found = marked.groupBy("slot").agg(F.bit_or("mask").alias("mask")).toPandas()
+def _bits_of(hashes: DataFrame, size: int) -> np.ndarray:
+    """The bit set, of size bits, of the hashes in a column of keys. That is all the driver gets."""
+    at = F.col("key").bitwiseAND(F.lit(size - 1).cast("bigint"))
+    bit = F.expr("shiftleft(1L, CAST(key & 63 AS INT))").alias("bit")
+    words = hashes.select(F.shiftright(at, 6).alias("word"), bit).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    found = words.toPandas()
     bits = np.zeros(size // 64, np.int64)
-    bits[found["slot"]] = found["mask"]
+    bits[found["word"]] = found["bits"]
     return bits.view(np.uint8)
 
 
-@dataclass(frozen=True)
+def _all_parts(known: np.ndarray, count: int, shifts: int) -> np.ndarray:
+    """Whether a phrase from each word has all of its parts in a set; shifts: parts that a phrase has."""
+    out = known[:count].copy()
+    for shift in range(1, shifts):
+        out &= known[shift : shift + count]
+    return out
+
+
 class Proposal:
-    """A bit set and the length up to which phrases are in it."""
+    """A bit set, broadcast once, of proposed phrases of up to so many words."""
+
+    def __init__(self, context: SparkContext, bits: np.ndarray, length: int) -> None:
+        self.shared, self.length = context.broadcast(bits), length
 
-    bits: np.ndarray
-    length: int
+    def has(self, chunk: Chunk, k: int) -> np.ndarray:
+        """Whether each phrase of k words is proposed."""
+        return _has(self.shared.value, chunk.hashes(k))
 
     def covers(self, chunk: Chunk, k: int) -> np.ndarray:
-        """Whether all parts of every phrase of k words are proposed: those one word shorter, or the longest known."""
-        part = min(k - 1, self.length)
-        count = max(0, chunk.size - k + 1)
-        if not part:
-            return np.ones(count, bool)
-        known = _has(self.bits, chunk.hashes(part))
-        out = known[:count].copy()
-        for shift in range(1, k - part + 1):
-            out &= known[shift : shift + count]
-        return out
-
-
-def _counted(
-    rows: DataFrame,
-    sizes: Sequence[int],
-    proposal: Proposal | None,
-    earlier: Proposal | None = None,
-    totals: bool = False,
-    chunk_bytes: int = CHUNK,
-) -> DataFrame:
-    """Exact counts of all phrases of some sizes that a proposal covers and an earlier one did not."""
-    context = rows.sparkSession.sparkContext
-    shared = context.broadcast((proposal, earlier))
+        """Whether all parts of each phrase of k words are proposed: those one word shorter, or the longest known."""
+        part, count = min(k - 1, self.length), max(0, chunk.size - k + 1)
+        return _all_parts(self.has(chunk, part), count, k - part + 1) if part else np.ones(count, bool)
+
+
+# Passes ------------------------------------------------------------------------------------------------
+
+
+def _drawn(rows: DataFrame, share: int) -> DataFrame:
+    """lang and text of one piece in `share`, drawn by a hash of its row and its number in the text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _slices(batches):
+            draws = rows.column(2).to_numpy().view(U64)
+            yield draw(rows.column(0).to_pylist(), utf8(rows.column(1)), draws)
+
+    def draw(langs: list[str], texts: list[bytes], draws: np.ndarray) -> pa.RecordBatch:
+        data = np.frombuffer(b"".join([t + b"\n" for t in texts]), np.uint8)
+        ends = np.flatnonzero(BREAKS[data]) + 1
+        starts = np.concatenate(([0], ends[:-1]))
+        text = np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), starts, side="right")
+        number = np.arange(len(starts)) - np.searchsorted(text, text)
+        keep = mix(draws[text] + number.astype(U64)) % U64(share) == 0
+        names, lang = np.unique(np.array(langs, object), return_inverse=True)
+        kept = []
+        for k in range(len(names)):
+            kept.append(data[np.repeat(keep & (lang[text] == k), ends - starts)].tobytes())
+        return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(kept).cast(pa.string())], ["lang", "text"])
+
+    return rows.select("lang", "text", F.xxhash64("doc_id", "text").alias("draw")).mapInArrow(run, "lang string, text string")
+
+
+def _sampled(sample: DataFrame, least: int, max_words: int, size: int) -> np.ndarray:
+    """Bits of what is frequent in the sample: words and pairs first, then what is made of such pairs."""
+
+    def frequent(sizes: Sequence[int], proposal: Proposal | None) -> np.ndarray:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for chunk in _chunks(batches, CHUNK):
+                for k in sizes:
+                    wanted = chunk.whole(k)
+                    if proposal is not None:
+                        wanted &= proposal.covers(chunk, k)
+                    yield chunk.hashed(np.flatnonzero(wanted), k).select(["key", "n"])
+
+        counts = sample.mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+        return _bits_of(counts.where(F.col("n") >= least), size)
+
+    low = frequent(range(1, min(2, max_words) + 1), None)
+    pairs = Proposal(sample.sparkSession.sparkContext, low, 2)
+    high = frequent(range(3, max_words + 1), pairs)
+    pairs.shared.unpersist()
+    return low | high
+
+
+def _first_pass(rows: DataFrame, max_words: int, proposal: Proposal, chunk_bytes: int) -> DataFrame:
+    """Counts of the proposal by phrase, of its border by hash, and of the words of each language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, before = shared.value
         for chunk in _chunks(batches, chunk_bytes):
-            if totals:
-                yield chunk.totals()
-            for k in sizes:
-                if chunk.size < k:
-                    continue
-                wanted = chunk.piece[: chunk.size - k + 1] == chunk.piece[k - 1 :]
-                if now is not None:
-                    wanted &= now.covers(chunk, k)
-                if before is not None:
-                    wanted &= ~before.covers(chunk, k)
-                at = np.flatnonzero(wanted)
-                if len(at):
-                    yield chunk.phrases(at, k)
+            yield chunk.totals()
+            for k in range(1, max_words + 1):
+                wanted, proposed = chunk.whole(k) & proposal.covers(chunk, k), proposal.has(chunk, k)
+                yield chunk.phrases(np.flatnonzero(wanted & proposed), k)
+                yield chunk.hashed(np.flatnonzero(wanted & ~proposed), k)
 
     counts = rows.select("lang", "text").mapInArrow(run, COUNTS)
-    return counts.groupBy("lang", "phrase", "k").agg(F.sum("n").alias("n"))
+    return counts.groupBy("key", "name").agg(F.sum("n").alias("n")).withColumn("k", F.shiftright("key", HASH_BITS).cast("int"))
 
 
-def _proposal(sample: DataFrame, least: int, max_words: int, size: int) -> Proposal:
-    """What is frequent in the sample: words and pairs first, then what is made of such pairs."""
-    low = _bits_of(_counted(sample, (1, 2), None).where(F.col("n") >= least), size)
-    high = _counted(sample, range(3, max_words + 1), Proposal(low, 2)).where(F.col("n") >= least)
-    return Proposal(low | _bits_of(high, size), max_words - 1)
+def _second_pass(
+    rows: DataFrame, max_words: int, proposal: Proposal, words: Proposal, failed: Proposal, chunk_bytes: int
+) -> DataFrame:
+    """Counts of the phrases of frequent words that hold a failure and that the first pass did not count by phrase."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in _chunks(batches, chunk_bytes):
+            frequent = words.has(chunk, 1)
+            held = np.zeros(chunk.size + 1, bool)
+            for k in range(1, max_words + 1):
+                count = max(0, chunk.size - k + 1)
+                held = (held[:count] | held[1 : count + 1]) | failed.has(chunk, k)
+                wanted = chunk.whole(k) & held & _all_parts(frequent, count, k)
+                if wanted.any():
+                    wanted &= ~(proposal.covers(chunk, k) & proposal.has(chunk, k))
+                    yield chunk.phrases(np.flatnonzero(wanted), k)
+
+    counts = rows.select("lang", "text").mapInArrow(run, COUNTS)
+    return counts.groupBy("key", "name").agg(F.sum("n").alias("n")).withColumn("k", F.shiftright("key", HASH_BITS).cast("int"))
 
 
 def frequent_phrases(
@@ -234,24 +299,30 @@ def frequent_phrases(
     chunk_bytes: int = CHUNK,
 ) -> DataFrame:
     """lang, phrase, k and n of all frequent phrases, words included, and the words of each language as k = 0."""
-    rows = docs.select(
-        F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"),
-        F.xxhash64("doc_id", "text").alias("draw"),
-    )
+    context = docs.sparkSession.sparkContext
+    text = F.coalesce("text", F.lit("")).alias("text")
+    rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), text, "doc_id")
     least = max(2, int(min_count * LOWERED / share))
-    proposal = _proposal(rows.where(F.pmod("draw", F.lit(share)) == 0), least, max_words, filter_bits)
+    bits = _sampled(saved(_drawn(rows, share)), least, max_words, filter_bits)
+    proposal = Proposal(context, bits, max_words)
+
     wanted = (F.col("n") >= min_count) | (F.col("k") == 0)
-    counts = _counted(rows, range(1, max_words + 1), proposal, totals=True, chunk_bytes=chunk_bytes)
-    found = saved(counts.where(wanted))
-    fresh = found
-    while True:
-        # Failures: frequent phrases of the border that longer ones could be built on.
-        failed = _bits_of(fresh.where((F.col("k") > 0) & (F.col("k") < max_words)), filter_bits) & ~proposal.bits
-        if not failed.any():
-            return found
-        wider = Proposal(proposal.bits | failed, proposal.length)
-        fresh = saved(_counted(rows, range(2, max_words + 1), wider, proposal, chunk_bytes=chunk_bytes).where(wanted))
-        found, proposal = found.union(fresh), wider
+    counted = saved(_first_pass(rows, max_words, proposal, chunk_bytes).where(wanted))
+    # A phrase has no tab.
+    phrase = F.substring_index("name", "\t", -1).alias("phrase")
+    lang = F.expr("left(name, char_length(name) - char_length(substring_index(name, '\t', -1)) - 1)").alias("lang")
+    columns = [lang, phrase, F.col("k"), F.col("n")]
+    found = counted.where("name IS NOT NULL").select(*columns)
+    failures = counted.where("name IS NULL")
+    if not failures.isEmpty():
+        words = Proposal(context, _bits_of(counted.where("k = 1"), filter_bits), 1)
+        failed = Proposal(context, _bits_of(failures, filter_bits), max_words)
+        more = saved(_second_pass(rows, max_words, proposal, words, failed, chunk_bytes).where(wanted))
+        found = found.union(more.select(*columns))
+        for one in (words, failed):
+            one.shared.unpersist()
+    proposal.shared.unpersist()
+    return found
 
 
 # Scores ------------------------------------------------------------------------------------------------
@@ -300,6 +371,12 @@ def phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WO
     """The best phrases of each language: lang, rank, phrase, a, l, r, n, score."""
     found = frequent_phrases(docs, min_count, max_words, **mining)
     scored = _scored(found).join(_covered(found, WITHIN_PERCENT), ["lang", "phrase"], "left_anti")
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
+    order = F.desc("score"), F.desc("a"), F.col("phrase")
+    # First among some parts of a language, so that the last task of a language ranks PARTS * top rows at most.
+    part = F.pmod(F.xxhash64("phrase"), F.lit(PARTS))
+    scored = scored.withColumn("part", part)
+    parts = Window.partitionBy("lang", "part").orderBy(*order)
+    scored = scored.withColumn("place", F.row_number().over(parts)).where(F.col("place") <= top)
+    ranked = scored.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
+    ranked = ranked.where(F.col("rank") <= top)
     return ranked.select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score")

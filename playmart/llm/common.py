@@ -104,8 +104,11 @@ SPACES = byte_set(0x20, range(0x09, 0x0E))
 
 def spans(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the maximal true runs."""
-    edge = np.diff(np.concatenate(([0], inside.view(np.int8), [0])))
-    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    if not len(inside):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    edges = np.concatenate(([0] * bool(inside[0]), edges, [len(inside)] * bool(inside[-1]))).astype(np.int64)
+    return edges[::2], edges[1::2]
 
 
 # Arrow batches ---------------------------------------------------------------------------------------

@@ -71,7 +71,7 @@ def rows(rng):
 
 @pytest.mark.parametrize("share", [1, 3, 1_000_000])
 def test_phrases_against_counting_everything(spark, rows, share):
-    """Samples of all rows, of some, and of none: failures of the border make further passes, never other counts."""
+    """Samples of all pieces, of some, and of none: failures of the border make another pass, never other counts."""
     found = collocations.frequent_phrases(frame(spark, rows), 4, share=share, filter_bits=1 << 16, chunk_bytes=300).collect()
     totals, counts = plain_counts(rows)
     assert {(r.lang, r.n) for r in found if r.k == 0} == {(lang, n) for lang, n in totals.items() if n}
