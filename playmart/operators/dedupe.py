@@ -8,11 +8,15 @@ NULL order values count as lowest.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from playmart.schemas import ForeignKey, Table, load_order
+from playmart.shared import saved
+
 
 def _one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], pick) -> DataFrame:
     order = [c for c in order if c not in keys]
@@ -91,3 +95,60 @@ def cascade_delete(
     """Child rows that stay when parent rows are deleted; rows with a NULL reference stay."""
     gone = deleted.select(*[F.col(p).alias(c) for c, p in zip(foreign_key, parent_key, strict=True)])
     return child.join(gone.distinct(), list(foreign_key), "left_anti").select(*child.columns)
+
+
+def delete_chain(
+    tables: Mapping[str, DataFrame], specs: Sequence[Table], deleted: Mapping[str, DataFrame]
+) -> dict[str, DataFrame]:
+    """The rows of every table that go when some rows go, following all foreign keys down from parents to children.
+
+    `deleted` holds rows, or just the primary keys, that go from some tables. A child row goes with a parent row
+    that any of its foreign keys refers to; a NULL in a key refers to nothing. Tables are visited parents first, so each
+    is joined once, with the keys of the rows that go from its parents. Foreign keys that form a ring are an error, but
+    for those of a table to itself, which are followed as often as there are rows that refer on.
+    """
+    by_name = {t.name: t for t in specs if t.name in tables}
+    ordered = load_order(list(by_name.values()))
+    gone: dict[str, DataFrame] = {}
+    for table in ordered:
+        rows = tables[table.name]
+        found = []
+        if table.name in deleted:
+            keys = deleted[table.name].select(*table.primary_key).distinct()
+            found.append(rows.join(keys, list(table.primary_key), "left_semi"))
+        for fk in table.foreign_keys:
+            if fk.parent in gone and fk.parent != table.name:
+                found.append(_referring(rows, gone[fk.parent], fk))
+        if not found:
+            continue
+        # A row that several keys lead to goes once.
+        going = found[0] if len(found) == 1 else reduce(DataFrame.unionByName, found).dropDuplicates(list(table.primary_key))
+        for fk in table.foreign_keys:
+            if fk.parent == table.name:
+                going = _with_followers(rows, going, fk, table.primary_key)
+        gone[table.name] = going.select(*rows.columns)
+    return gone
+
+
+def _referring(rows: DataFrame, parents: DataFrame, fk: ForeignKey) -> DataFrame:
+    keys = parents.select(*[F.col(p).alias(c) for p, c in zip(fk.parent_columns, fk.columns, strict=True)]).distinct()
+    return rows.join(keys, list(fk.columns), "left_semi").select(*rows.columns)
+
+
+def _with_followers(rows: DataFrame, going: DataFrame, fk: ForeignKey, primary_key: Sequence[str]) -> DataFrame:
+    going = saved(going.select(*rows.columns))
+    fresh = going
+    while not fresh.isEmpty():
+        found = _referring(rows, fresh, fk).join(going.select(*primary_key), list(primary_key), "left_anti")
+        fresh = saved(found.select(*rows.columns))
+        going = going.unionByName(fresh)
+    return going
+
+
+def after_deletes(tables: Mapping[str, DataFrame], specs: Sequence[Table], gone: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Every table without the rows that go."""
+    keys = {t.name: list(t.primary_key) for t in specs}
+    return {
+        name: rows.join(gone[name].select(*keys[name]), keys[name], "left_anti").select(*rows.columns) if name in gone else rows
+        for name, rows in tables.items()
+    }

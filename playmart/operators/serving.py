@@ -34,3 +34,8 @@ def user_session(playlist: DataFrame, user_id: int, session_id: int) -> DataFram
 def song_listeners(listeners: DataFrame, song: str) -> DataFrame:
     """Names of all users who heard a song; users who share a name appear once each."""
     return listeners.where(F.col("song") == song).select(*SONG_LISTENERS.values)
+
+
+def sessions_items(playlist: DataFrame, session_id: int) -> DataFrame:
+    """What anybody heard in one session: a later key column alone, for which the stored table has Bloom filters."""
+    return playlist.where(F.col("session_id") == session_id).select("user_id", "item_in_session", *USER_SESSION.values)

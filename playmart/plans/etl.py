@@ -282,7 +282,9 @@ class _Run:
             for t in specs:
                 self.read(t, own).createOrReplaceTempView(t.name)
             quality.run_checks(own, checks)
-        sinks.publish(self.spark, self.root, self.run_id, self.paths, self.base)
+        # Tables are built on one another and on other periods, so any commit to one of them in the meantime matters.
+        reads = [*{name for name, _ in [*self.paths, *self.base.paths]}]
+        sinks.publish(self.spark, self.root, self.run_id, self.paths, self.base, reads)
         return Loaded(self.run_id, self.paths, self.rejected)
 
 

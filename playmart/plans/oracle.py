@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from playmart.plans.queries import INSERT_CUT, LOOKUP_ITEM, LOOKUP_SESSION, LOOKUP_SONG, UPSERT_CUT
+from playmart.plans.queries import DELETED_REGION, INSERT_CUT, LOOKUP_ITEM, LOOKUP_SESSION, LOOKUP_SONG, UPSERT_CUT
 
 FEEDS = """
 WITH play_log AS (
@@ -243,6 +243,31 @@ _QUERIES: dict[str, str] = {
   WHERE session_id = {LOOKUP_SESSION}
     AND user_id = (SELECT o_custkey FROM orders WHERE o_orderkey = {LOOKUP_SESSION})""",
     "lookup_song_listeners": f"SELECT first_name, last_name FROM ({_LISTENERS}) WHERE song = '{LOOKUP_SONG}'",
+    "stored_session_item": f"""SELECT artist, song, length FROM ({_SESSION_ITEMS})
+  WHERE session_id = {LOOKUP_SESSION} AND item_in_session = {LOOKUP_ITEM}""",
+    "stored_user_session": f"SELECT * EXCLUDE (session_id) FROM ({_USER_SESSION}) WHERE session_id = {LOOKUP_SESSION}",
+    "stored_song_listeners": f"SELECT first_name, last_name FROM ({_LISTENERS}) WHERE song = '{LOOKUP_SONG}'",
+    "songplay_serial_id": """SELECT start_time, session_id, item_in_session, w1, w2, w3,
+    row_number() OVER (ORDER BY start_time, session_id, item_in_session, w1, w2, w3) AS songplay_id FROM plays""",
+    "side_by_side": """SELECT coalesce(c.position, p.position) AS position, c_custkey, c_acctbal, p_partkey, p_retailprice
+  FROM (SELECT c_custkey, c_acctbal, row_number() OVER (ORDER BY c_acctbal, c_custkey) - 1 AS position FROM customer) c
+  FULL JOIN (SELECT p_partkey, p_retailprice, row_number() OVER (ORDER BY p_retailprice, p_partkey) - 1 AS position
+    FROM part) p ON c.position = p.position""",
+    "staged_good": """SELECT event_id, CAST(props::JSON->>'$.k' AS DECIMAL(1,0)) AS k FROM events
+  WHERE coalesce(abs(CAST(props::JSON->>'$.k' AS BIGINT)) < 10, true)""",
+    "staged_rejects": """SELECT event_id, 'k' AS "column", props::JSON->>'$.k' AS value,
+    'does not fit decimal(1,0)' AS reason FROM events WHERE abs(CAST(props::JSON->>'$.k' AS BIGINT)) >= 10""",
+    "delete_chain": f"""SELECT * FROM orders o WHERE NOT EXISTS (
+    SELECT 1 FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
+    WHERE o.o_custkey = c.c_custkey AND r.r_name = '{DELETED_REGION}')""",
+    "delete_chain_counts": f"""WITH r AS (SELECT r_regionkey FROM region WHERE r_name = '{DELETED_REGION}'),
+  n AS (SELECT n_nationkey FROM nation WHERE n_regionkey IN (FROM r)),
+  c AS (SELECT c_custkey FROM customer WHERE c_nationkey IN (FROM n)),
+  o AS (SELECT o_orderkey FROM orders WHERE o_custkey IN (FROM c)),
+  l AS (SELECT l_orderkey FROM lineitem WHERE l_orderkey IN (FROM o))
+  SELECT 'region' AS table_name, count(*) AS deleted FROM r UNION ALL SELECT 'nation', count(*) FROM n
+  UNION ALL SELECT 'customer', count(*) FROM c UNION ALL SELECT 'orders', count(*) FROM o
+  UNION ALL SELECT 'lineitem', count(*) FROM l""",
     "cascade_delete": """SELECT * FROM orders WHERE o_custkey IS NULL
   OR o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)""",
     # Quality
@@ -266,4 +291,5 @@ _QUERIES: dict[str, str] = {
     SELECT 1 FROM song_catalog s WHERE p.song = s.title AND p.artist = s.artist_name) GROUP BY song, artist""",
 }
 
-ORACLE: dict[str, str] = {name: FEEDS + sql for name, sql in _QUERIES.items()}
+# A query with tables of its own goes on from those of the feeds.
+ORACLE: dict[str, str] = {name: FEEDS + (", " + sql[5:] if sql.startswith("WITH ") else sql) for name, sql in _QUERIES.items()}

@@ -5,23 +5,28 @@ Each query asks the log view only for the columns it uses, which leaves out the
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from playmart import sinks
 from playmart.functions import keys, text, times
-from playmart.operators import dedupe, dims, facts, quality, reports, serving
+from playmart.operators import dedupe, dims, facts, numbering, quality, reports, serving
 from playmart.schemas import (
     CONSOLIDATED_COLUMNS,
     SESSION_ITEMS,
     SONG_LISTENERS,
     USER_SESSION,
+    WAREHOUSE,
     ServingTable,
     Table,
 )
+from playmart.shared import shared_folder
 from playmart.sources.feeds import consolidate_events
-from playmart.sources.staging import extract_json_paths
+from playmart.sources.staging import checked_fields, extract_json_paths
 from playmart.sources.warehouse_tables import (
     LOG_COLUMNS,
     MILLIS,
@@ -40,11 +45,13 @@ LOOKUP_ITEM = 6
 LOOKUP_SONG = "hot bolt"
 
 # Rows from this day on arrive as the second batch of a repeated load.
+DELETED_REGION = "ASIA"
 INSERT_CUT = "1995-07-01"
 UPSERT_CUT = "1998-04-15"
 
 _RAW_NAME = {clean: raw for raw, clean in facts.RENAMES.items()}
 _PROFILE = dims.PROFILE
+_WRITTEN: set[str] = set()  # serving tables that this process has stored
 
 
 def _raw(names: tuple[str, ...]) -> list[str]:
@@ -380,11 +387,92 @@ def lookup_song_listeners(spark: SparkSession, d: str) -> DataFrame:
     return serving.song_listeners(_serving(spark, d, SONG_LISTENERS), LOOKUP_SONG)
 
 
+def _stored(spark: SparkSession, d: str, table: ServingTable) -> DataFrame:
+    """A serving table written once per session and data directory, as a load does, and read for each look-up."""
+    rows = _serving(spark, d, table)
+    name = hashlib.md5(f"{spark.sparkContext.applicationId} {d} {table.name}".encode()).hexdigest()
+    path = f"{shared_folder(spark)}/serving-{name}"
+    if path not in _WRITTEN:
+        sinks.write_serving(rows, path, table)
+        _WRITTEN.add(path)
+    return sinks.read_serving(spark, path, rows.schema)
+
+
+def stored_session_item(spark: SparkSession, d: str) -> DataFrame:
+    return serving.session_item(_stored(spark, d, SESSION_ITEMS), LOOKUP_SESSION, LOOKUP_ITEM)
+
+
+def stored_user_session(spark: SparkSession, d: str) -> DataFrame:
+    return serving.sessions_items(_stored(spark, d, USER_SESSION), LOOKUP_SESSION)
+
+
+def stored_song_listeners(spark: SparkSession, d: str) -> DataFrame:
+    return serving.song_listeners(_stored(spark, d, SONG_LISTENERS), LOOKUP_SONG)
+
+
 def cascade_delete(spark: SparkSession, d: str) -> DataFrame:
     gone = load(spark, d, "customer").where("c_acctbal < 0").select("c_custkey")
     return dedupe.cascade_delete(load(spark, d, "orders"), gone, ["o_custkey"], ["c_custkey"])
 
 
+def _chain(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    tables = {t.name: load(spark, d, t.name) for t in WAREHOUSE}
+    gone = tables["region"].where(F.col("r_name") == DELETED_REGION)
+    return {"tables": tables, "gone": dedupe.delete_chain(tables, WAREHOUSE, {"region": gone})}
+
+
+def delete_chain(spark: SparkSession, d: str) -> DataFrame:
+    """Orders that stay when a region goes, with its nations, their customers and theirs."""
+    chain = _chain(spark, d)
+    return dedupe.after_deletes(chain["tables"], WAREHOUSE, chain["gone"])["orders"]
+
+
+def delete_chain_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of every table that go with the region."""
+    counts = [rows.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("deleted")) for name, rows in _chain(spark, d)["gone"].items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
+# Numbers --------------------------------------------------------------------------------------------
+
+_PLAY_ORDER = ["start_time", "session_id", "item_in_session", *WRITE_ORDER]
+
+
+def songplay_serial_id(spark: SparkSession, d: str) -> DataFrame:
+    """Gapless ids: plays before a time are numbered first, later ones go on from the last number stored."""
+    plays = _plays(spark, d, *_PLAY_ORDER).select(*_PLAY_ORDER)
+    cut = F.lit(UPSERT_CUT).cast("timestamp_ntz")
+    stored = numbering.numbered(plays.where(F.col("start_time") < cut), _PLAY_ORDER, name="songplay_id")
+    fresh = numbering.continued(plays.where(F.col("start_time") >= cut), stored, _PLAY_ORDER, "songplay_id")
+    return stored.unionByName(fresh)
+
+
+def side_by_side(spark: SparkSession, d: str) -> DataFrame:
+    """Customers by balance beside parts by price; there are more of the one than of the other."""
+    customers = load(spark, d, "customer").select("c_custkey", "c_acctbal")
+    parts = load(spark, d, "part").select("p_partkey", "p_retailprice")
+    return numbering.side_by_side(customers, parts, ["c_acctbal", "c_custkey"], ["p_retailprice", "p_partkey"])
+
+
+# Checked staging ------------------------------------------------------------------------------------
+
+_EVENT_PROPS = Table("event_props", "k DECIMAL(1,0)")
+
+
+def _checked_props(spark: SparkSession, d: str) -> DataFrame:
+    return checked_fields(load(spark, d, "events"), "props", ["$.k"], _EVENT_PROPS, keep=["event_id"])
+
+
+def staged_good(spark: SparkSession, d: str) -> DataFrame:
+    """Events whose k has one digit, as the staging table wants it."""
+    return _checked_props(spark, d).where(F.size("rejects") == 0).drop("rejects")
+
+
+def staged_rejects(spark: SparkSession, d: str) -> DataFrame:
+    """The others, a row for each field that does not fit."""
+    return _checked_props(spark, d).select("event_id", F.inline("rejects"))
+
+
 # Quality --------------------------------------------------------------------------------------------
 
 
@@ -442,6 +530,7 @@ QUERIES: dict[str, Query] = {
         users_with_changes, plays_with_profile, row_counts, sample_rows,
         insert_if_absent, upsert_last_wins, serving_session_items, serving_user_session,
         serving_song_listeners, lookup_session_item, lookup_user_session, lookup_song_listeners,
-        cascade_delete, dq_results, dq_not_null, dq_pk_duplicates, dq_fk_orphans,
+        stored_session_item, stored_user_session, stored_song_listeners, songplay_serial_id, side_by_side,
+        staged_good, staged_rejects, delete_chain, delete_chain_counts, cascade_delete, dq_results, dq_not_null, dq_pk_duplicates, dq_fk_orphans,
     )
 }

@@ -207,6 +207,35 @@ SONGPLAYS_EPOCH = Table(
 )
 
 
+# Keys of the warehouse whose rows stand in for the feeds.
+REGION = Table("region", "r_regionkey INT, r_name STRING", primary_key=("r_regionkey",))
+NATION = Table(
+    "nation",
+    "n_nationkey INT, n_name STRING, n_regionkey INT",
+    primary_key=("n_nationkey",),
+    foreign_keys=(ForeignKey(("n_regionkey",), "region", ("r_regionkey",)),),
+)
+CUSTOMER = Table(
+    "customer",
+    "c_custkey BIGINT, c_nationkey INT",
+    primary_key=("c_custkey",),
+    foreign_keys=(ForeignKey(("c_nationkey",), "nation", ("n_nationkey",)),),
+)
+ORDERS = Table(
+    "orders",
+    "o_orderkey BIGINT, o_custkey BIGINT",
+    primary_key=("o_orderkey",),
+    foreign_keys=(ForeignKey(("o_custkey",), "customer", ("c_custkey",)),),
+)
+LINEITEM = Table(
+    "lineitem",
+    "l_orderkey BIGINT, l_linenumber INT, l_partkey BIGINT, l_suppkey BIGINT",
+    primary_key=("l_orderkey", "l_linenumber"),
+    foreign_keys=(ForeignKey(("l_orderkey",), "orders", ("o_orderkey",)),),
+)
+WAREHOUSE = [REGION, NATION, CUSTOMER, ORDERS, LINEITEM]
+
+
 @dataclass(frozen=True)
 class ServingTable:
     """Query-first table: rows are unique on partition key + clustering key, last write wins."""
@@ -234,18 +263,20 @@ SONG_LISTENERS = ServingTable("song_listeners", ("song",), ("user_id",), ("first
 
 
 def load_order(tables: list[Table]) -> list[Table]:
-    """Parents before children; the reverse is a safe drop order."""
+    """Parents before children; the reverse is a safe drop order. Foreign keys in a ring are an error."""
     by_name = {t.name: t for t in tables}
     ordered: list[Table] = []
 
-    def visit(table: Table) -> None:
+    def visit(table: Table, below: tuple[str, ...]) -> None:
         if table in ordered:
             return
+        if table.name in below:
+            raise ValueError(f"foreign keys form a ring: {' -> '.join([*below, table.name])}")
         for fk in table.foreign_keys:
             if fk.parent in by_name and fk.parent != table.name:
-                visit(by_name[fk.parent])
+                visit(by_name[fk.parent], (*below, table.name))
         ordered.append(table)
 
     for table in tables:
-        visit(table)
+        visit(table, ())
     return ordered

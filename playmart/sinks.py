@@ -6,12 +6,16 @@ splits a partition value that is too big and joins those that are too small.
 
 from __future__ import annotations
 
+import json
+import os
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from playmart.operators.dedupe import insert_if_absent
 from playmart.schemas import ServingTable, Table, load_order
@@ -87,14 +91,55 @@ def append_absent(
     write_table(fresh, path, table, mode="append")
 
 
-def write_serving(df: DataFrame, path: str, table: ServingTable, mode: str = "overwrite") -> None:
+def write_serving(
+    df: DataFrame, path: str, table: ServingTable, mode: str = "overwrite", row_group_bytes: int = 16 << 20
+) -> None:
     """Write a serving table range-partitioned and sorted by its whole key.
 
     The whole key is unique, so even a partition key that owns a third of the rows spreads over many
-    files, and file and row-group statistics still lead a look-up to few of them.
+    files, and file and row-group statistics still lead a look-up by the first key columns to few of them. Later
+    key columns are spread over all row groups; their Bloom filters, as large as the row group's distinct
+    values need, rule out those that do not hold a value.
     """
     keys = table.primary_key
-    df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode(mode).parquet(path)
+    writer = df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode(mode)
+    writer = writer.option("parquet.block.size", row_group_bytes).option("parquet.bloom.filter.adaptive.enabled", "true")
+    for key in keys:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true")
+    writer.parquet(path)
+
+
+def read_serving(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A stored serving table; filters on its key columns reach the reader."""
+    return spark.read.schema(schema).parquet(path)
+
+
+def z_value(df: DataFrame, columns: Sequence[str], bits: int = 6) -> Column:
+    """Rank buckets of some number or time columns with their bits interleaved; NULLs are in the first bucket.
+
+    A bucket holds about an equal share of the rows. The driver gets 2**bits - 1 boundaries a column.
+    """
+    shares = [k / 2**bits for k in range(1, 2**bits)]
+    numbers = {c: F.col(c).cast("timestamp") if "timestamp" in t or t == "date" else F.col(c) for c, t in df.dtypes}
+    values = {c: numbers[c].cast("double") for c in columns}
+    cuts = df.agg(*[F.percentile_approx(values[c], shares).alias(c) for c in columns]).first()
+    z = F.lit(0).cast("bigint")
+    for place, c in enumerate(columns):
+        bucket = F.lit(0)
+        for cut in sorted(set(cuts[c] or [])):
+            bucket = bucket + F.coalesce((values[c] > cut).cast("int"), F.lit(0))
+        for bit in range(bits):
+            one = F.shiftright(bucket, bit).bitwiseAND(F.lit(1)).cast("bigint")
+            z = z.bitwiseOR(F.shiftleft(one, bit * len(columns) + place))
+    return z
+
+
+def write_z_ordered(df: DataFrame, path: str, columns: Sequence[str], files: int, bits: int = 6, mode: str = "overwrite") -> None:
+    """Write files of rows that are near each other in all of some columns, so that a filter on any of them, or on
+    several, is answered by few files. A value that owns many rows is spread by the other columns."""
+    rows = df.withColumn("_z", z_value(df, columns, bits))
+    rows = rows.repartitionByRange(files, "_z", *columns).sortWithinPartitions("_z", *columns)
+    rows.drop("_z").write.mode(mode).parquet(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -193,16 +238,67 @@ def current(spark: SparkSession, root: str) -> Current:
     return Current(max((r.seq for r in rows), default=0), {(r.table_name, r.period): r.path for r in valid})
 
 
+def _create(spark: SparkSession, folder: str, name: str, text: str) -> bool:
+    """Create a file with its whole content, or give False because it is there already. Readers never see a part."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path.getParent())
+    hidden = f"_{uuid.uuid4().hex}"  # readers of a folder leave out such names
+    if files.getScheme() == "file":
+        place = path.toUri().getPath()
+        draft = os.path.join(os.path.dirname(place), hidden)
+        with open(draft, "x", encoding="utf-8") as out:
+            out.write(text)
+        try:
+            os.link(draft, place)  # fails if the name is taken, in one step
+        except FileExistsError:
+            return False
+        finally:
+            os.unlink(draft)
+        return True
+    # A distributed file system renames in one step, and refuses to rename onto a file.
+    draft = jvm.org.apache.hadoop.fs.Path(path.getParent(), hidden)
+    out = files.create(draft, False)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+    if files.rename(draft, path):
+        return True
+    files.delete(draft, False)
+    return False
+
+
 def publish(
-    spark: SparkSession, root: str, run_id: str, paths: Mapping[tuple[str, str], str], base: Current
-) -> None:
-    """Make the tables of a run current, all in one committed append.
+    spark: SparkSession,
+    root: str,
+    run_id: str,
+    paths: Mapping[tuple[str, str], str],
+    base: Current,
+    reads: Sequence[str] = (),
+) -> int:
+    """Make the tables of a run current, all in one commit; returns its sequence number.
 
     Tables are written to new directories and only become visible here, so readers never see a half
-    loaded set, and a table is never overwritten while it is read. `base` is what the run was built on; if
-    something else has been published since, the run is refused.
+    loaded set, and a table is never overwritten while it is read. A commit is one file named by its sequence
+    number, created only if there is none of that name, so of two runs that race for a number one gets it and the
+    other looks again. `base` is what the run was built on. If another run has since published the same period of
+    a table, the whole of a table this one writes a period of (or the other way round), or anything of the tables in
+    `reads`, this one is refused; other commits do not matter.
     """
-    if current(spark, root).seq != base.seq:
-        raise StaleRunError(f"{root}: another run was published since {run_id} began; load again")
-    rows = [(base.seq + 1, run_id, name, period, path) for (name, period), path in paths.items()]
-    spark.createDataFrame(rows, PUBLICATION).coalesce(1).write.mode("append").json(f"{root}/publications")
+    names = {name for name, _ in paths}
+    whole = {name for name, period in paths if period == WHOLE}
+    while True:
+        now = current(spark, root)
+        if now.seq > base.seq:
+            log = spark.read.schema(PUBLICATION).json(f"{root}/publications")
+            for r in log.where(F.col("seq") > base.seq).select("run_id", "table_name", "period").distinct().collect():
+                same = (r.table_name, r.period) in paths or r.table_name in whole
+                if same or r.table_name in reads or (r.period == WHOLE and r.table_name in names):
+                    raise StaleRunError(f"{root}: {r.run_id} published {r.table_name} since {run_id} began; load again")
+        seq = now.seq + 1
+        rows = [
+            {"seq": seq, "run_id": run_id, "table_name": name, "period": period, "path": path}
+            for (name, period), path in paths.items()
+        ]
+        if _create(spark, f"{root}/publications", f"{seq:020d}.json", "".join(json.dumps(r) + "\n" for r in rows)):
+            return seq

@@ -7,7 +7,7 @@ import json
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DecimalType, IntegralType, StringType
 
@@ -18,7 +18,7 @@ _TOP_LEVEL = re.compile(r"^\$(?:\.(\w+)|\['([^'\]]+)'\])$")
 
 
 def _typed(text: Column, kind: DataType) -> Column:
-    """Text to the staging type; a value that does not fit becomes NULL."""
+    """Text to the staging type; a value that does not fit becomes NULL, and checked loads report it."""
     if isinstance(kind, StringType):
         return text
     if isinstance(kind, IntegralType):
@@ -30,6 +30,84 @@ def _typed(text: Column, kind: DataType) -> Column:
     return text.try_cast(kind)
 
 
+def _fits(text: Column, typed: Column, kind: DataType) -> Column:
+    """Whether a value was kept: it has the type, and a whole number has lost nothing."""
+    if isinstance(kind, IntegralType):
+        return typed.isNotNull() & (text.try_cast("double").isNull() | (text.try_cast("double") == typed.cast("double")))
+    return typed.isNotNull()
+
+
+def field_rejects(raw: dict[str, Column], table: Table) -> Column:
+    """Array of (column, value, reason) of the fields that do not fit the table; empty for a good row."""
+    found = []
+    for field in table.schema.fields:
+        text = raw[field.name]
+        name, none = F.lit(field.name).alias("column"), F.lit(None).cast("string")
+        misfit = text.isNotNull() & ~_fits(text, _typed(text, field.dataType), field.dataType)
+        wrong = F.struct(name, text.alias("value"), F.lit(f"does not fit {field.dataType.simpleString()}").alias("reason"))
+        case = F.when(misfit, wrong)
+        if field.name in table.not_null:
+            missing = F.struct(name, none.alias("value"), F.lit("missing, but may not be null").alias("reason"))
+            case = case.when(text.isNull(), missing)
+        found.append(case)
+    return F.filter(F.array(*found), lambda x: x.isNotNull())
+
+
+def checked_fields(df: DataFrame, column: str, paths: Sequence[str], table: Table, keep: Sequence[str] = ()) -> DataFrame:
+    """The columns `keep`, the typed columns of a JSON text column read by path list, and `rejects` (field_rejects).
+
+    Text that is no JSON object is rejected as a whole, with no column. Everything comes from one pass.
+    """
+    fields = table.schema.fields
+    if len(paths) != len(fields):
+        raise ValueError(f"{len(paths)} paths for {len(fields)} columns of {table.name}")
+    text = F.col(f"`{column}`")
+    raw = {f.name: F.get_json_object(text, p) for f, p in zip(fields, paths, strict=True)}
+    whole = F.struct(
+        F.lit(None).cast("string").alias("column"), text.alias("value"), F.lit("is no JSON object").alias("reason")
+    )
+    rejects = F.when(F.json_object_keys(text).isNull(), F.array(whole)).otherwise(field_rejects(raw, table))
+    typed = [_typed(raw[f.name], f.dataType).alias(f.name) for f in fields]
+    return df.select(*keep, *typed, rejects.alias("rejects"))
+
+
+class TooManyRejectsError(ValueError):
+    """More lines were rejected than a load allows."""
+
+
+def load_checked(
+    spark: SparkSession, paths: Paths, table: Table, json_paths: Sequence[str], out: str, *, max_rejected: int = 0,
+    recursive: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """Good rows, and rejects (file, line, column, value, reason), from one pass over JSON lines files.
+
+    The pass writes rows and their rejects to `out`; both results read from there. Lines are numbered from 1 in
+    their file: the rows of a part of a file are counted, and parts before it are added up, for files with rejects only.
+    More than max_rejected lines with rejects end the load; what was found stays in `out`. Blank lines count as lines.
+    """
+    lines = json_reader(spark, recursive).text(path_list(paths)).select(
+        "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_row"),
+    )
+    staged = checked_fields(lines, "value", json_paths, table, keep=["_file", "_block", "_row", "value"])
+    blank = F.trim("value") == ""
+    staged = staged.withColumn("rejects", F.when(blank, F.array().cast(staged.schema["rejects"].dataType)).otherwise(F.col("rejects")))
+    staged.withColumn("_blank", blank).drop("value").write.mode("overwrite").parquet(out)
+    rows = spark.read.parquet(out)
+    bad = rows.where(F.size("rejects") > 0)
+    found = bad.count()
+    parts = rows.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("n"), F.min("_row").alias("first"))
+    parts = parts.join(bad.select("_file").distinct(), "_file", "left_semi")
+    before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("ahead", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    line = (F.col("_row") - F.col("first") + F.col("ahead") + 1).alias("line")
+    rejects = bad.join(parts, ["_file", "_block"]).select(F.col("_file").alias("file"), line, F.inline("rejects"))
+    if found > max_rejected:
+        raise TooManyRejectsError(f"{found} lines of {table.name} rejected, {max_rejected} allowed; see {out}")
+    good = rows.where((F.size("rejects") == 0) & ~F.col("_blank")).select(*table.column_names)
+    return good, rejects
+
+
 def _read_lines(spark: SparkSession, paths: Paths, recursive: bool) -> DataFrame:
     return json_reader(spark, recursive).text(path_list(paths)).where(F.trim("value") != "")
 

@@ -59,6 +59,7 @@ _UNPLAYED = "p_size > 40 OR (p_partkey div 64) % 7 = 3"
 
 # Stored columns of the tables used here; with a given schema no footer has to be read to plan a query.
 TABLES = {
+    "region": "r_regionkey INT, r_name STRING",
     "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
     "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
     "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
