@@ -34,6 +34,18 @@ def doc_texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
+def free_names(columns: list[str], *names: str) -> list[str]:
+    """Names that none of the columns has, whatever their case."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 # Rolling hashes --------------------------------------------------------------------------------------
 
 

@@ -1,18 +1,20 @@
 """Repeated line runs, by prefix doubling over the suffixes of line-id sequences.
 
 A document is the sequence of its lines that hold a word; a line's id is the 128-bit hash of its bytes. A run
-of consecutive lines is long enough if it holds MIN_WORDS words. Every line begins one shortest run that is
-(as far as the document goes on). A line is a later copy if one of the runs it is in also begins earlier: in a
-document of smaller id, or in the same document. The last lines of a repeat begin no such run inside it if
-they hold fewer than MIN_WORDS words together, and then stay. With whole=True the shortest runs that end at
-every line count too, and pairs of lines that are long enough each, which only matter for what stands between
-them; all repeated runs that are long enough are made of these, so every line of theirs goes. The registered query and the pipeline follow the SQL twin, which has the runs that begin at a line only.
+of consecutive lines counts if it holds MIN_WORDS words, or if it is a line that stands in LINE_DOCUMENTS documents. A
+line goes if a run it is in, of that size, also begins earlier: in a document of smaller id, or in the same
+document. So of every maximal repeated run, however long, the first copy stays and the others go whole.
 
 Suffixes are named by their first 1, 2, 4, ... lines: the name for twice the lines is made of the names of
 both halves. Equal names are the intervals of the suffix array with that common prefix; suffixes alone in
 their interval cannot repeat and leave before the next doubling. A run of any length up to twice the name's is
 named by the two names that overlap in it, and its interval's earliest suffix is the copy that stays.
 
+A maximal run is found through the shortest long enough runs in it: those that begin at each of its lines, those
+that end at each, and pairs of lines that are long enough each. Every line of the run is in one of them, and they
+repeat where the run does, so together they make up the run. No line is without a word, so none of them has more
+than MIN_WORDS lines, and doubling beyond that would name nothing more.
+
 Intervals are only counted and reduced to their smallest member, which Spark combines before the shuffle; the
 members of an interval are never brought together, so a line that is in a third of the documents is no hot
 group. The reduced intervals are saved before they are joined back: a join on plain shuffles is one that Spark
@@ -35,11 +37,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from playmart.llm.common import doc_texts, saved, utf8
+from playmart.llm.common import doc_texts, free_names, saved, utf8
 
 MIN_WORDS = 10
+LINE_DOCUMENTS = 10  # documents from which on a line counts by itself, however short
 
-LINES = "doc_id bigint, key bigint, pos int, line int, last int, need int, n1 bigint, n2 bigint"
+LINES = "doc_id bigint, key bigint, pos int, line int, last int, need int, fresh int, n1 bigint, n2 bigint"
 ENDS = "doc_id bigint, key bigint, pos int, line int, last int, need int"
 
 
@@ -63,7 +66,10 @@ def _lines(min_words: int):
                 enough = end < len(total)
                 need = np.where(enough, end - np.arange(len(at)), 0)
                 last = at[np.where(enough, end, 1) - 1]
-                rows.append(np.stack([np.arange(len(at)), at, last, need]))
+                own = hashes[len(hashes) - len(at) :]
+                fresh = np.zeros(len(at), np.int64)  # the line's first place in the document
+                fresh[list({h: k for k, h in zip(range(len(at) - 1, -1, -1), reversed(own))}.values())] = 1
+                rows.append(np.stack([np.arange(len(at)), at, last, need, fresh]))
                 docs.append(np.full(len(at), row))
             if not docs:
                 continue
@@ -115,8 +121,7 @@ def _key() -> Column:
 
 
 def _in_interval(suffixes: DataFrame) -> DataFrame:
-    """The suffixes whose name is not theirs alone."""
-    suffixes = saved(suffixes)
+    """The suffixes whose name is not theirs alone, from saved ones."""
     shared = saved(suffixes.groupBy("n1", "n2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
     return saved(suffixes.join(shared, ["n1", "n2"], "left_semi"))
 
@@ -142,24 +147,34 @@ def _beside(starts: DataFrame, suffixes: DataFrame, ahead: Column, keep: Column)
     return left.join(right, on).drop("d", "k", "to", "to_pos").select(*place, "line", "last", "need", "n1", "n2", "m1", "m2")
 
 
-def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, whole: bool = False) -> DataFrame:
-    """doc_id, key, line and last of every run that also begins earlier; with whole, of runs up to a line too."""
+def _frequent_lines(suffixes: DataFrame, least: int) -> DataFrame:
+    """doc_id, key, line and last of every place but the first of lines that stand in so many documents."""
+    at = F.struct("doc_id", "key", "pos")
+    lines = suffixes.groupBy("n1", "n2").agg(F.sum("fresh").alias("documents"), F.min(at).alias("first"))
+    lines = saved(lines.where(F.col("documents") >= least).drop("documents"))
+    later = suffixes.join(lines, ["n1", "n2"]).where(~at.eqNullSafe(F.col("first")))
+    return later.select("doc_id", "key", "line", F.col("line").alias("last"))
+
+
+def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, line_documents: int = LINE_DOCUMENTS) -> DataFrame:
+    """doc_id, key, line and last of runs that also begin earlier; together they are all lines that go."""
     rows = doc_texts(docs).select("doc_id", _key().alias("key"), "text")
     # Rows that repeat doc_id and text give the same lines, which count once.
-    suffixes = _in_interval(rows.mapInArrow(_lines(min_words), LINES).distinct())
-    ends = saved(rows.mapInArrow(_ends(min_words), ENDS).distinct()) if whole else None
+    lines = saved(rows.mapInArrow(_lines(min_words), LINES).distinct())
+    frequent = _frequent_lines(lines, line_documents)
+    suffixes = _in_interval(lines.drop("fresh"))
+    ends = saved(rows.mapInArrow(_ends(min_words), ENDS).distinct())
     named = []
     length = 1
     while True:
         here = F.col("need").between(length, 2 * length - 1)
         named.append(_beside(suffixes, suffixes, F.col("need") - length, here))
-        if whole:
-            named.append(_beside(_begun(ends.where(here), suffixes), suffixes, F.col("need") - length, F.lit(True)))
-        if 2 * length > (max(min_words, 2) if whole else min_words):  # every line has a word, so no shortest run has more lines than words
+        named.append(_beside(_begun(ends.where(here), suffixes), suffixes, F.col("need") - length, F.lit(True)))
+        if 2 * length > max(min_words, 2):  # every line has a word, so no shortest run has more lines than words
             break
         doubled = _beside(suffixes, suffixes, F.lit(length), F.lit(True))
         names = [F.xxhash64(F.lit(s), "n1", "n2", "m1", "m2").alias(f"n{s}") for s in (1, 2)]
-        suffixes = _in_interval(doubled.select("doc_id", "key", "pos", "line", "last", "need", *names))
+        suffixes = _in_interval(saved(doubled.select("doc_id", "key", "pos", "line", "last", "need", *names)))
         length *= 2
     runs = named[0]
     for more in named[1:]:
@@ -168,10 +183,10 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, whole: bool = Fal
     name = ["need", "n1", "n2", "m1", "m2"]
     first = runs.groupBy(*name).agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     later = runs.join(saved(first.drop("n")), name).where(~F.col("at").eqNullSafe(F.col("first")))
-    return later.select("doc_id", "key", "line", "last")
+    return later.select("doc_id", "key", "line", "last").union(frequent)
 
 
-def _without(names: list[str]):
+def _without(names: list[str], counts: tuple[str, str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(names.index("text")).to_pylist()
@@ -192,29 +207,37 @@ def _without(names: list[str]):
             columns = list(batch.columns[: len(names)])
             columns[names.index("text")] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(total, pa.int64()), pa.array(deleted, pa.int64())], [*names, "_lines", "_deleted"]
+                [*columns, pa.array(total, pa.int64()), pa.array(deleted, pa.int64())], [*names, *counts]
             )
 
     return run
 
 
-def delete_repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, whole: bool = False) -> DataFrame:
-    """docs with the later copies deleted from text, and _lines and _deleted (lines with a word, before)."""
-    spans = repeated_runs(docs, min_words, whole).groupBy("doc_id", "key").agg(
-        F.collect_set(F.struct("line", "last")).alias("_gone")  # of one document
+def delete_repeated_runs(
+    docs: DataFrame,
+    min_words: int = MIN_WORDS,
+    line_documents: int = LINE_DOCUMENTS,
+    counts: tuple[str, str] = ("_lines", "_deleted"),
+) -> DataFrame:
+    """docs with the later copies deleted from text, and two counts: lines with a word before, and those deleted."""
+    doc, key, gone = free_names([*docs.columns, *counts], "doc", "key", "gone")
+    spans = repeated_runs(docs, min_words, line_documents).groupBy("doc_id", "key").agg(
+        F.collect_set(F.struct("line", "last")).alias(gone)  # of one document
     )
-    spans = spans.select(F.col("doc_id").alias("_doc"), F.col("key").alias("_key"), "_gone")
+    spans = spans.select(F.col("doc_id").alias(doc), F.col("key").alias(key), gone)
     text = F.coalesce("text", F.lit(""))
-    on = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_doc")) & (F.xxhash64(text) == F.col("_key"))
-    joined = docs.join(spans, on, "left").select(*docs.columns, "_gone")
-    counts = [StructField("_lines", LongType()), StructField("_deleted", LongType())]
-    return joined.mapInArrow(_without(docs.columns), StructType([*docs.schema.fields, *counts]))
+    on = F.col("doc_id").cast("bigint").eqNullSafe(F.col(doc)) & (F.xxhash64(text) == F.col(key))
+    joined = docs.join(spans, on, "left").select(*docs.columns, gone)
+    fields = [*docs.schema.fields, *(StructField(c, LongType()) for c in counts)]
+    return joined.mapInArrow(_without(docs.columns, counts), StructType(fields))
 
 
-def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS, whole: bool = False) -> DataFrame:
+def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS, line_documents: int = LINE_DOCUMENTS) -> DataFrame:
     """docs without the later copies. Documents of which no line with a word is left go; n_chars follows."""
-    out = delete_repeated_runs(docs, min_words, whole).where("_deleted = 0 OR _deleted < _lines")
+    lines, deleted = free_names(docs.columns, "lines", "deleted")
+    out = delete_repeated_runs(docs, min_words, line_documents, (lines, deleted))
+    out = out.where((F.col(deleted) == 0) | (F.col(deleted) < F.col(lines)))
     if "n_chars" in docs.columns:
-        changed = F.when(F.col("_deleted") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
+        changed = F.when(F.col(deleted) > 0, F.char_length("text")).otherwise(F.col("n_chars"))
         out = out.withColumn("n_chars", changed.cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
