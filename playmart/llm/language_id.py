@@ -38,11 +38,15 @@ HELD_BACK = 0.25  # share of the sample used for calibration
 TARGET_ACCURACY = 0.99  # of accepted predictions, on the rows held back
 UNDETERMINED = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
+_SIGN = re.compile(r"[^\W\d_]")  # letters, and number signs such as fractions
 _KEPT = byte_set(range(ord("a"), ord("z") + 1), range(0x80, 0x100))
 _SPACE = np.uint8(0x20)
 
 
+def has_letter(text: str) -> bool:
+    return any(m.group().isalpha() for m in _SIGN.finditer(text))
+
+
 def subword_counts(text: str) -> np.ndarray:
     """Counts of the hash buckets of all subwords of a whole text."""
     raw = np.frombuffer(text.lower().encode(), np.uint8)
@@ -81,7 +85,7 @@ class Model:
     accept_from: float
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
-        if not self.languages or not text or not _LETTER.search(text):
+        if not self.languages or not text or not has_letter(text):
             return UNDETERMINED, 0.0, False
         counts = subword_counts(text)
         logits = counts @ self.weights / max(1, counts.sum()) + self.bias
@@ -153,14 +157,15 @@ def _calibrate(logits: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
 
 
 def training_rows(docs: DataFrame, usable: Column) -> list[tuple[str, np.ndarray, np.ndarray]]:
-    """Subword counts of at most ROWS_PER_LANGUAGE rows of each language, those of the lowest id hashes.
+    """Subword counts of at most ROWS_PER_LANGUAGE rows of each language, those of the lowest hashes.
 
+    Rows of one language that agree in id and text count once, so rows that repeat or have no id fill no sample.
     Only the limiting hash of each language goes through the driver before the counts of the chosen rows.
     """
     drawn = docs.where(usable & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    drawn = drawn.select("lang", "text", F.xxhash64("doc_id").alias("draw"))
+    drawn = drawn.select("lang", "text", F.xxhash64("doc_id", "text").alias("draw"))
     ranked = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
-    limits = drawn.select("lang", "draw").withColumn("n", ranked).where(f"n <= {ROWS_PER_LANGUAGE}")
+    limits = drawn.select("lang", "draw").distinct().withColumn("n", ranked).where(f"n <= {ROWS_PER_LANGUAGE}")
     limits = limits.groupBy("lang").agg(F.max("draw").alias("last")).limit(MAX_LANGUAGES + 1).collect()
     if not limits:
         return []
@@ -178,7 +183,8 @@ def training_rows(docs: DataFrame, usable: Column) -> list[tuple[str, np.ndarray
                 ["lang", "buckets", "counts"],
             )
 
-    chosen = drawn.where(F.col("draw") <= last[F.col("lang")]).select("lang", "text")
+    chosen = drawn.where(F.col("draw") <= last[F.col("lang")])
+    chosen = chosen.groupBy("lang", "draw").agg(F.min("text").alias("text")).select("lang", "text")
     counted = chosen.mapInArrow(count, "lang string, buckets array<bigint>, counts array<bigint>").toPandas()
     rows = [(r.lang, np.asarray(r.buckets), np.asarray(r.counts)) for r in counted.itertuples() if len(r.buckets)]
     return sorted(rows, key=lambda r: (r[0], r[1].tolist(), r[2].tolist()))
