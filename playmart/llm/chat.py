@@ -4,9 +4,9 @@ A turn is rendered as  <s>ROLE[INST] TEXT [/INST]</s>  and a conversation as its
 is deterministic: a conversation is split at the end mark, a turn at the first [INST] and the last [/INST];
 then a backslash before any character is taken away.
 
-Every turn is first rendered as it is and parsed again. Where that does not give the same role and text (they
-hold control strings or backslashes), backslashes are doubled and one is put behind the first character of
-every control string. The whole conversation is then parsed once more; if it differs from its source, all its
+Every turn is first rendered as it is and parsed again. Where that does not give the same role and text, or where
+they hold a control string, backslashes are doubled and one is put behind the first character of every control
+string; so the only control strings of a formatted conversation are the template's. The whole conversation is then parsed once more; if it differs from its source, all its
 turns are escaped, which always reads back.
 
 Defined cases: a null role or text counts as empty; turns are ordered by turn (null first), then role and
@@ -16,6 +16,8 @@ Texts of any length and no rows at all are fine. A conversation is one value, as
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +33,10 @@ def escape(text: Column) -> Column:
     return out
 
 
+def _any_mark(text: Column) -> Column:
+    return reduce(Column.__or__, [F.contains(text, F.lit(mark)) for mark in CONTROL])
+
+
 def unescape(text: Column) -> Column:
     return F.regexp_replace(text, r"(?s)\\(.)", "$1")
 
@@ -85,7 +91,9 @@ def format_chats(conversations: DataFrame) -> DataFrame:
     )
     source = F.array(F.struct(role.alias("role"), text.alias("text")))
     rows = rows.withColumns({"plain": render(role, text), "escaped": render(escape(role), escape(text))})
-    rows = rows.withColumn("first", F.when(_same(parse(F.col("plain")), source), F.col("plain")).otherwise(F.col("escaped")))
+    free = ~_any_mark(role) & ~_any_mark(text)
+    stays = free & _same(parse(F.col("plain")), source)
+    rows = rows.withColumn("first", F.when(stays, F.col("plain")).otherwise(F.col("escaped")))
     turn = F.struct("turn", "role", "text", "first", "escaped")
     chats = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("all"))
 
@@ -100,6 +108,7 @@ def format_chats(conversations: DataFrame) -> DataFrame:
     return chats.select("conv_id", "formatted", "turns", _same(F.col("turns"), F.col("said")).alias("round_trip"))
 
 
-def learned_text(turns: Column) -> Column:
-    """All text under the loss mask: the assistant's texts in order."""
-    return F.array_join(F.transform(F.filter(turns, lambda t: t["role"] == LEARNED_ROLE), lambda t: t["text"]), "")
+def learned_text(formatted: Column, turns: Column) -> Column:
+    """All text under the loss mask, the assistant's places in the formatted text, without its escapes."""
+    learned = F.filter(turns, lambda t: t["role"] == LEARNED_ROLE)
+    return F.array_join(F.transform(learned, lambda t: unescape(F.substr(formatted, t["at"] + 1, t["size"]))), "")

@@ -77,7 +77,7 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     chats = chat.format_chats(said.unionByName(extra))
     turns = F.col("turns")
     lines = F.transform(turns, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
-    learned = chat.learned_text(turns)
+    learned = chat.learned_text(F.col("formatted"), turns)
     return chats.select(
         "conv_id", F.size(turns).cast("bigint").alias("n_turns"),
         F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
