@@ -2,7 +2,8 @@
 
 1. Every Arrow batch of documents becomes one row per distinct pre-token of the batch, with the documents it
    is in and how often (a short array). A pre-token that is in every document is one row per batch, not per
-   document, so it makes no hot key.
+   document. Those in HOT documents of a batch are dealt out by batch too, to SALTS tasks, so that no task gets all
+   the entries of one.
 2. These rows are dealt out by pre-token once. Both the distinct pre-tokens, whose pieces are counted once
    each, and the join back to the frequencies use that exchange.
 3. Frequency times pieces is summed per document, first within each task.
@@ -22,16 +23,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playmart.llm.common import doc_texts
+from playmart.llm.common import U64, doc_texts, mix
 from playmart.llm.pieces import vocabulary
 
-# slot 0 holds pre-tokens; the batch's document list is a row of its own, told apart by its slot. An entry is a
+# slot 0 to SALTS holds pre-tokens; the batch's document list is a row of its own, told apart by its slot. An entry is a
 # document's place in the batch and a frequency; a larger one is divided over several entries. Most pre-tokens
 # have a single entry, which is a plain number in place of an array.
 FREQUENCIES = (
     "piece string, slot bigint, first bigint, entry int, found array<int>, doc_ids array<bigint>, bytes array<bigint>"
 )
 PLACES = 1 << 16  # documents in a batch at most
+HOT = 64  # documents of a batch from which on a pre-token is dealt out by batch as well
+SALTS = 64  # tasks that share a frequent pre-token, each counting its pieces once
 MOST = (1 << 15) - 1  # frequency in an entry at most
 SPECIAL = "\0special"  # a special token found in a text: one token; no pre-token looks like this
 
@@ -65,6 +68,8 @@ def _frequencies(path: str):
             ends = np.append(ends, len(pairs) + n_docs).astype(np.int32)
             found = np.concatenate((pairs % n_docs + times * PLACES, np.arange(n_docs))).astype(np.int32)
             single = np.diff(ends) == 1
+            hot = np.diff(ends)[:-1] >= HOT
+            salt = int(mix(np.array([batch.column(0)[0].as_py()], U64))[0]) % SALTS
             single[-1] = False
             entry = np.append(found, np.int32(0))[ends[:-1]]
             first = batch.column(0)[0].as_py()
@@ -73,7 +78,7 @@ def _frequencies(path: str):
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([*names, ""], pa.string()),
-                    pa.array(np.append(np.zeros(len(names), np.int64), first + 1)),
+                    pa.array(np.append(np.where(hot, 1 + salt, 0), first + 1)),
                     pa.array(np.full(len(names) + 1, first, np.int64)),
                     pa.array(entry, mask=~single),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(found), mask=pa.array(single)),
