@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playmart.llm.common import (
-    U64, byte_set, group_bounds, mix, prefix_hash, range_hash, saved, spans, whole_groups, word_hashes,
+    U64, byte_set, free_names, group_bounds, mix, prefix_hash, range_hash, saved, spans, whole_groups, word_hashes,
 )
 
 SEED_WORDS = 5
@@ -174,6 +174,7 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, coverage: float =
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """The documents that no item contaminates."""
-    found = contaminated_pairs(docs, benchmark, coverage).select(F.col("doc_key").alias("_bad")).distinct()
+    (bad,) = free_names(docs.columns, "bad")
+    found = contaminated_pairs(docs, benchmark, coverage).select(F.col("doc_key").alias(bad)).distinct()
     key = F.xxhash64(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")))
-    return docs.join(found, key == F.col("_bad"), "left_anti")
+    return docs.join(found, key == F.col(bad), "left_anti")

@@ -12,8 +12,8 @@ compared in a task of its own, so no task holds a whole hot list and no link is
 
 Defined cases: a null or empty text has fingerprint zero and is linked like any other. Rows with the same
 doc_id are kept as rows in near_duplicates; a null doc_id takes part and counts as larger than all others when
-the smallest id of a component is taken. first_of_groups judges rows, not ids: of the rows with an id one of the
-smallest id stays, and of the rows without an id one, beside it. An empty table gives an empty result.
+the smallest id of a component is taken. first_of_groups judges rows, not ids: one row of a group
+stays, one of the smallest id, or one without an id where no row has one. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playmart.llm.common import U64, doc_texts, group_bounds, saved, utf8, whole_groups
+from playmart.llm.common import U64, doc_texts, free_names, group_bounds, saved, utf8, whole_groups
 from playmart.llm.components import components
 
 SHINGLE = 4
@@ -214,17 +214,16 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
 
 
 def first_of_groups(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """Of every component the first row of the smallest id, and the first row without an id."""
+    """Of every component one row: the first of the smallest id, or of those without an id if none has one."""
     _check(max_bits)
     # Written with a key of its own for every row, which stays the same however often it is read.
-    keyed = saved(docs.withColumn("_row", F.monotonically_increasing_id()))
-    texts = keyed.select(F.col("doc_id").cast("bigint"), "_row", F.coalesce("text", F.lit("")).alias("text"))
+    (row,) = free_names([*docs.columns, "fp", "root", "first"], "row")
+    keyed = saved(docs.withColumn(row, F.monotonically_increasing_id()))
+    texts = keyed.select(F.col("doc_id").cast("bigint"), F.col(row).alias("_row"), F.coalesce("text", F.lit("")).alias("text"))
     rows = saved(_printed(texts, shingle))
-    named = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "_row"))
-    unnamed = F.when(F.col("doc_id").isNull(), F.col("_row"))
-    labelled = _labelled(rows.groupBy("fp").agg(F.min(named).alias("named"), F.min(unnamed).alias("unnamed")), max_bits)
-    first = labelled.groupBy("root").agg(F.min("named")["_row"].alias("named"), F.min("unnamed").alias("unnamed"))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_row")).alias("first")
+    labelled = _labelled(rows.groupBy("fp").agg(least), max_bits)
+    first = labelled.groupBy("root").agg(F.min("first")["_row"].alias("stays"))
     by_fp = labelled.select("fp", "root").join(saved(first), "root").drop("root")
-    stays = F.when(F.col("doc_id").isNull(), F.col("unnamed")).otherwise(F.col("named"))
-    later = rows.join(by_fp, "fp").where(F.col("_row") != stays).select("_row")
-    return keyed.join(later, "_row", "left_anti").select(*docs.columns)
+    later = rows.join(by_fp, "fp").where(F.col("_row") != F.col("stays")).select(F.col("_row").alias(row))
+    return keyed.join(later, row, "left_anti").select(*docs.columns)
