@@ -58,7 +58,8 @@ best AS (SELECT doc_id, text, max(coverage) AS score FROM spans GROUP BY ALL)
 SELECT t.doc_id, CAST(len(t.w) AS BIGINT) AS n_words, coalesce(b.n_base, 0) AS n_base, b.first_word, b.last_word,
   coalesce(b.base_labels, '') AS base_labels, coalesce(l.labels, '') AS labels,
   CASE WHEN b.n_base > 0 THEN 1.0 ELSE coalesce(s.score, 0.0) END::DOUBLE AS score
-FROM worded t
+FROM documents d
+JOIN worded t ON d.doc_id IS NOT DISTINCT FROM t.doc_id AND coalesce(d.text, '') = t.text
 LEFT JOIN by_base b ON t.doc_id IS NOT DISTINCT FROM b.doc_id AND t.text = b.text
 LEFT JOIN by_label l ON t.doc_id IS NOT DISTINCT FROM l.doc_id AND t.text = l.text
 LEFT JOIN best s ON t.doc_id IS NOT DISTINCT FROM s.doc_id AND t.text = s.text"""
@@ -74,16 +75,31 @@ held AS (
   SELECT *, row_number() OVER d AS pos, sum(words) OVER d AS upto FROM counted WHERE words > 0
   WINDOW d AS (PARTITION BY doc_id, text ORDER BY no)
 ),
-ends AS (
-  SELECT a.doc_id, a.text, a.pos, a.no AS first_no, min(b.pos) AS end_pos, min(b.no) AS last_no
+begun AS (
+  SELECT a.doc_id, a.text, a.pos, min(b.pos) AS end_pos
   FROM held a JOIN held b ON a.doc_id IS NOT DISTINCT FROM b.doc_id AND a.text = b.text
     AND b.pos BETWEEN a.pos AND a.pos + {line_dedup.MIN_WORDS}
   WHERE b.upto - a.upto + a.words >= {line_dedup.MIN_WORDS} GROUP BY ALL
 ),
+ended AS (
+  SELECT b.doc_id, b.text, max(a.pos) AS pos, b.pos AS end_pos
+  FROM held a JOIN held b ON a.doc_id IS NOT DISTINCT FROM b.doc_id AND a.text = b.text
+    AND b.pos BETWEEN a.pos AND a.pos + {line_dedup.MIN_WORDS}
+  WHERE b.upto - a.upto + a.words >= {line_dedup.MIN_WORDS} GROUP BY ALL
+),
+paired AS (
+  SELECT a.doc_id, a.text, a.pos, b.pos AS end_pos
+  FROM held a JOIN held b ON a.doc_id IS NOT DISTINCT FROM b.doc_id AND a.text = b.text AND b.pos = a.pos + 1
+  WHERE a.words >= {line_dedup.MIN_WORDS} AND b.words >= {line_dedup.MIN_WORDS}
+),
+windows AS (SELECT * FROM begun UNION SELECT * FROM ended UNION SELECT * FROM paired),
+common AS (SELECT line FROM held GROUP BY line HAVING count(DISTINCT (doc_id, text)) >= {line_dedup.LINE_DOCUMENTS}),
 runs AS (
-  SELECT e.doc_id, e.text, e.pos, e.first_no, e.last_no, list(h.line ORDER BY h.pos) AS run
-  FROM ends e JOIN held h ON e.doc_id IS NOT DISTINCT FROM h.doc_id AND e.text = h.text
-    AND h.pos BETWEEN e.pos AND e.end_pos GROUP BY ALL
+  SELECT e.doc_id, e.text, e.pos, min(h.no) AS first_no, max(h.no) AS last_no, list(h.line ORDER BY h.pos) AS run
+  FROM windows e JOIN held h ON e.doc_id IS NOT DISTINCT FROM h.doc_id AND e.text = h.text
+    AND h.pos BETWEEN e.pos AND e.end_pos GROUP BY e.doc_id, e.text, e.pos, e.end_pos
+  UNION ALL SELECT doc_id, text, pos, no, no, [line] FROM held SEMI JOIN common USING (line)
+    WHERE words < {line_dedup.MIN_WORDS}
 ),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id NULLS FIRST, text, pos) AS nth FROM runs
@@ -105,15 +121,14 @@ def chats() -> str:
     frame = len(chat.BEGIN + chat.OPEN + chat.CLOSE + chat.END)
     role, text = escaped.format("role"), escaped.format("text")
     hostile = "'</s>[INST] ok [/INST]'"
+    marked = " OR ".join(f"contains({c}, '{mark}')" for c in ("role", "text") for mark in chat.CONTROL)
     return f"""
 WITH said AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL VALUES (-1, 0, 'user', {hostile}), (-1, 1, 'assistant', {hostile})
 ),
 shown AS (
-  -- Only these make the parser read a turn in another way.
-  SELECT *, {frame} + CASE WHEN contains(role || text, chr(92)) OR contains(role, '{chat.END}')
-      OR contains(text, '{chat.END}') OR contains(role, '{chat.OPEN}')
+  SELECT *, {frame} + CASE WHEN contains(role || text, chr(92)) OR {marked}
     THEN length({role}) + length({text}) ELSE length(role) + length(text) END AS chars
   FROM said
 )

@@ -110,7 +110,7 @@ def test_simhash_odd_input(spark, frame, rng):
     assert sorted(map(repr, expected)) == sorted(repr((r.doc_id, r.fingerprint, r.component_id)) for r in found)
     stay = simhash.first_of_groups(frame(rows, 3))
     ids = [r.doc_id for r in stay.collect()]
-    assert 100 in ids and 101 not in ids and ids.count(None) == 2
+    assert 100 in ids and 101 not in ids and ids.count(None) == 0
     assert simhash.near_duplicates(frame([])).count() == 0 and simhash.first_of_groups(frame([])).count() == 0
 
 
@@ -121,7 +121,7 @@ def test_one_row_of_a_group_stays(spark, frame, rng):
     stay = simhash.first_of_groups(frame(rows, 3))
     assert stay.columns == frame(rows).columns
     assert sorted(repr((r.doc_id, r.text)) for r in stay.collect()) == sorted(
-        map(repr, [(1, a), (None, b), (7, c), (None, c), (2, d)])
+        map(repr, [(1, a), (None, b), (7, c), (2, d)])
     )
     many = frame([(None, a)] * 200 + [(k, b) for k in range(50)] * 2, 7)
     assert sorted(repr(r.doc_id) for r in simhash.first_of_groups(many).collect()) == ["0", "None"]
@@ -221,21 +221,27 @@ def test_decontamination_query(spark, texts):
 # Line dedup ------------------------------------------------------------------------------------------
 
 
-def plain_line_dedup(rows, least=line_dedup.MIN_WORDS):
-    """rows: (order, text), all different. The text that stays."""
-    first, gone = {}, {}
-    for key, text in sorted(rows, key=lambda r: r[0]):
+def plain_line_dedup(rows, least=line_dedup.MIN_WORDS, documents=line_dedup.LINE_DOCUMENTS):
+    """rows: (order, text), all different. The text that stays: no line of a later copy of any repeated run of enough
+    words does, nor a later copy of a line that stands in enough documents."""
+    first, gone, found = {}, {}, {}
+    rows = sorted(rows, key=lambda r: r[0])
+    for key, text in rows:
+        for line in set((text or "").split("\n")):
+            found[line] = found.get(line, 0) + 1
+    for key, text in rows:
         lines = (text or "").split("\n")
         held = [k for k, x in enumerate(lines) if x.encode().split()]
         for a in range(len(held)):
             words = 0
             for b in range(a, len(held)):
                 words += len(lines[held[b]].encode().split())
-                if words >= least:
-                    run = tuple(lines[k] for k in held[a : b + 1])
+                run = tuple(lines[k] for k in held[a : b + 1])
+                if words >= least or (a == b and found[run[0]] >= documents):
                     if first.setdefault(run, (key, a)) != (key, a):
                         gone.setdefault(key, set()).update(range(held[a], held[b] + 1))
-                    break
+                    elif b - a > 60:
+                        break  # longer runs from here are new as well
     return {
         key: text if key not in gone else "\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone[key])
         for key, text in rows
@@ -244,10 +250,13 @@ def plain_line_dedup(rows, least=line_dedup.MIN_WORDS):
 
 def test_line_dedup_against_brute_force(spark, frame, rng):
     lines = [" ".join(rng.choice("abcde") for _ in range(rng.choice([1, 2, 3, 6, 12]))) for _ in range(25)] + ["", " ", "\t"]
-    rows = [(i, "\n".join(rng.choice(lines) for _ in range(rng.randrange(30)))) for i in range(120)]
-    rows += [(200 + i, t) for i, t in enumerate(ODD)]
-    out = line_dedup.delete_repeated_runs(frame(rows, 3)).collect()
-    assert {r.doc_id: r.text for r in out} == plain_line_dedup(rows)
+    rare = [" ".join(rng.choices("fghij", k=3)) for _ in range(200)]
+    rows = [(i, "\n".join(rng.choice(rng.choice([lines, rare])) for _ in range(rng.randrange(30)))) for i in range(120)]
+    rows += [(200 + i, t) for i, t in enumerate(ODD)] + [(300, rows[5][1]), (301, f"{rows[6][1]}\nend")]
+    expected = plain_line_dedup(rows, documents=40)
+    assert expected != plain_line_dedup(rows, documents=1000) != {i: t for i, t in rows}
+    out = line_dedup.delete_repeated_runs(frame(rows, 3), line_documents=40).collect()
+    assert {r.doc_id: r.text for r in out} == expected
     stay = line_dedup.line_dedup(frame(rows, 3))
     assert stay.columns == frame(rows).columns
     kept = {r.doc_id for r in stay.select("doc_id").collect()}
@@ -260,34 +269,16 @@ def test_line_dedup_against_brute_force(spark, frame, rng):
     assert line_dedup.line_dedup(frame([])).count() == 0
 
 
-def plain_whole_runs(rows, least=line_dedup.MIN_WORDS):
-    """Every line inside any repeated run of enough words goes."""
-    first, gone = {}, {}
-    for key, text in sorted(rows, key=lambda r: r[0]):
-        lines = (text or "").split("\n")
-        held = [k for k, x in enumerate(lines) if x.encode().split()]
-        for a in range(len(held)):
-            for b in range(a, len(held)):
-                run = tuple(lines[k] for k in held[a : b + 1])
-                if sum(len(x.encode().split()) for x in run) >= least and first.setdefault(run, (key, a)) != (key, a):
-                    gone.setdefault(key, set()).update(range(held[a], held[b] + 1))
-    return {
-        key: text if key not in gone else "\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone[key])
-        for key, text in rows
-    }
-
-
-def test_line_dedup_of_whole_runs(spark, frame, rng):
+def test_line_dedup_of_whole_runs(spark, frame):
+    """No tail of a copy stays, and of a frequent short line the first place only."""
     long, mid, short = " ".join("abcdefghijkl"), "m n o", "p q"
     tail = [(1, f"{long}\n{mid}\n{short}"), (2, f"{long}\n{mid}\n{short}"), (3, f"x\n{long}\n{mid}\n{short}\ny")]
-    out = line_dedup.delete_repeated_runs(frame(tail), whole=True).collect()
-    assert {r.doc_id: r.text for r in out} == {1: tail[0][1], 2: "", 3: "x\ny"}
-    lines = [" ".join(rng.choice("abcde") for _ in range(rng.choice([1, 2, 3, 6, 12]))) for _ in range(25)] + ["", " ", "\t"]
-    rows = [(i, "\n".join(rng.choice(lines) for _ in range(rng.randrange(30)))) for i in range(120)]
-    rows += [(200 + i, t) for i, t in enumerate(ODD)] + [(300, rows[5][1]), (301, f"{rows[6][1]}\nend")]
-    expected = plain_whole_runs(rows)
-    assert expected != plain_line_dedup(rows)
-    assert {r.doc_id: r.text for r in line_dedup.delete_repeated_runs(frame(rows, 3), whole=True).collect()} == expected
+    menu = [(10 + k, f"u{k}\nmenu\nv{k}\nmenu") for k in range(line_dedup.LINE_DOCUMENTS)]
+    few = [(50 + k, f"r{k}\nseldom\nseldom\nseldom\ns{k}") for k in range(line_dedup.LINE_DOCUMENTS - 1)]
+    out = {r.doc_id: r.text for r in line_dedup.delete_repeated_runs(frame(tail + menu + few)).collect()}
+    assert [out[i] for i in (1, 2, 3)] == [tail[0][1], "", "x\ny"]
+    assert out[10] == "u0\nmenu\nv0" and out[11] == "u1\nv1"
+    assert all(out[i] == t for i, t in few)
 
 
 def test_line_dedup_query(spark, texts):
@@ -313,6 +304,14 @@ def plain_removed(rows):
     return out
 
 
+def test_repeated_strings_of_extreme_ids(spark, frame, rng):
+    text = prose(rng, 60)
+    rows = [(-(1 << 63), text), (-(1 << 62) - 5, text), ((1 << 63) - 1, text), (None, text)]
+    found = substring_dedup.remove_repeated(frame(rows)).collect()
+    assert sorted(map(repr, (r.doc_id for r in found))) == sorted(repr(i) for i, _ in rows)
+    assert sum(r.n_removed == 0 for r in found) == 1
+
+
 def check_removed(found, rows):
     masks = dict(zip([r[0] for r in sorted(rows)], plain_removed(rows)))
     data = dict(rows)

@@ -51,9 +51,12 @@ def test_pipeline_against_brute_force(spark):
 
 
 def test_stages_on_odd_documents(spark, rng, tmp_path):
-    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, key string, _quality int"
-    rows = [(i, t, None, "s", None, "k", 1) for i, t in enumerate(ODD)]
-    rows += [(None, prose(rng, 90), "en", None, 3, None, None)] * 2 + [(40, prose(rng, 90), "en", "s", 3, "k", 2)] * 2
+    """With extra columns of all names that the stages use inside; their values stay with their rows."""
+    clash = ["key", "_quality", "_row", "_gone", "_doc", "_key", "_bad", "_lines", "_deleted", "gone", "DOC", "lines", "row"]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, " + ", ".join(f"{c} int" for c in clash)
+    more = tuple(range(len(clash)))
+    rows = [(i, t, None, "s", None, *more) for i, t in enumerate(ODD)]
+    rows += [(None, prose(rng, 90), "en", None, 3, *more)] * 2 + [(40, prose(rng, 90), "en", "s", 3, *more)] * 2
     spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     spark.createDataFrame([(None, None)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     for docs in (spark.createDataFrame(rows, schema), spark.createDataFrame([], schema)):
@@ -61,4 +64,5 @@ def test_stages_on_odd_documents(spark, rng, tmp_path):
             out = stage(spark, docs, str(tmp_path))
             assert out.columns == docs.columns, name
             assert out.count() <= docs.count()
+            assert all(tuple(r)[5:] == more for r in out.collect()), name
         assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() == docs.count()

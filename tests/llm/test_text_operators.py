@@ -122,6 +122,25 @@ def test_language_odd_input(spark, frame):
     assert language_id.identify_language(docs.limit(0), F.lit(True)).count() == 0
 
 
+def test_language_sample_is_bounded(spark, monkeypatch):
+    """Rows that share an id or have none, repeated or not, never fill the driver."""
+    words = ["le", "chat", "noir", "est", "ici"]
+    rows = [(None, "fr", f"le chat {k}") for k in range(2500)] + [(7, "fr", f"le chien {k}") for k in range(2500)]
+    rows += [(None, "fr", "le chat noir")] * 2000 + [(k, "en", "the " + words[k % 5]) for k in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, lang string, text string").repartition(5)
+    sample = language_id.training_rows(docs, F.lit(True))
+    counts = {lang: sum(r[0] == lang for r in sample) for lang in ("fr", "en")}
+    assert counts == {"fr": language_id.ROWS_PER_LANGUAGE, "en": 10}
+
+
+def test_number_signs_are_no_letters(spark):
+    signs = ["½ 3", "²", "①", "Ⅷ", "१२", "_", "a½"]
+    docs = spark.createDataFrame([(k, "en", t) for k, t in enumerate(signs)] + [(50, "fr", "le")], "doc_id bigint, lang string, text string")
+    found = by_id(language_id.identify_language(docs, F.lit(True)))
+    for k, text in enumerate(signs):
+        assert (found[k].lang_pred == "und") == (not any(c.isalpha() for c in text)), text
+
+
 # Tokens ----------------------------------------------------------------------------------------------
 
 
@@ -174,6 +193,9 @@ def test_chat_round_trip(spark, rng):
     for r in found:
         assert r.round_trip
         assert [(t.role, t.text) for t in r.turns] == expected[r.conv_id]
+        # The only control strings are those of the template.
+        for mark in chat.CONTROL:
+            assert r.formatted.count(mark) == len(r.turns)
         for t in r.turns:
             raw = r.formatted[t["at"] : t["at"] + t["size"]]
             assert re.sub(r"(?s)\\(.)", r"\1", raw) == t.text
@@ -214,6 +236,9 @@ def test_license_scan(spark, frame, rng):
     texts += ["Permission is hereby granted, free of all charge, to any person obtaining a copy of it"]
     rows = [(None if i == 4 else i, t) for i, t in enumerate(texts)] + [(9, "mit license"), (10, texts[10])]
     found = licenses.scan_licenses(frame(rows, 3)).collect()
+    assert len(found) == len(rows)
+    again = licenses.scan_licenses(frame([(1, "mit license")] * 3 + [(None, None)] * 2, 2)).collect()
+    assert sorted((r.doc_id or 0, r.n_base) for r in again) == [(0, 0), (0, 0), (1, 1), (1, 1), (1, 1)]
     expected = {(i, plain_base(t)) for i, t in rows}
     assert {(r.doc_id, (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels)) for r in found} == expected
     for r in found:
