@@ -11,11 +11,12 @@ begin at anchors and to extend those to the left.
    that is settled before the shuffle, so copies reach it once per batch, not once per document.
 2. What is left of each gram are the first of each kind of surroundings. Only where there is more than one
    kind, their bytes are fetched from the documents.
-3. Interval expansion. The suffixes at the anchors of a gram are sorted; neighbours with a common prefix of
-   at least l bytes are the l-intervals. The bytes to the left of the suffixes are their Burrows-Wheeler
-   column; a backward step divides an interval by it. After r steps the intervals of common prefix
-   MIN_BYTES - r have common strings of MIN_BYTES, which is where the expansion stops. Members alone after a
-   step take no further one. In every final interval all but the first member are repeated.
+3. Interval expansion. The surroundings of the anchors of a gram are aligned at it. From the last byte of the
+   surroundings backwards, all intervals are extended by one byte at once: sorted by the byte to their left
+   (their Burrows-Wheeler column), rows that stay together in an interval share one byte more. Common prefixes
+   so arise by increasing value and are followed up to MIN_BYTES; nothing is compared directly. What is an
+   interval of MIN_BYTES r bytes before the anchor is one string there: all but its first member are repeated.
+   Rows that no longer share the gram and what was passed since with any other take no further step.
 4. Covered ranges are put together per document and cut out.
 
 Defined cases: a null or empty text has no bytes; texts shorter than MIN_BYTES lose nothing. Rows that repeat
@@ -126,24 +127,41 @@ _REQUESTS = [c.split()[0] for c in REQUESTS.split(", ")]
 
 
 def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by gram: anchors covered with all their surroundings, and those still to be compared."""
-    for rows in whole_groups(batches, ["gram"]):
-        gram, around, doc, sub, pos = (rows.column(c).to_numpy() for c in _KEYED)
-        done = around == SETTLED
-        order = np.lexsort((pos, sub, doc, around, done, gram))
-        g, a = gram[order], around[order]
-        same_gram, same_all = np.zeros(len(g), bool), np.zeros(len(g), bool)
-        same_gram[1:] = g[1:] == g[:-1]
-        same_all[1:] = same_gram[1:] & (a[1:] == a[:-1])
-        d = done[order]
-        whole = same_all | d
-        # A gram with more than one kind of surroundings: some unsettled row starts a second kind.
-        group = np.cumsum(~same_gram) - 1
-        kinds = np.bincount(group, weights=(~same_all & ~d))
-        open_ = ~whole & (kinds[group] > 1)
-        keep = order[whole | open_]
-        if len(keep):
-            yield _batch([doc[keep], sub[keep], pos[keep], gram[keep], whole[whole | open_]], _REQUESTS)
+    """Anchors covered with all their surroundings, and those still to be compared.
+
+    Rows come sorted by gram, surroundings and place, so the first row of each kind of surroundings leads it. Only
+    that first row of a gram waits for a second kind; a gram of any size passes without being held.
+    """
+    last: tuple[int, int] | None = None  # gram and surroundings of the row before
+    waiting: list[np.ndarray] | None = None  # the first row of a gram with one kind so far
+    for batch in batches:
+        columns = [batch.column(c).to_numpy() for c in _KEYED]
+        done = columns[1] == SETTLED
+        gram, _, doc, sub, pos = (c[done] for c in columns)
+        if len(gram):
+            yield _batch([doc, sub, pos, gram, np.ones(len(gram), bool)], _REQUESTS)
+        rows = [c[~done] for c in columns]
+        if not len(rows[0]):
+            continue
+        before = [np.concatenate(([0 if last is None else last[k]], rows[k][:-1])) for k in (0, 1)]
+        same_gram = rows[0] == before[0]
+        if last is None:
+            same_gram[0] = False
+        same = same_gram & (rows[1] == before[1])
+        last = (int(rows[0][-1]), int(rows[1][-1]))
+        # The first rows of all kinds; they are to be compared if their gram has another kind.
+        leads = [c[~same] for c in rows]
+        starts = ~same_gram[~same]
+        if waiting is not None:
+            leads = [np.concatenate(x) for x in zip(waiting, leads)]
+            starts = np.concatenate(([True], starts))
+        next_starts = np.append(starts[1:], True)
+        compared = ~starts | ~next_starts
+        waiting = [c[-1:] for c in leads] if len(starts) and starts[-1] else None
+        whole = [c[same] for c in rows]
+        gram, _, doc, sub, pos = (np.concatenate((w, c[compared])) for w, c in zip(whole, leads))
+        if len(gram):
+            yield _batch([doc, sub, pos, gram, np.arange(len(gram)) < len(whole[0])], _REQUESTS)
 
 
 PARTS = "gram bigint, doc bigint, sub int, pos int, low int, high int, bytes binary"
@@ -183,45 +201,66 @@ COVERED = "doc bigint, sub int, low int, high int"
 _COVERED = [c.split()[0] for c in COVERED.split(", ")]
 
 
-def repeated_windows(
-    around: np.ndarray, left: np.ndarray, right: np.ndarray, keys: np.ndarray
-) -> np.ndarray:
+def _least(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The least of values[first..last], last included, for many ranges."""
+    table = [values]
+    while 2 << (len(table) - 1) <= len(values):
+        half = 1 << (len(table) - 1)
+        table.append(np.minimum(table[-1][:-half], table[-1][half:]))
+    level = np.frexp((last - first + 1).astype(np.float64))[1] - 1
+    out = np.empty(len(first), values.dtype)
+    for k in np.unique(level):
+        of = level == k
+        out[of] = np.minimum(table[k][first[of]], table[k][last[of] - (1 << k) + 1])
+    return out
+
+
+def _extended(order: np.ndarray, common: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One backward step for all intervals at once.
+
+    order: rows sorted by what stands from some column on; common: common prefix of each with the one before;
+    symbols: one more than the byte before that column, 0 where there is none, in that order. The stable sort by it (the mapping of last
+    to first column) gives the order one column earlier. Neighbours with one symbol were an interval before,
+    whose common prefix is the least within it: theirs is one more, at most MIN_BYTES.
+    """
+    moved = np.argsort(symbols, kind="stable")
+    sorted_column = symbols[moved]
+    longer = np.zeros(len(order), np.uint8)
+    same = np.flatnonzero((sorted_column[1:] == sorted_column[:-1]) & (sorted_column[1:] > 0)) + 1
+    if len(same):
+        longer[same] = np.minimum(_least(common, moved[same - 1] + 1, moved[same]), MIN_BYTES - 1) + 1
+    return order[moved], longer
+
+
+def repeated_windows(around: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Interval expansion over the surroundings of anchors, given in their order of place.
 
-    around: rows of SIDE + GRAM + SIDE bytes with the gram in the middle, 0 beyond the text; left, right: bytes
-    that stand before and after the gram; keys: the gram's hash. Returns, for every row and every number r of
-    backward steps, whether the string that begins r bytes before the anchor is also in an earlier row.
+    around: rows of SIDE + GRAM + SIDE bytes with the gram in the middle; left, right: bytes of the text that stand
+    before and after the gram. Returns, for every row and every number r of bytes, whether the string of MIN_BYTES
+    that begins r bytes before the anchor is also in an earlier row. Such a string holds the whole gram, so rows of
+    different grams have none in common and may be given together.
     """
-    n = len(around)
+    n, width = around.shape
     repeated = np.zeros((n, WINDOWS), bool)
-    # The sparse suffix array, and the common prefix of each suffix with the one before.
-    suffixes = np.ascontiguousarray(around[:, SIDE:])
-    # Suffixes cut off by the end of their text stand before those that go on.
-    order = np.lexsort((right, suffixes.view(f"S{MIN_BYTES}").ravel(), keys))
-    equal = suffixes[order[1:]] == suffixes[order[:-1]]
-    common = np.where(equal.all(axis=1), MIN_BYTES, equal.argmin(axis=1))
-    extent = np.minimum(right[order[1:]], right[order[:-1]]) + GRAM
-    common = np.where(keys[order[1:]] == keys[order[:-1]], np.minimum(common, extent), 0)
-    alive = np.arange(n)
-    place = np.empty(n, np.int64)
-    place[order] = np.arange(n)
-    steps = np.unique(keys, return_inverse=True)[1].astype(np.int64)  # interval of the steps so far
-    for r in range(WINDOWS):
-        if r:
-            alive = alive[left[alive] >= r]
-            if not len(alive):
-                break
-            column = around[alive, SIDE - r].astype(np.int64)
-            names, counts = np.unique(steps[alive] * 256 + column, return_inverse=True, return_counts=True)[1:]
-            steps[alive] = names
-            alive = alive[counts[names] > 1]
-        full = alive[right[alive] >= SIDE - r]
-        # Intervals of the suffix array with a common prefix of MIN_BYTES - r, divided by the steps.
-        interval = np.concatenate(([0], np.cumsum(common < MIN_BYTES - r)))[place[full]]
-        name = interval * (n + 1) + steps[full]
-        by_name = np.argsort(name, kind="stable")  # rows are in order of place, so the first one leads
-        later = by_name[1:][name[by_name[1:]] == name[by_name[:-1]]]
-        repeated[full[later], r] = True
+    order, common = np.arange(n), np.zeros(n, np.uint8)
+    for column in range(width - 1, -1, -1):
+        inside = (left[order] >= SIDE - column) & (right[order] > column - SIDE - GRAM)
+        symbols = np.where(inside, around[order, column].astype(np.uint16) + np.uint16(1), np.uint16(0))
+        order, common = _extended(order, common, symbols)
+        r = SIDE - column
+        if r < 0:
+            continue
+        starts = np.flatnonzero(common < MIN_BYTES)
+        later = np.ones(len(order), bool)
+        first = np.minimum.reduceat(order, starts)
+        later[order == np.repeat(first, np.diff(np.append(starts, len(order))))] = False
+        repeated[order[later], r] = True
+        # A row that shares less than its gram and what was passed since with both neighbours is done.
+        near = np.maximum(common, np.append(common[1:], 0))
+        kept = np.flatnonzero(near >= GRAM + r)
+        if not len(kept):
+            break
+        order, common = order[kept], np.minimum.reduceat(common[: kept[-1] + 1], np.append(0, kept[:-1] + 1))
     return repeated
 
 
@@ -242,8 +281,7 @@ def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k, part in enumerate(parts):
             begin = SIDE - (pos[k] - low[k])
             around[k, begin : begin + len(part)] = np.frombuffer(part, np.uint8)
-        keys = rows.column("gram").to_numpy()[there]
-        repeated = repeated_windows(around, pos - low, high - pos - GRAM, keys)
+        repeated = repeated_windows(around, pos - low, high - pos - GRAM)
         # Consecutive steps r cover one range of bytes.
         edge = np.diff(np.pad(repeated.view(np.int8), ((0, 0), (1, 1))), axis=1)
         row, first = np.nonzero(edge == 1)
@@ -294,7 +332,7 @@ def remove_repeated(docs: DataFrame) -> DataFrame:
     # joins below are on doc alone for that; sub only tells rows of one doc_id apart.
     row = F.row_number().over(Window.partitionBy("doc").orderBy(F.xxhash64("text"))) - 1
     base = text.withColumn("sub", row.cast("int")).select("doc", "sub", "text", "named")
-    found = base.drop("named").mapInArrow(_find_anchors, KEYED).repartition("gram").sortWithinPartitions("gram")
+    found = base.drop("named").mapInArrow(_find_anchors, KEYED).repartition("gram").sortWithinPartitions(*_KEYED)
     wanted = found.mapInArrow(_settle, REQUESTS).repartition("doc").groupBy("doc", "sub").agg(
         F.collect_list(F.struct("pos", "gram", "whole")).alias("wanted")  # of one document
     )

@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -434,3 +435,66 @@ def test_packing_odd_input(spark, frame, rng):
     starts = [r.doc_id for r in found if r.piece == 0]
     assert sorted(map(repr, starts)) == sorted(repr(i) for i, _ in rows)
     assert packing.pack_documents(frame([]), WORD_VOCABULARY).count() == 0
+
+
+def plain_windows(around, left, right):
+    out = np.zeros((len(around), substring_dedup.WINDOWS), bool)
+    for r in range(substring_dedup.WINDOWS):
+        seen, first = set(), substring_dedup.SIDE - r
+        for i, row in enumerate(around):
+            if left[i] >= r and right[i] >= first:
+                window = row[first : first + substring_dedup.MIN_BYTES].tobytes()
+                out[i, r] = window in seen
+                seen.add(window)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_interval_expansion_equals_comparing_all_windows(seed):
+    rng = np.random.default_rng(seed)
+    side, gram = substring_dedup.SIDE, substring_dedup.GRAM
+    n, width = int(rng.integers(1, 80)), 2 * side + gram
+    around = rng.integers(0, 2, (3, width)).astype(np.uint8)[rng.integers(0, 3, n)]
+    for row in around:
+        row[rng.integers(0, width, rng.integers(0, 3))] ^= 1
+    around[:, side : side + gram] = rng.integers(0, 2, (2, gram))[rng.integers(0, 2, n)]
+    left, right = rng.choice([0, 10, 40, side, side], n), rng.choice([0, 30, side - 1, side, side], n)
+    at = np.arange(width)
+    around[(at < side - left[:, None]) | (at >= side + gram + right[:, None])] = 0
+    assert (substring_dedup.repeated_windows(around, left, right) == plain_windows(around, left, right)).all()
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 1000])
+def test_anchors_are_settled_alike_in_batches_of_any_size(size):
+    rng = np.random.default_rng(size)
+    rows = [(int(rng.integers(-3, 4)), int(rng.integers(-2, 3)), d, 0, int(rng.integers(0, 5))) for d in range(200)]
+    rows.sort()
+    batches = [
+        pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[k : k + size])], substring_dedup._KEYED)
+        for k in range(0, len(rows), size)
+    ]
+    found = [tuple(r.values()) for b in substring_dedup._settle(iter(batches)) for r in b.to_pylist()]
+    kinds, expected, led = {}, [], set()
+    for gram, around, *_ in rows:
+        if around != substring_dedup.SETTLED:
+            kinds.setdefault(gram, set()).add(around)
+    for gram, around, doc, sub, pos in rows:
+        whole = around == substring_dedup.SETTLED or (gram, around) in led
+        led.add((gram, around))
+        if whole or len(kinds[gram]) > 1:
+            expected.append((doc, sub, pos, gram, whole))
+    assert sorted(found) == sorted(expected)
+
+
+def test_the_tally_rejects_pairs_before_their_bits_are_compared():
+    """In a posting list of three equal bytes most pairs share no fourth; the rest are verified."""
+    rng = np.random.default_rng(7)
+    f = rng.integers(0, 1 << 63, 3000).astype(np.uint64)
+    f = (f & ~np.uint64(0xFFFFFF)) | np.uint64(0x123456)
+    f[2000:2500] = f[:500] ^ np.uint64(0b1011 << 40)
+    f[2500:] = f[:500] ^ np.uint64(0xFF << 40)
+    a, b = (f[k] for k in np.triu_indices(len(f), 1))
+    kept, found = simhash.tally(a, b) >= simhash.MIN_SHARED, simhash.linked(a, b)
+    assert kept.mean() < 0.05 and 500 <= found.sum() < kept.sum()
+    assert (found == (np.bitwise_count(a ^ b) <= simhash.MAX_BITS)).all()
+    assert (simhash.linked(f, f[5]) == (np.bitwise_count(f ^ f[5]) <= simhash.MAX_BITS)).all()
