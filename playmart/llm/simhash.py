@@ -4,7 +4,9 @@ Two fingerprints of 64 bits that differ in at most 4 have at least 4 of their 8
 place. The index has postings of bytes with their positions; three positions are taken together per posting,
 which keeps posting lists short as the data grows. The 20 position triples are chosen so that any 4 shared
 positions hold one of them, so no pair that can reach the minimum is missed. Within a posting list the shared
-positional bytes of a pair are tallied, pairs with at least 4 are kept, and their bits are compared.
+positional bytes of a pair are tallied, pairs with at least 4 are kept, and only the bits of
+those are compared; most pairs of a list share just its three. Both fingerprints of a pair stand in the list, so
+its one tally counts all eight positions, and no pair is shuffled to be tallied over several lists.
 
 Equal fingerprints are one node. Of each posting list only links that connect it are given on (a spanning
 forest), not all pairs. Lists longer than BLOCK are cut into blocks by hash and every pair of blocks is
@@ -91,14 +93,21 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return _printed(doc_texts(docs), shingle)
 
 
-def linked(a: np.ndarray, b: np.ndarray, max_bits: int = MAX_BITS) -> np.ndarray:
-    """Tally the shared positional bytes, keep pairs with enough of them, verify their bits."""
+def tally(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Shared positional bytes of every pair."""
     differ = a ^ b
     marks = differ | (differ >> U64(4))
     marks |= marks >> U64(2)
     marks |= marks >> U64(1)
-    shared = BYTES - np.bitwise_count(marks & U64(0x0101010101010101))
-    return (shared >= BYTES - max_bits) & (np.bitwise_count(differ) <= max_bits)
+    return BYTES - np.bitwise_count(marks & U64(0x0101010101010101))
+
+
+def linked(a: np.ndarray, b: np.ndarray, max_bits: int = MAX_BITS) -> np.ndarray:
+    """Tally the shared positional bytes, keep the pairs with enough of them, verify the bits of those; a is an array."""
+    kept = tally(a, b) >= BYTES - max_bits
+    at = np.flatnonzero(kept)
+    kept[at] = np.bitwise_count(a[at] ^ (b[at] if np.ndim(b) else b)) <= max_bits
+    return kept
 
 
 def _forest(f: np.ndarray, max_bits: int) -> list[tuple[np.ndarray, np.ndarray]]:
