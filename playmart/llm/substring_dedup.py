@@ -298,14 +298,14 @@ REMOVED = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
-        for doc, named, text, covered in zip(*(c.to_pylist() for c in batch.columns)):
+        for doc, sub, text, covered in zip(*(c.to_pylist() for c in batch.columns)):
             kept, removed, count = text, 0, 0
             if covered:
                 low, high = _merge(*(np.array([c[k] for c in covered], np.int64) for k in ("low", "high")))
                 removed, count = int((high - low).sum()), len(low)
                 ends = [0, *high.tolist()]
                 kept = b"".join(text[a:b] for a, b in zip(ends, [*low.tolist(), len(text)]))
-            rows.append((doc if named else None, len(text), removed, count, kept))
+            rows.append((doc if sub & 1 else None, len(text), removed, count, kept))
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
         yield pa.RecordBatch.from_arrays(
             [pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)],
@@ -322,17 +322,19 @@ def _with(base: DataFrame, more: DataFrame, how: str) -> DataFrame:
 
 def remove_repeated(docs: DataFrame) -> DataFrame:
     """REMOVED for every row: kept holds the remaining bytes."""
-    # Inside the operator a row without a doc_id has one below -2**62, by its text; `named` says which rows have one.
+    # Inside the operator a row without a doc_id has one below -2**62, by its text.
     no_id = F.shiftrightunsigned(F.xxhash64("text"), 2) + F.lit(-(1 << 63))
     text = doc_texts(docs).select(
         F.coalesce("doc_id", no_id).alias("doc"), F.col("doc_id").isNotNull().alias("named"),
         F.col("text").cast("binary").alias("text"),
     )
     # Dealt out by document once: the anchors, the fetched bytes and the cut texts all read this exchange. The
-    # joins below are on doc alone for that; sub only tells rows of one doc_id apart.
+    # joins below are on doc alone for that, and all three ask for the same columns; sub only tells rows of one doc_id
+    # apart, and its last bit says whether the row has one.
     row = F.row_number().over(Window.partitionBy("doc").orderBy(F.xxhash64("text"))) - 1
-    base = text.withColumn("sub", row.cast("int")).select("doc", "sub", "text", "named")
-    found = base.drop("named").mapInArrow(_find_anchors, KEYED).repartition("gram").sortWithinPartitions(*_KEYED)
+    sub = (row * 2 + F.col("named").cast("int")).cast("int")
+    base = text.withColumn("sub", sub).select("doc", "sub", "text")
+    found = base.mapInArrow(_find_anchors, KEYED).repartition("gram").sortWithinPartitions(*_KEYED)
     wanted = found.mapInArrow(_settle, REQUESTS).repartition("doc").groupBy("doc", "sub").agg(
         F.collect_list(F.struct("pos", "gram", "whole")).alias("wanted")  # of one document
     )
@@ -341,5 +343,5 @@ def remove_repeated(docs: DataFrame) -> DataFrame:
     covered = ranges.repartition("doc").groupBy("doc", "sub").agg(
         F.collect_list(F.struct("low", "high")).alias("covered")
     )
-    return _with(base, covered, "left").select("doc", "named", "text", "covered").mapInArrow(_cut, REMOVED)
+    return _with(base, covered, "left").select("doc", "sub", "text", "covered").mapInArrow(_cut, REMOVED)
 
