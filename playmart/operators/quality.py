@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from playmart.schemas import Table
@@ -70,6 +70,30 @@ def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return counted.unpivot([], list(columns), "column_name", "null_count")
 
 
+_ROWS = "row_count"
+_NULLS = "nulls in "
+
+
+def observed(df: DataFrame, columns: Sequence[str], observation: Observation) -> DataFrame:
+    """df, which counts its rows and the NULLs of some columns while it is written; no scan of its own."""
+    counts = [F.count_if(F.col(c).isNull()).alias(_NULLS + c) for c in columns]
+    return df.observe(observation, F.count(F.lit(1)).alias(_ROWS), *counts)
+
+
+def observed_counts(observation: Observation, columns: Sequence[str]) -> tuple[int, dict[str, int]] | None:
+    """Rows, and NULLs per column, of a write that has ended; None if Spark left the counting out (no rows to write)."""
+    found = observation.get
+    if any(name not in found for name in (_ROWS, *[_NULLS + c for c in columns])):
+        return None
+    return found[_ROWS], {c: found[_NULLS + c] for c in columns}
+
+
+def observed_verdicts(spark: SparkSession, table: str, nulls: Mapping[str, int]) -> DataFrame:
+    """The NOT NULL verdicts of constraint_checks from counts taken by the write, a row for each column."""
+    rows = [(f"{table}.{column} not null", 0, n, n == 0) for column, n in nulls.items()]
+    return spark.createDataFrame(rows, "name STRING, expected BIGINT, actual BIGINT, passed BOOLEAN")
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Key values that occur more than once, NULLs included."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count")).where("row_count > 1")
@@ -88,16 +112,24 @@ def orphan_counts(
     return held.join(known.distinct(), list(child_keys), "left_anti")
 
 
-def constraint_checks(tables: dict[str, DataFrame], specs: Sequence[Table]) -> DataFrame:
-    """All declared constraints of a set of tables, one row per constraint with its number of violations."""
+def constraint_checks(
+    tables: dict[str, DataFrame], specs: Sequence[Table], nulls: Mapping[str, Mapping[str, int]] | None = None
+) -> DataFrame:
+    """All declared constraints of a set of tables, one row per constraint with its number of violations.
+
+    `nulls` gives the NULLs per column of tables that were counted as they were written; those are not read for it.
+    """
+    known = nulls or {}
     rows = F.coalesce(F.sum("row_count"), F.lit(0)).alias("violations")
     parts: list[DataFrame] = []
     for spec in specs:
         df = tables[spec.name]
-        if spec.not_null:
-            nulls = null_counts(df, spec.not_null)
+        if spec.not_null and spec.name in known:
+            parts.append(observed_verdicts(df.sparkSession, spec.name, known[spec.name]))
+        elif spec.not_null:
+            counts = null_counts(df, spec.not_null)
             label = F.concat(F.lit(f"{spec.name}."), F.col("column_name"), F.lit(" not null"))
-            parts.append(_verdict(nulls, label, F.col("null_count"), 0))
+            parts.append(_verdict(counts, label, F.col("null_count"), 0))
         counted = []
         if spec.primary_key:
             counted.append((f"{spec.name} primary key", duplicate_keys(df, spec.primary_key).agg(rows), 0))

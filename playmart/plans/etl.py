@@ -16,7 +16,7 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from playmart import schemas, sinks
@@ -222,6 +222,7 @@ class Loaded:
     run_id: str
     paths: dict[tuple[str, str], str]
     rejected: dict[str, int]
+    rows: dict[tuple[str, str], int] | None = None  # counted by the writes
 
     def path(self, table: str) -> str:
         """The path this run has written a table to, the only one there is after a whole load."""
@@ -237,6 +238,7 @@ class _Run:
         self.base = sinks.current(spark, root)
         self.paths: dict[tuple[str, str], str] = {}
         self.rejected: dict[str, int] = {}
+        self.counted: dict[tuple[str, str], tuple[int, dict[str, int]] | None] = {}
 
     def stage(self, name: str, feed: DataFrame, compact: bool = False) -> DataFrame:
         """A raw feed as Parquet, once. compact=True merges a feed of many small files by one shuffle.
@@ -259,8 +261,10 @@ class _Run:
         path = sinks.run_path(self.root, table.name, self.run_id)
         if period != sinks.WHOLE:
             path = sinks.run_path(self.root, table.name, f"{self.run_id}-{period}")
-        sinks.write_table(df, path, table)
+        observation = Observation()
+        sinks.write_table(df, path, table, observation=observation)
         self.paths[table.name, period] = path
+        self.counted[table.name, period] = quality.observed_counts(observation, table.not_null)
         return sinks.read_runs(self.spark, self.root, [path], table)
 
     def read(self, table: Table, spark: SparkSession | None = None) -> DataFrame:
@@ -269,13 +273,23 @@ class _Run:
         held = [] if sinks.WHOLE in mine else self.base.of(table.name, list(mine))
         return sinks.read_runs(spark or self.spark, self.root, [*held, *mine.values()], table)
 
+    def nulls(self) -> dict[str, dict[str, int]]:
+        """NULLs per column, as counted by the writes, of the tables that this run has written all of."""
+        found: dict[str, dict[str, int]] = {}
+        for table in self.dialect.tables:
+            mine = {p: got for (name, p), got in self.counted.items() if name == table.name}
+            whole = sinks.WHOLE in mine or table.name == "songplays" or not self.base.of(table.name, list(mine))
+            if mine and whole and None not in mine.values():
+                found[table.name] = {c: sum(nulls[c] for _, nulls in mine.values()) for c in table.not_null}
+        return found
+
     def check_and_publish(
         self, fact: DataFrame, checks: Sequence[quality.Check]
     ) -> Loaded:
         """Constraints of the written fact and all dimensions, the given checks, then publication."""
         specs = self.dialect.tables
         written = {t.name: self.read(t) for t in specs} | {"songplays": fact}
-        quality.enforce(quality.constraint_checks(written, specs))
+        quality.enforce(quality.constraint_checks(written, specs, self.nulls()))
         if checks:
             # A session of its own, so that no view of the caller is replaced.
             own = self.spark.newSession()
@@ -285,7 +299,8 @@ class _Run:
         # Tables are built on one another and on other periods, so any commit to one of them in the meantime matters.
         reads = [*{name for name, _ in [*self.paths, *self.base.paths]}]
         sinks.publish(self.spark, self.root, self.run_id, self.paths, self.base, reads)
-        return Loaded(self.run_id, self.paths, self.rejected)
+        rows = {key: got[0] for key, got in self.counted.items() if got is not None}
+        return Loaded(self.run_id, self.paths, self.rejected, rows)
 
 
 def run(

@@ -285,6 +285,15 @@ _QUERIES: dict[str, str] = {
       SELECT 1 FROM song_catalog s WHERE p.song = s.title AND p.artist = s.artist_name AND p.length = s.duration)
   )""",
     "dq_not_null": _nulls("artist", "song", "length", "user_id", "level", "session_id", "ts", "location"),
+    "dq_not_null_on_write": _nulls("artist", "song", "length", "user_id", "level", "session_id", "ts", "location"),
+    "inferred_props": "SELECT event_id, event_type, CAST(props::JSON->>'$.k' AS BIGINT) AS k FROM events",
+    "inferred_field_types": """SELECT event_type, concat('$.', key) AS path,
+    CASE json_type(props::JSON, key) WHEN 'UBIGINT' THEN 'BIGINT' ELSE json_type(props::JSON, key) END AS type,
+    count(*) AS row_count
+  FROM (SELECT event_type, props, unnest(json_keys(props)) AS key FROM events) GROUP BY ALL""",
+    "inferred_drift": """SELECT '$.order.price' AS path, 'BIGINT, STRING' AS types, count(*) AS row_count FROM orders
+  HAVING count(DISTINCT o_orderstatus = 'P') = 2""",
+    "arrived_events": "SELECT event_id, user_id, event_type, value FROM events",
     "dq_pk_duplicates": """SELECT session_id, item_in_session, count(*) AS row_count FROM plays
   GROUP BY session_id, item_in_session HAVING count(*) > 1""",
     "dq_fk_orphans": """SELECT song, artist, count(*) AS row_count FROM plays p WHERE NOT EXISTS (

@@ -9,7 +9,7 @@ import hashlib
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from playmart import sinks
@@ -25,6 +25,7 @@ from playmart.schemas import (
     Table,
 )
 from playmart.shared import shared_folder
+from playmart.sources import inferred
 from playmart.sources.feeds import consolidate_events
 from playmart.sources.staging import checked_fields, extract_json_paths
 from playmart.sources.warehouse_tables import (
@@ -36,6 +37,7 @@ from playmart.sources.warehouse_tables import (
     play_log,
     song_catalog,
 )
+from playmart.streaming import arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -473,6 +475,44 @@ def staged_rejects(spark: SparkSession, d: str) -> DataFrame:
     return _checked_props(spark, d).select("event_id", F.inline("rejects"))
 
 
+# Inferred types, arrivals ---------------------------------------------------------------------------
+
+
+def inferred_props(spark: SparkSession, d: str) -> DataFrame:
+    """Events with the fields of their props, whose names and types are found in the data."""
+    events = inferred.parsed(load(spark, d, "events"), "props")
+    return inferred.typed_fields(events, "parsed", ["event_id", "event_type"])
+
+
+def inferred_field_types(spark: SparkSession, d: str) -> DataFrame:
+    """How often each field of props has each type, by kind of event."""
+    events = inferred.parsed(load(spark, d, "events"), "props")
+    return inferred.field_types(events, "parsed", ["event_type"])
+
+
+def inferred_drift(spark: SparkSession, d: str) -> DataFrame:
+    """Fields whose values have several types: orders as JSON, where one kind of clerk writes prices as text."""
+    orders = load(spark, d, "orders")
+    price = F.concat(F.lit('{"order":{"key":'), "o_orderkey", F.lit(',"price":'))
+    value = F.when(F.col("o_orderstatus") == "P", F.concat(F.lit('"'), F.col("o_orderpriority"), F.lit('"')))
+    value = F.coalesce(value, F.col("o_custkey").cast("string"))
+    lines = orders.select(F.concat(price, value, F.lit("}}")).alias("line"))
+    return inferred.drifting(inferred.field_types(inferred.parsed(lines, "line"), "parsed"))
+
+
+_ARRIVED_EVENTS = Table("events", "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE")
+
+
+def arrived_events(spark: SparkSession, d: str) -> DataFrame:
+    """Events as picked up from where they arrive; what an earlier pick-up has loaded is not loaded again."""
+    name = hashlib.md5(f"{spark.sparkContext.applicationId} {d}".encode()).hexdigest()
+    root = f"{shared_folder(spark)}/arrivals-{name}"
+    for _ in range(2):
+        # As a glob, which holds for one file and for a folder of files.
+        arrivals.pick_up(spark, f"{d}/event[s].parquet", root, _ARRIVED_EVENTS, "parquet")
+    return arrivals.arrived(spark, root, _ARRIVED_EVENTS)
+
+
 # Quality --------------------------------------------------------------------------------------------
 
 
@@ -505,6 +545,18 @@ def dq_not_null(spark: SparkSession, d: str) -> DataFrame:
     return quality.null_counts(_log(spark, d, *columns), columns)
 
 
+def dq_not_null_on_write(spark: SparkSession, d: str) -> DataFrame:
+    """The same counts taken by the write of a table, without reading it for them."""
+    columns = ["artist", "song", "length", "user_id", "level", "session_id", "ts", "location"]
+    observation = Observation()
+    rows = quality.observed(_log(spark, d, *columns), columns, observation)
+    name = hashlib.md5(f"{spark.sparkContext.applicationId} {d}".encode()).hexdigest()
+    rows.write.mode("overwrite").parquet(f"{shared_folder(spark)}/observed-{name}")
+    counted = quality.observed_counts(observation, columns)
+    nulls = counted[1] if counted is not None else dict.fromkeys(columns, 0)
+    return spark.createDataFrame([*nulls.items()], "column_name STRING, null_count BIGINT")
+
+
 def dq_pk_duplicates(spark: SparkSession, d: str) -> DataFrame:
     item = ["session_id", "item_in_session"]
     return quality.duplicate_keys(_plays(spark, d, *item), item)
@@ -531,6 +583,7 @@ QUERIES: dict[str, Query] = {
         insert_if_absent, upsert_last_wins, serving_session_items, serving_user_session,
         serving_song_listeners, lookup_session_item, lookup_user_session, lookup_song_listeners,
         stored_session_item, stored_user_session, stored_song_listeners, songplay_serial_id, side_by_side,
-        staged_good, staged_rejects, delete_chain, delete_chain_counts, cascade_delete, dq_results, dq_not_null, dq_pk_duplicates, dq_fk_orphans,
+        staged_good, staged_rejects, delete_chain, delete_chain_counts, cascade_delete, dq_results, dq_not_null,
+        inferred_props, inferred_field_types, inferred_drift, arrived_events, dq_not_null_on_write, dq_pk_duplicates, dq_fk_orphans,
     )
 }

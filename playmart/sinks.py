@@ -13,10 +13,11 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from playmart.operators import quality
 from playmart.operators.dedupe import insert_if_absent
 from playmart.schemas import ServingTable, Table, load_order
 
@@ -38,9 +39,17 @@ def laid_out(df: DataFrame, partition_by: Sequence[str] = (), sort_by: Sequence[
     return df.sortWithinPartitions(*order) if order else df
 
 
-def write_table(df: DataFrame, path: str, table: Table, mode: str = "overwrite") -> None:
-    """Write one registry table as Parquet, partitioned and sorted as the registry says."""
+def write_table(
+    df: DataFrame, path: str, table: Table, mode: str = "overwrite", observation: Observation | None = None
+) -> None:
+    """Write one registry table as Parquet, partitioned and sorted as the registry says.
+
+    With an observation the write itself counts the rows and the NULLs of the columns that may not hold any.
+    """
     rows = laid_out(conform(df, table), table.partition_by, table.sort_by)
+    if observation is not None:
+        # Last, in the tasks that write: Spark counts each of them once, however often it is tried.
+        rows = quality.observed(rows, table.not_null, observation)
     writer = rows.write.mode(mode).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
     if table.partition_by:
         writer = writer.partitionBy(*table.partition_by)
