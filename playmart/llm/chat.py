@@ -16,6 +16,7 @@ Texts of any length and no rows at all are fine. A conversation is one value, as
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 BEGIN, OPEN, CLOSE, END = "<s>", "[INST] ", " [/INST]", "</s>"
 CONTROL = ("<s>", "</s>", "[INST]", "[/INST]")
 LEARNED_ROLE = "assistant"
+BLOCK = 256  # numbers that are summed one by one, see _sums_before
 
 
 def escape(text: Column) -> Column:
@@ -45,40 +47,80 @@ def render(role: Column, text: Column) -> Column:
     return F.concat(F.lit(BEGIN), role, F.lit(OPEN), text, F.lit(CLOSE + END))
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value computed once, however often body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _sums_before(sizes: Column) -> Column:
+    """For every number of an array the sum of those before it.
+
+    An array that grows by one in an aggregate is copied every time, so sums are taken within blocks, then over
+    blocks: the work is BLOCK copies a number at most, not the length of the array.
+    """
+
+    def grown(numbers: Column, size: Callable[[Column], Column]) -> Column:
+        start = F.struct(F.lit(0).alias("total"), F.array().cast("array<int>").alias("before"))
+        return F.aggregate(
+            numbers, start,
+            lambda a, x: F.struct(
+                (a["total"] + size(x)).alias("total"),
+                F.concat(a["before"], F.array(a["total"])).alias("before"),
+            ),
+        )
+
+    def whole(parts: Column) -> Column:
+        begins = grown(parts, lambda part: part["total"])["before"]
+        shifted = F.zip_with(
+            parts, begins, lambda part, begin: F.transform(part["before"], lambda x: x + begin)
+        )
+        return F.flatten(shifted)
+
+    def blocks(numbers: Column) -> Column:
+        first = F.sequence(F.lit(1), F.greatest(F.size(numbers), F.lit(1)), F.lit(BLOCK))
+        return F.transform(first, lambda at: grown(F.slice(numbers, at, F.lit(BLOCK)), lambda x: x))
+
+    return _let(sizes, lambda numbers: _let(blocks(numbers), whole))
+
+
+def _pieces(formatted: Column) -> Column:
+    """The rendered turns of a conversation, each without its end mark; what follows the last mark is not one."""
+    return _let(F.split(formatted, END), lambda p: F.slice(p, 1, F.greatest(F.size(p) - 1, F.lit(0))))
+
+
+def _turn(piece: Column, *more: Callable[[Column, Column], Column]) -> Column:
+    """role and text of a piece, and what `more` makes of its head and its text as written."""
+    head = F.substring_index(piece, OPEN, 1)
+    body = F.substr(piece, F.char_length(head) + len(OPEN) + 1)
+    text = F.substr(body, F.lit(1), F.char_length(body) - len(CLOSE))
+    role = unescape(F.substr(head, F.lit(len(BEGIN) + 1)))
+    return F.struct(role.alias("role"), unescape(text).alias("text"), *(f(head, text) for f in more))
+
+
 def parse(formatted: Column) -> Column:
     """Array of (role, text, at, size) read from a formatted conversation.
 
     at and size (code points) are where the turn's text stands, so a loss mask can be made of them. An empty
     string has no turns.
     """
-    pieces = F.slice(F.split(formatted, END), 1, F.greatest(F.size(F.split(formatted, END)) - 1, F.lit(0)))
-    spans = F.aggregate(
-        pieces,
-        F.struct(F.lit(0).alias("next"), F.array().cast("array<struct<piece:string,begin:int>>").alias("out")),
-        lambda a, piece: F.struct(
-            (a["next"] + F.char_length(piece) + len(END)).alias("next"),
-            F.concat(a["out"], F.array(F.struct(piece.alias("piece"), a["next"].alias("begin")))).alias("out"),
-        ),
-    )["out"]
-
-    def turn(x: Column) -> Column:
-        piece = x["piece"]
-        head = F.substring_index(piece, OPEN, 1)
-        body = F.substr(piece, F.char_length(head) + len(OPEN) + 1)
-        text = F.substr(body, F.lit(1), F.char_length(body) - len(CLOSE))
-        return F.struct(
-            unescape(F.substr(head, F.lit(len(BEGIN) + 1))).alias("role"),
-            unescape(text).alias("text"),
-            (x["begin"] + F.char_length(head) + len(OPEN)).alias("at"),
-            F.char_length(text).alias("size"),
+
+    def placed(pieces: Column) -> Column:
+        begins = _sums_before(F.transform(pieces, lambda p: F.char_length(p) + len(END)))
+        return F.zip_with(
+            pieces, begins,
+            lambda piece, begin: _turn(
+                piece,
+                lambda head, text: (begin + F.char_length(head) + len(OPEN)).alias("at"),
+                lambda head, text: F.char_length(text).alias("size"),
+            ),
         )
 
-    return F.transform(spans, turn)
+    return _let(_pieces(formatted), placed)
 
 
-def _same(parsed: Column, source: Column) -> Column:
-    plain = F.transform(parsed, lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
-    return F.to_json(plain) == F.to_json(source)
+def _reads_as(formatted: Column, source: Column) -> Column:
+    """Does formatted parse to the roles and texts of source?"""
+    return F.transform(_pieces(formatted), lambda piece: _turn(piece)) == source
 
 
 def format_chats(conversations: DataFrame) -> DataFrame:
@@ -92,7 +134,7 @@ def format_chats(conversations: DataFrame) -> DataFrame:
     source = F.array(F.struct(role.alias("role"), text.alias("text")))
     rows = rows.withColumns({"plain": render(role, text), "escaped": render(escape(role), escape(text))})
     free = ~_any_mark(role) & ~_any_mark(text)
-    stays = free & _same(parse(F.col("plain")), source)
+    stays = F.when(free, _reads_as(F.col("plain"), source)).otherwise(F.lit(False))
     rows = rows.withColumn("first", F.when(stays, F.col("plain")).otherwise(F.col("escaped")))
     turn = F.struct("turn", "role", "text", "first", "escaped")
     chats = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("all"))
@@ -102,13 +144,33 @@ def format_chats(conversations: DataFrame) -> DataFrame:
 
     said = F.transform("all", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
     chats = chats.withColumns({"first": joined("first"), "said": said, "escaped": joined("escaped")})
-    kept = F.when(_same(parse(F.col("first")), F.col("said")), F.col("first")).otherwise(F.col("escaped"))
+    kept = F.when(_reads_as(F.col("first"), F.col("said")), F.col("first")).otherwise(F.col("escaped"))
     chats = chats.select("conv_id", "said", kept.alias("formatted"))
     chats = chats.withColumn("turns", parse(F.col("formatted")))
-    return chats.select("conv_id", "formatted", "turns", _same(F.col("turns"), F.col("said")).alias("round_trip"))
+    read = F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
+    return chats.select("conv_id", "formatted", "turns", (read == F.col("said")).alias("round_trip"))
 
 
 def learned_text(formatted: Column, turns: Column) -> Column:
-    """All text under the loss mask, the assistant's places in the formatted text, without its escapes."""
-    learned = F.filter(turns, lambda t: t["role"] == LEARNED_ROLE)
-    return F.array_join(F.transform(learned, lambda t: unescape(F.substr(formatted, t["at"] + 1, t["size"]))), "")
+    """All text under the loss mask, the assistant's places in the formatted text, without its escapes.
+
+    A place is cut out of its own rendered turn, as looking for a code point counts all those before it.
+    """
+    after = len(CLOSE + END)
+
+    def begin(i: Column) -> Column:
+        return F.coalesce(F.get(turns, i - 1)["at"] + F.get(turns, i - 1)["size"] + after, F.lit(0))
+
+    mask = F.transform(
+        turns,
+        lambda t, i: F.struct(
+            (t["role"] == LEARNED_ROLE).alias("learned"),
+            (t["at"] - begin(i) + 1).alias("at"),
+            t["size"].alias("size"),
+        ),
+    )
+    cut = F.zip_with(
+        _pieces(formatted), mask,
+        lambda piece, m: F.when(m["learned"], unescape(F.substr(piece, m["at"], m["size"]))),
+    )
+    return F.array_join(cut, "")

@@ -202,6 +202,23 @@ def test_chat_round_trip(spark, rng):
     assert chat.format_chats(said.limit(0)).count() == 0
 
 
+def test_chat_of_very_many_turns(spark):
+    """Work in proportion to the turns: arrays copied turn by turn would take hours here."""
+    n = 100_000
+    said = spark.range(n).selectExpr(
+        "1 AS conv_id", "id AS turn", "if(id % 2 = 0, 'user', 'assistant') AS role",
+        "concat(repeat('é', int(id % 7)), if(id % 5 = 0, '</s>[INST]', ''), id) AS text",
+    )
+    chats = chat.format_chats(said)
+    (r,) = chats.withColumn("learned", chat.learned_text(F.col("formatted"), F.col("turns"))).collect()
+    texts = ["é" * (i % 7) + "</s>[INST]" * (i % 5 == 0) + str(i) for i in range(n)]
+    assert r.round_trip and [t.text for t in r.turns] == texts
+    assert r.learned == "".join(texts[1::2])
+    for t, text in zip(r.turns[:: n // 100], texts[:: n // 100]):
+        raw = r.formatted[t["at"] : t["at"] + t["size"]]
+        assert re.sub(r"(?s)\\(.)", r"\1", raw) == text
+
+
 def test_chat_query(spark):
     found = {r.conv_id: r for r in QUERIES["op9_chat_formatting"](spark, SF).collect()}
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
