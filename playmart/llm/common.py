@@ -6,6 +6,7 @@ nothing. A null text counts as empty unless the operator says otherwise.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +35,13 @@ def doc_texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a Parquet table in the shared folder, of which a reader takes the columns it needs."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def free_names(columns: list[str], *names: str) -> list[str]:
     """Names that none of the columns has, whatever their case."""
     taken = {c.lower() for c in columns}

@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from playmart.llm.common import (
-    SEGMENT, SPACES, U64, byte_set, doc_texts, mix, prefix_hash, range_hash, saved, spans, utf8, word_hashes,
+    SEGMENT, SPACES, U64, byte_set, doc_texts, free_names, mix, prefix_hash, range_hash, saved, spans, utf8,
+    word_hashes, written,
 )
 
 GRAM = 4  # bytes of an n-gram
@@ -200,18 +201,15 @@ def quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that quality_rules keeps, with the columns of docs.
 
-    Only the scores of labelled documents are needed for the threshold; every document is then judged where
-    it is read, so no text is shuffled.
+    Every text is scored once. Those that pass the base rule are written with their score; the threshold is
+    read from the scores alone, the result from the whole. No text is shuffled.
     """
-    name = "_quality"
-    while name in docs.columns:
-        name += "_"
-    ratio = log_ratio(docs, labels)
-    known = features(docs.select(F.col("doc_id").cast("bigint"), "text"), ratio).select("doc_id", "quality.*")
-    cut = threshold(known, labels)
-    judged = features(docs, ratio, name)
+    (name,) = free_names(docs.columns, "quality")
+    scored = features(docs, log_ratio(docs, labels), name)
     inner = {f.split()[0]: F.col(f"{name}.{f.split()[0]}") for f in FEATURES.split(", ")}
     failed = (inner["n_words"] < MIN_WORDS) | (
         100 * inner["n_repeat_words"] > MAX_REPEAT_PERCENT * inner["n_words"]
     )
-    return judged.where(~failed & (inner["score"] >= F.lit(cut))).select(*docs.columns)
+    passed = written(scored.where(~failed), "quality")
+    cut = threshold(passed.select(F.col("doc_id").cast("bigint"), f"{name}.*"), labels)
+    return passed.where(inner["score"] >= F.lit(cut)).select(*docs.columns)

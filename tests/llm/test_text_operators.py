@@ -1,6 +1,7 @@
 """Operators that judge one document at a time, against plain versions of their rules."""
 
 import hashlib
+import math
 import re
 
 import numpy as np
@@ -82,6 +83,73 @@ def test_quality_rules_keep_good_documents(spark):
     }
 
 
+def plain_buckets(text, memo):
+    """How often every bucket is hit by the byte 4-grams of a text, in plain integers."""
+    found = {}
+    for k in range(len(text) - quality.GRAM + 1):
+        gram = text[k : k + quality.GRAM]
+        if gram not in memo:
+            x = int.from_bytes(gram, "little")
+            for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+                x = (x ^ x >> shift) * factor % 2**64
+            memo[gram] = (x ^ x >> 31) * quality.BUCKETS >> 64
+        found[memo[gram]] = found.get(memo[gram], 0) + 1
+    return found
+
+
+def plain_verdicts(docs, labels):
+    """Score of every document, the cut, and both from counts over all documents, without numpy or Spark."""
+    memo = {}
+    bags = [plain_buckets((t or "").encode(), memo) for _, t in docs]
+    good = {i for i, q, toxic in labels if q == 1 and toxic != 1}
+    shares = []
+    for chosen in ([b for (i, _), b in zip(docs, bags) if i in good], bags):
+        total = {}
+        for bag in chosen:
+            for bucket, n in bag.items():
+                total[bucket] = total.get(bucket, 0) + n
+        size = sum(total.values()) + quality.SMOOTHING * quality.BUCKETS
+        shares.append(lambda b, total=total, size=size: math.log((total.get(b, 0) + quality.SMOOTHING) / size))
+    scores = [
+        sum(n * (shares[0](b) - shares[1](b)) for b, n in bag.items()) / max(1, sum(bag.values())) for bag in bags
+    ]
+    failed = []
+    for _, t in docs:
+        words = re.findall(r"[^\x20\x09-\x0D]+", t or "")
+        repeated = plain_counts(t or "")[4]
+        failed.append(len(words) < 50 or 100 * repeated > 50 * len(words))
+    quality_of = {}
+    for i, q, _ in labels:
+        quality_of.setdefault(i, []).append(q)
+    known = [
+        (math.floor(s / quality.STEP), q)
+        for (i, _), s, f in zip(docs, scores, failed) if not f for q in quality_of.get(i, []) if q is not None
+    ]
+    steps = sorted({s for s, _ in known})
+    goods, bads = (sum(q == k for _, q in known) for k in (1, 0))
+    best, cut = 0.0, -math.inf
+    for k, step in enumerate(steps):
+        good_below, bad_below = (sum(q == j for s, q in known if s <= step) for j in (1, 0))
+        if not bads or good_below > (1 - quality.KEEP_TRUSTED) * goods:
+            break
+        if bad_below / bads - good_below / goods > best:
+            best = bad_below / bads - good_below / goods
+            cut = (step + 1 + (steps[k + 1] if k + 1 < len(steps) else step + 1)) / 2 * quality.STEP
+    return scores, cut, [not f and s >= cut for s, f in zip(scores, failed)]
+
+
+def test_quality_verdicts_equal_a_plain_version(spark):
+    docs, labels = (spark.read.parquet(f"{TESTDATA}/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+    marks = [tuple(r) for r in labels.select("doc_id", "quality", "toxic").collect()]
+    scores, cut, kept = plain_verdicts(rows, marks)
+    found = {r.doc_id: r for r in quality.quality_rules(docs, labels).collect()}
+    assert len(found) == len(rows) and -math.inf < cut < max(scores)
+    for (doc, _), score, keep in zip(rows, scores, kept):
+        assert abs(found[doc].score - score) < 1e-9, doc
+        assert found[doc].kept == keep or abs(score - cut) < 1e-9, doc
+
+
 def test_quality_rules_odd_input(spark, frame, rng):
     none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     docs = frame([*enumerate(ODD), (None, prose(rng, 80)), (7, prose(rng, 80)), (7, prose(rng, 80))])
