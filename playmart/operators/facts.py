@@ -86,6 +86,20 @@ def _qualified(columns: Sequence[str], location_from: str) -> list[Column]:
     return [F.col(side.get(c, f"p.{c}")).alias(c) for c in columns]
 
 
+def distinct_rows(rows: DataFrame, only: Sequence[str] = ()) -> DataFrame:
+    """Rows without repetition, cut to some columns if `only` is given.
+
+    The others then take part as 128 bits of hash, with a mark for every NULL, as the hash skips them; so texts
+    that are needed only to tell rows apart are not shuffled.
+    """
+    if not only:
+        return rows.distinct()
+    others = [F.col(c) for c in rows.columns if c not in only]
+    nulls = [c.isNull() for c in others]
+    hashes = [F.xxhash64(F.lit(n), *others, *nulls).alias(f"_hash{n}") for n in (1, 2)]
+    return rows.select(*only, *hashes).distinct().select(*only)
+
+
 def make_songplays(
     plays: DataFrame,
     songs: DataFrame,
@@ -97,14 +111,18 @@ def make_songplays(
     location_from: str = "user",
     columns: Sequence[str] = FACT_COLUMNS,
     extra: Sequence[str] = (),
+    only: Sequence[str] = (),
 ) -> DataFrame:
     """Fact rows; `extra` carries further play columns, for instance those a key is made of.
 
-    distinct=True drops repeated fact rows; copies are combined in each map task before the shuffle.
+    distinct=True drops repeated fact rows; copies are combined in each map task before the shuffle. `only` cuts
+    the distinct rows to some columns, one row for each of them still.
     """
     columns = [*columns, *extra]
     fact = match_songs(plays, songs, keys, how, rounded).select(*_qualified(columns, location_from))
-    return fact.distinct() if distinct else fact
+    if distinct:
+        return distinct_rows(fact, only)
+    return fact.select(*only) if only else fact
 
 
 def count_songplays(

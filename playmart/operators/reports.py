@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playmart.functions.text import device_token
-from playmart.functions.times import weekday_name
+from playmart.functions.times import weekday, weekday_name
 
 
 def _plays_per(fact: DataFrame, *keys: str, weight: str | None = None) -> DataFrame:
@@ -82,19 +82,29 @@ def plays_by_device(fact: DataFrame, weight: str | None = None) -> DataFrame:
     return agents.groupBy("device").agg(F.sum("used_count").alias("used_count"))
 
 
-def _plays_by_time(fact: DataFrame, times: DataFrame, attribute: str) -> DataFrame:
-    plays = _plays_per(fact, "start_time").join(times.select("start_time", attribute), "start_time")
+def _plays_by_time(fact: DataFrame, times: DataFrame | None, attribute: str, value: Column) -> DataFrame:
+    plays = _plays_per(fact.where("start_time IS NOT NULL"), "start_time")
+    if times is None:
+        plays = plays.withColumn(attribute, value)
+    else:
+        plays = plays.join(times.select("start_time", attribute), "start_time")
     plays = plays.where(F.col(attribute).isNotNull())
     return plays.groupBy(attribute).agg(F.sum("_plays").alias("requests")).orderBy(attribute)
 
 
-def plays_by_hour(fact: DataFrame, times: DataFrame) -> DataFrame:
-    return _plays_by_time(fact, times, "hour")
+def plays_by_hour(fact: DataFrame, times: DataFrame | None = None) -> DataFrame:
+    """Plays per hour by the times table, or by the plays' own times.
+
+    A table of just the fact's times has every time of it, so joining it would build the fact twice for nothing.
+    """
+    return _plays_by_time(fact, times, "hour", F.hour("start_time"))
 
 
-def plays_by_weekday(fact: DataFrame, times: DataFrame, convention: str = "sunday1") -> DataFrame:
+def plays_by_weekday(
+    fact: DataFrame, times: DataFrame | None = None, convention: str = "sunday1"
+) -> DataFrame:
     """Plays per weekday, labelled by the convention the times table was made with."""
-    plays = _plays_by_time(fact, times, "weekday")
+    plays = _plays_by_time(fact, times, "weekday", weekday("start_time", convention))
     return plays.withColumn("weekday_name", weekday_name(F.col("weekday"), convention))
 
 

@@ -106,9 +106,6 @@ _PLACE_ARTISTS = f"""SELECT DISTINCT {_ARTIST_ROWS} FROM song_catalog
   WHERE artist_id IN (SELECT artist_id FROM place_fact)"""
 _PLACE_SONGS = """SELECT DISTINCT song_id, title, artist_id, year, duration FROM song_catalog
   WHERE (song_id, artist_id) IN (SELECT (song_id, artist_id) FROM place_fact)"""
-_PLACE_TIMES = """SELECT DISTINCT start_time, CAST(hour(start_time) AS INTEGER) AS hour,
-  CAST(dayofweek(start_time) AS INTEGER) AS weekday, dayname(start_time) AS weekday_name FROM place_fact"""
-
 _PLAYED = """EXISTS (SELECT 1 FROM plays p WHERE p.song = s.title AND p.artist = s.artist_name
   AND p.length = s.duration)"""
 
@@ -189,13 +186,15 @@ _QUERIES: dict[str, str] = {
     "stage_jsonpaths": "SELECT event_id, CAST(props::JSON->>'$.k' AS BIGINT) AS k FROM events",
     "empty_to_null": "SELECT song_id, nullif(artist_location, '') AS artist_location FROM song_catalog",
     # Reports
-    "popular_artists": f"""SELECT s.artist_id, a.name AS artist_name, count(s.artist_id) AS requests_count
-  FROM ({_PLACE_ARTISTS}) a JOIN place_fact s ON a.artist_id = s.artist_id
-  GROUP BY s.artist_id, a.name ORDER BY requests_count DESC, artist_id, artist_name LIMIT 10""",
-    "popular_songs": f"""SELECT s.song_id, sg.title AS song_title, a.name AS artist_name, count(s.song_id) AS requests_count
-  FROM ({_PLACE_SONGS}) sg JOIN place_fact s ON sg.song_id = s.song_id
-  JOIN ({_PLACE_ARTISTS}) a ON a.artist_id = sg.artist_id
-  GROUP BY s.song_id, sg.title, a.name ORDER BY requests_count DESC, song_id, song_title, artist_name LIMIT 10""",
+    "popular_artists": f"""SELECT artist_id, name AS artist_name, count(*) *
+    (SELECT count(*) FROM place_fact played WHERE played.artist_id = dim.artist_id) AS requests_count
+  FROM ({_PLACE_ARTISTS}) dim GROUP BY artist_id, name
+  ORDER BY requests_count DESC, artist_id, artist_name LIMIT 10""",
+    "popular_songs": f"""SELECT song_id, song_title, artist_name, copies * listened AS requests_count FROM (
+    SELECT song_id, title AS song_title, name AS artist_name, count(*) AS copies
+    FROM ({_PLACE_SONGS}) titles JOIN ({_PLACE_ARTISTS}) names USING (artist_id) GROUP BY ALL
+  ) JOIN (SELECT song_id, count(*) AS listened FROM place_fact GROUP BY song_id) USING (song_id)
+  ORDER BY requests_count DESC, song_id, song_title, artist_name LIMIT 10""",
     "location_counts": """SELECT count(location) AS location_count,
   count(DISTINCT location) AS distinct_location_count FROM place_fact""",
     "plays_by_location": """SELECT location, count(location) AS count FROM place_fact GROUP BY location""",
@@ -204,11 +203,12 @@ _QUERIES: dict[str, str] = {
     "plays_by_user_agent": "SELECT user_agent, count(user_agent) AS used_count FROM place_fact GROUP BY user_agent",
     "plays_by_device": """SELECT split_part(split_part(split_part(split_part(user_agent, '(', 2), ';', 1), ')', 1),
     ' ', 1) AS device, count(user_agent) AS used_count FROM place_fact GROUP BY 1""",
-    "plays_by_hour": f"""SELECT t.hour, count(t.hour) AS requests
-  FROM ({_PLACE_TIMES}) t JOIN place_fact s ON t.start_time = s.start_time GROUP BY t.hour ORDER BY t.hour""",
-    "plays_by_weekday": f"""SELECT t.weekday, count(t.weekday) AS requests, t.weekday_name
-  FROM ({_PLACE_TIMES}) t JOIN place_fact s ON t.start_time = s.start_time
-  GROUP BY t.weekday, t.weekday_name ORDER BY t.weekday""",
+    "plays_by_hour": """SELECT CAST(hour(start_time) AS INTEGER) AS hour, count(*) AS requests
+  FROM place_fact WHERE start_time IS NOT NULL GROUP BY 1 ORDER BY 1""",
+    "plays_by_weekday": """SELECT weekday, any_value(weekday_name) AS weekday_name, count(*) AS requests FROM (
+    SELECT CAST(dayofweek(start_time) AS INTEGER) AS weekday, dayname(start_time) AS weekday_name
+    FROM place_fact WHERE start_time IS NOT NULL
+  ) GROUP BY weekday ORDER BY weekday""",
     "duplicate_times": """SELECT strftime(played_at, '%H:%M:%S.%g') AS start_time, count(*) AS count
   FROM (SELECT min(start_milli) AS played_at FROM plays GROUP BY ts // 1000) GROUP BY 1 HAVING count(*) > 1""",
     "users_with_changes": """SELECT user_id FROM play_log WHERE user_id IS NOT NULL GROUP BY user_id

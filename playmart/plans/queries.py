@@ -88,8 +88,11 @@ def _lake_fact(spark: SparkSession, d: str, *columns: str) -> DataFrame:
     return facts.make_songplays(plays, _unique_catalog(spark, d), columns=columns)
 
 
-def _artist_place_fact(spark: SparkSession, d: str, *columns: str) -> DataFrame:
-    """The distinct 2-key fact that carries the artist's location, whole or cut to some columns."""
+def _artist_place_fact(spark: SparkSession, d: str, *columns: str, only: tuple[str, ...] = ()) -> DataFrame:
+    """The distinct 2-key fact that carries the artist's location, whole or made of some columns.
+
+    `only` cuts the whole fact to some columns and keeps all its rows.
+    """
     columns = columns or tuple(facts.FACT_COLUMNS)
     from_log = [c for c in columns if c not in ("song_id", "artist_id", "location")]
     return facts.make_songplays(
@@ -99,6 +102,7 @@ def _artist_place_fact(spark: SparkSession, d: str, *columns: str) -> DataFrame:
         distinct=True,
         location_from="artist",
         columns=columns,
+        only=only,
     )
 
 
@@ -271,43 +275,41 @@ def empty_to_null(spark: SparkSession, d: str) -> DataFrame:
 def popular_artists(spark: SparkSession, d: str) -> DataFrame:
     """Artists that are not in the fact cannot count, so the dimension need not be limited to it first."""
     artists = dims.make_artists_distinct(song_catalog(spark, d))
-    return reports.popular_artists(_artist_place_fact(spark, d), artists)
+    return reports.popular_artists(_artist_place_fact(spark, d, only=("artist_id",)), artists)
 
 
 def popular_songs(spark: SparkSession, d: str) -> DataFrame:
     catalog = song_catalog(spark, d)
     songs, artists = dims.make_songs(catalog), dims.make_artists_distinct(catalog)
-    return reports.popular_songs(_artist_place_fact(spark, d), songs, artists)
+    return reports.popular_songs(_artist_place_fact(spark, d, only=("song_id",)), songs, artists)
 
 
 def location_counts(spark: SparkSession, d: str) -> DataFrame:
-    return reports.location_counts(_artist_place_fact(spark, d))
+    return reports.location_counts(_artist_place_fact(spark, d, only=("location",)))
 
 
 def plays_by_location(spark: SparkSession, d: str) -> DataFrame:
-    return reports.plays_by_location(_artist_place_fact(spark, d))
+    return reports.plays_by_location(_artist_place_fact(spark, d, only=("location",)))
 
 
 def top3_locations(spark: SparkSession, d: str) -> DataFrame:
-    return reports.top_locations(_artist_place_fact(spark, d), 3)
+    return reports.top_locations(_artist_place_fact(spark, d, only=("location",)), 3)
 
 
 def plays_by_user_agent(spark: SparkSession, d: str) -> DataFrame:
-    return reports.plays_by_user_agent(_artist_place_fact(spark, d))
+    return reports.plays_by_user_agent(_artist_place_fact(spark, d, only=("user_agent",)))
 
 
 def plays_by_device(spark: SparkSession, d: str) -> DataFrame:
-    return reports.plays_by_device(_artist_place_fact(spark, d))
+    return reports.plays_by_device(_artist_place_fact(spark, d, only=("user_agent",)))
 
 
 def plays_by_hour(spark: SparkSession, d: str) -> DataFrame:
-    fact = _artist_place_fact(spark, d)
-    return reports.plays_by_hour(fact, dims.make_times(fact, "sunday0"))
+    return reports.plays_by_hour(_artist_place_fact(spark, d, only=("start_time",)))
 
 
 def plays_by_weekday(spark: SparkSession, d: str) -> DataFrame:
-    fact = _artist_place_fact(spark, d)
-    return reports.plays_by_weekday(fact, dims.make_times(fact, "sunday0"), "sunday0")
+    return reports.plays_by_weekday(_artist_place_fact(spark, d, only=("start_time",)), convention="sunday0")
 
 
 def duplicate_times(spark: SparkSession, d: str) -> DataFrame:

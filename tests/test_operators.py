@@ -201,6 +201,17 @@ def test_distinct_fact(plays, catalog):
     assert facts.make_songplays(doubled, catalog, keys=facts.TITLE_ARTIST).count() == 2 * 8
 
 
+def test_distinct_rows_cut_to_some_columns(spark):
+    """As many rows as all columns tell apart, wherever the NULLs stand."""
+    data = [("a", "x", None), ("a", None, "x"), ("a", "x", None), (None, "a", "x"), ("a", "", "x"), ("b", "x", "x"),
+            ("a", None, None), ("a", "", ""), ("a", "", None), ("a", "xx", ""), ("a", "x", "x"), ("b", "x", "x")]
+    df = spark.createDataFrame(data, "k string, v string, w string")
+    assert rows(facts.distinct_rows(df)) == rows(df.distinct())
+    for only in (["k"], ["w", "k"], ["k", "v", "w"]):
+        assert rows(facts.distinct_rows(df, only)) == rows(df.distinct().select(*only))
+    assert facts.distinct_rows(df.limit(0), ["k"]).count() == 0
+
+
 def test_look_up_never_multiplies(plays, catalog):
     enriched = facts.enrich_first(plays, catalog, facts.TITLE_ARTIST)
     assert enriched.count() == plays.count()
@@ -281,7 +292,8 @@ def test_reports(spark, plays, catalog):
     assert tuple(reports.location_counts(fact.where("false")).first()) == (0, 0)
     assert rows(reports.plays_by_device(plays)) == [("", 1), ("Macintosh", 5), ("iPhone", 1)]
     dim = dims.make_times(fact, "sunday0")
-    assert rows(reports.plays_by_hour(fact, dim)) == [(21, 5)]
+    assert rows(reports.plays_by_hour(fact, dim)) == rows(reports.plays_by_hour(fact)) == [(21, 5)]
+    assert rows(reports.plays_by_weekday(fact, dim, "sunday0")) == rows(reports.plays_by_weekday(fact, convention="sunday0"))
     assert rows(reports.plays_by_weekday(fact, dim, "sunday0"), "weekday_name", "requests") == [("Friday", 2), ("Thursday", 3)]
     assert rows(reports.row_counts({"a": fact, "b": artists})) == [("a", 5), ("b", 3)]
 
