@@ -2,7 +2,8 @@
 
 Every stage takes (spark, docs, sf_dir) and works on all documents the one before kept. All but the last
 return the columns of docs. run() writes each stage as Parquet into the shared checkpoint folder and reads it
-back, so a lost executor repeats tasks of one stage only.
+back, so a lost executor repeats tasks of one stage only. Texts go to Python in small batches, in the jobs that a
+stage runs itself and in those that run() writes its result by.
 """
 
 from __future__ import annotations
@@ -12,33 +13,38 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from playmart.llm import decontaminate, line_dedup, packing, quality, simhash
-from playmart.llm.common import shared_folder, table
+from playmart.llm.common import shared_folder, small_batches, table
 from playmart.llm.queries import WORD_VOCABULARY
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return quality.keep_good(docs, table(spark, sf_dir, "labels"))
+    with small_batches(spark):
+        return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without later copies of repeated line runs."""
-    return line_dedup.line_dedup(docs)
+    with small_batches(spark):
+        return line_dedup.line_dedup(docs)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked SimHash fingerprints, that of the smallest id."""
-    return simhash.first_of_groups(docs)
+    with small_batches(spark):
+        return simhash.first_of_groups(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    with small_batches(spark):
+        return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the documents with their sequence and place."""
-    return packing.pack_documents(docs, WORD_VOCABULARY)
+    with small_batches(spark):
+        return packing.pack_documents(docs, WORD_VOCABULARY)
 
 
 STAGES = [
@@ -58,6 +64,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
-        docs.write.parquet(f"{folder}/{name}")
+        with small_batches(spark):
+            docs.write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
     return docs

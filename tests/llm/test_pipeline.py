@@ -1,13 +1,14 @@
 """The pipeline against its stages done by brute force, and on odd tables."""
 
 import re
+import uuid
 import zlib
 
 import numpy as np
 
 import __spark_entry__ as spark_entry
 import corpus_pipeline
-from playmart.llm import decontaminate, pieces
+from playmart.llm import common, decontaminate, pieces
 from playmart.llm.queries import QUERIES, WORD_VOCABULARY
 from tests.llm.conftest import ODD, prose
 from tests.llm.test_corpus_operators import (
@@ -66,3 +67,48 @@ def test_stages_on_odd_documents(spark, rng, tmp_path):
             assert out.count() <= docs.count()
             assert all(tuple(r)[5:] == more for r in out.collect()), name
         assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() == docs.count()
+
+
+def test_texts_go_to_python_in_small_batches(spark, rng, tmp_path, monkeypatch):
+    """No batch is much over the bound, where one task has many times as much; the session's bound stays its own."""
+    texts = [prose(rng, 700) for _ in range(40)]
+    rows = [(i, f"{texts[i % 40]} {prose(rng, 60)}", "en", "s", 3) for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    docs.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    marks = [(i, int(i % 3 > 0), 0) for i in range(0, 1500, 2)]
+    spark.createDataFrame(marks, "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, prose(rng, 20))], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    seen = tmp_path / "seen"
+    plain = type(docs).mapInArrow
+
+    def watched(self, func, *args, **more):
+        def note(batches):
+            for batch in batches:
+                (seen / uuid.uuid4().hex).write_text(str(batch.nbytes))
+                yield batch
+
+        return plain(self, lambda batches: func(note(batches)), *args, **more)
+
+    def largest():
+        return max(int(f.read_text()) for f in seen.iterdir())
+
+    monkeypatch.setattr(type(docs), "mapInArrow", watched)
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    for run in (
+        lambda: corpus_pipeline.quality_stage(spark, common.table(spark, str(tmp_path), "documents"), str(tmp_path)),
+        lambda: corpus_pipeline.run(spark, str(tmp_path)),
+    ):
+        seen.mkdir(exist_ok=True)
+        assert run().count() > 0
+        assert largest() < 2 * common.BATCH_BYTES < sum(len(r[1]) for r in rows)
+        assert spark.conf.get(key, None) == before
+    for value in (before, "2m"):
+        try:
+            if value:
+                spark.conf.set(key, value)
+            with common.small_batches(spark):
+                assert spark.conf.get(key) == str(common.BATCH_BYTES)
+            assert spark.conf.get(key, None) == value
+        finally:
+            spark.conf.unset(key)
