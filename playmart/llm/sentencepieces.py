@@ -13,7 +13,8 @@ one call per group of rows of an Arrow batch; a difference is an error, never a
 bytes by the vocabulary, and is checked likewise.
 
 Each row is encoded where it is, without a shuffle, so no key, hot or not, brings rows together. A worker holds one
-Arrow batch and the memory, which is emptied at MEMORY characters; a segment longer than LONGEST is not kept.
+Arrow batch and the memory, of MEMORY characters at most beside those of one group of rows; a segment longer than LONGEST is
+not kept.
 
 Defined cases: a null or empty text has no pieces but the end id and decodes to ''. Repeated rows and
 rows without an id stay, a row each. A vocabulary with unused pieces is refused; with user-defined ones the check
@@ -33,12 +34,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playmart.llm.common import doc_texts
+from playmart.llm.common import MULTIPLIER, doc_texts
 
 SPACE = "▁"
-MEMORY = 1 << 22  # characters of segments remembered by a worker
+MEMORY = 1 << 22  # characters of segments remembered by a worker, in two halves
 LONGEST = 256  # characters of a segment that is remembered
 SHORT = 32  # characters of a segment whose agenda runs in numpy
+WIDTHS = (4, 8, 12, 16, 24, SHORT)  # segments up to each width run together
+NONE = np.iinfo(np.int32).max  # rank of two symbols that make no piece
 ROWS = 512  # texts handled at a time within an Arrow batch
 
 OUT = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
@@ -84,10 +87,11 @@ class Vocabulary:
         # The text of a piece that stands for itself; None for bytes, controls and the unknown piece.
         whole = self.controls | self.byte_set | {self.unknown}
         self.plain = [None if i in whole else self.text_of[i].decode() for i in ids]
-        # All ways to make a piece of two symbols, as sorted keys with the symbol and the (negated) score they give.
+        # All ways to make a piece of two symbols, with the symbol they give and the rank of its score (the best is 0).
         symbols = dict.fromkeys([*self.id_of, *(c for p in self.id_of for c in p)])
         self.symbol_of = {p: k for k, p in enumerate(symbols)}
         self.n_symbols = len(symbols) + 1  # one more for characters that no piece has
+        self.name_of = [str(i) for i in ids]
         self.symbol_of_point = np.full(0x110000, self.n_symbols - 1, np.int32)
         for p, k in self.symbol_of.items():
             if len(p) == 1:
@@ -98,11 +102,12 @@ class Vocabulary:
             (self.symbol_of[p[:k]] * self.n_symbols + self.symbol_of[p[k:]], self.symbol_of[p], -self.score[p])
             for p in self.id_of for k in range(1, len(p)) if p[:k] in symbols and p[k:] in symbols
         ]
-        keys = np.array([m[0] for m in made], np.int64)
-        order = np.argsort(keys)
-        self.pair_keys = keys[order]
-        self.pair_symbols = np.array([m[1] for m in made], np.int64)[order]
-        self.pair_costs = np.array([m[2] for m in made], np.float64)[order]
+        self.pair_keys = np.array([m[0] for m in made], np.int64)
+        # One more, which stands for no pair.
+        self.pair_symbols = np.array([*(m[1] for m in made), self.n_symbols - 1], np.int32)
+        ranks = np.unique(np.array([m[2] for m in made], np.float64), return_inverse=True)[1]
+        self.pair_ranks = np.append(ranks, NONE).astype(np.int32)
+        self._hash_pairs()
         # Whether a decoded text loses the space of its first piece.
         self.drops_space = self.library.encode("a", out_type=str)[0].startswith(SPACE)
 
@@ -148,33 +153,66 @@ class Vocabulary:
                 ids.append(self.unknown)
         return ids
 
-    def _offers(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """Cost of every pair of symbols, infinite if it makes no piece."""
-        key = left * self.n_symbols + right
-        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
-        return np.where(self.pair_keys[at] == key, self.pair_costs[at], np.inf)
+    def _slots(self, key: np.ndarray) -> np.ndarray:
+        return ((key.view(np.uint64) * np.uint64(MULTIPLIER)) >> np.uint64(64 - self.slot_bits)).view(np.int64)
+
+    def _hash_pairs(self) -> None:
+        """Lay the pairs out by a hash of their key; of those that meet in a slot all but one move on to the next."""
+        self.slot_bits = max(4, (8 * len(self.pair_keys)).bit_length())
+        self.slot_keys = np.full(1 << self.slot_bits, -1, np.int64)
+        self.slot_pairs = np.full(1 << self.slot_bits, len(self.pair_keys), np.int32)
+        left, at = np.arange(len(self.pair_keys)), self._slots(self.pair_keys)
+        while len(left):
+            free = np.flatnonzero(self.slot_keys[at] < 0)
+            taken, first = np.unique(at[free], return_index=True)
+            placed = free[first]
+            self.slot_keys[taken], self.slot_pairs[taken] = self.pair_keys[left[placed]], left[placed]
+            rest = np.ones(len(left), bool)
+            rest[placed] = False
+            left, at = left[rest], (at[rest] + 1) & (len(self.slot_keys) - 1)
+
+    def _pairs(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Numbers of pairs of symbols, the number of all pairs for those that make no piece."""
+        key = left.astype(np.int64) * self.n_symbols + right
+        at = self._slots(key)
+        there = self.slot_keys[at]
+        out = self.slot_pairs[at]
+        other = np.flatnonzero(there != key)
+        out[other] = len(self.pair_keys)
+        other = other[there[other] >= 0]  # in an empty slot the search ends
+        while len(other):
+            at[other] = (at[other] + 1) & (len(self.slot_keys) - 1)
+            there = self.slot_keys[at[other]]
+            same = there == key[other]
+            out[other[same]] = self.slot_pairs[at[other[same]]]
+            other = other[~same & (there >= 0)]
+        return out
 
     def agendas(self, segments: list[str]) -> list[list[int]]:
         """Ids of many normalised segments."""
         out: list[list[int]] = [[]] * len(segments)
-        by_width: dict[int, list[int]] = {}
-        for k, segment in enumerate(segments):
-            n = len(segment)
-            if n > SHORT or not len(self.pair_keys):
-                out[k] = self.agenda(segment)
-            else:
-                by_width.setdefault(4 if n <= 4 else 8 if n <= 8 else 16 if n <= 16 else SHORT, []).append(k)
-        for width, rows in by_width.items():
-            unknown = self.n_symbols - 1
-            symbols = np.full((len(rows), width + 1), unknown, np.int64)
-            lengths = np.array([len(segments[k]) for k in rows])
-            points = np.frombuffer("".join([segments[k] for k in rows]).encode("utf-32-le"), np.uint32)
-            symbols[np.arange(width + 1) < lengths[:, None]] = self.symbol_of_point[points]
-            self._merge(symbols, lengths)
-            pieces = self.piece_of_symbol[symbols]
-            lost = ((pieces < 0) & (np.arange(width + 1) < lengths[:, None])).any(axis=1)
-            for k, ids, n, odd in zip(rows, pieces.tolist(), lengths.tolist(), lost.tolist()):
-                out[k] = self._with_bytes(segments[k], ids[:n]) if odd else ids[:n]
+        lengths = np.fromiter(map(len, segments), np.int64, len(segments))
+        short = SHORT if len(self.pair_keys) else 0
+        for k in np.flatnonzero(lengths > short).tolist():
+            out[k] = self.agenda(segments[k])
+        for least, width in zip((0, *WIDTHS), WIDTHS) if short else ():
+            rows = np.flatnonzero((lengths > least) & (lengths <= width))
+            if not len(rows):
+                continue
+            symbols = np.full((len(rows), width + 1), self.n_symbols - 1, np.int32)
+            left = lengths[rows]
+            texts = [segments[k] for k in rows.tolist()]
+            points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+            symbols[np.arange(width + 1) < left[:, None]] = self.symbol_of_point[points]
+            self._merge(symbols, left)
+            pieces = self.piece_of_symbol[symbols[np.arange(width + 1) < left[:, None]]]
+            ends = np.cumsum(left)
+            lost = np.zeros(len(rows), bool)
+            lost[np.searchsorted(ends, np.flatnonzero(pieces < 0), "right")] = True
+            flat, begin = pieces.tolist(), 0
+            for k, segment, end, odd in zip(rows.tolist(), texts, ends.tolist(), lost.tolist()):
+                out[k] = self._with_bytes(segment, flat[begin:end]) if odd else flat[begin:end]
+                begin = end
         return out
 
     def _with_bytes(self, segment: str, pieces: list[int]) -> list[int]:
@@ -194,33 +232,34 @@ class Vocabulary:
         return ids
 
     def _merge(self, symbols: np.ndarray, lengths: np.ndarray) -> None:
-        """Run the agenda of every row to its end; rows are filled up with symbols that make no pair."""
-        cost = self._offers(symbols[:, :-1], symbols[:, 1:])
-        rows = np.arange(len(symbols))
-        places = np.arange(symbols.shape[1])
-        fill = self.n_symbols - 1
+        """Run the agenda of every row to its end; rows are filled up with symbols that make no pair.
+
+        symbols and lengths are changed in place. All rows still open have had the same number of merges, so a
+        column less is looked at after each; what stands behind the length of a row means nothing.
+        """
+        ranks = np.full(symbols.shape, NONE, np.int32)  # of each symbol with the next
+        at = np.flatnonzero(np.arange(symbols.shape[1]) < lengths[:, None] - 1)
+        ranks.ravel()[at] = self.pair_ranks[self._pairs(symbols.ravel()[at], symbols.ravel()[at + 1])]
+        rows, open_rows = np.arange(len(symbols)), symbols.copy()
         while len(rows):
-            best = cost[rows].argmin(axis=1)  # of equal costs the leftmost
-            open_ = cost[rows, best] < np.inf
-            rows, best = rows[open_], best[open_]
-            if not len(rows):
-                break
-            key = symbols[rows, best] * self.n_symbols + symbols[rows, best + 1]
-            merged = self.pair_symbols[np.searchsorted(self.pair_keys, key)]
-            # What stands behind the pair moves one place to the left.
-            take = np.minimum(places + (places > best[:, None]), places[-1])
-            moved = np.take_along_axis(symbols[rows], take, axis=1)
-            moved[:, -1] = fill
-            moved[np.arange(len(rows)), best] = merged
-            symbols[rows] = moved
-            costs = np.take_along_axis(cost[rows], np.minimum(take[:, :-1], places[-2]), axis=1)
-            costs[:, -1] = np.inf
+            best = ranks.argmin(axis=1)  # of equal ranks the leftmost
+            going = ranks[np.arange(len(rows)), best] < NONE
+            if not going.all():
+                symbols[rows[~going], : open_rows.shape[1]] = open_rows[~going]
+                rows, open_rows, ranks, best = rows[going], open_rows[going], ranks[going], best[going]
+                if not len(rows):
+                    break
             here = np.arange(len(rows))
-            costs[here, best] = self._offers(merged, moved[here, best + 1])
-            inner = best > 0
+            merged = self.pair_symbols[self._pairs(open_rows[here, best], open_rows[here, best + 1])]
+            # What stands behind the pair moves one place to the left.
+            behind = np.arange(open_rows.shape[1] - 1) > best[:, None]
+            open_rows = np.where(behind, open_rows[:, 1:], open_rows[:, :-1])
+            ranks = np.where(behind, ranks[:, 1:], ranks[:, :-1])
+            open_rows[here, best] = merged
+            ranks[here, best] = self.pair_ranks[self._pairs(merged, open_rows[here, best + 1])]
+            inner = np.flatnonzero(best > 0)
             before = best[inner] - 1
-            costs[here[inner], before] = self._offers(moved[here[inner], before], merged[inner])
-            cost[rows] = costs
+            ranks[inner, before] = self.pair_ranks[self._pairs(open_rows[inner, before], merged[inner])]
             lengths[rows] -= 1
 
     def text(self, ids: list[int]) -> str:
@@ -251,9 +290,8 @@ class Vocabulary:
         try:
             return "".join([self.plain[i] for i in ids])
         except TypeError:  # bytes, controls or unknown pieces
-            text = self.text(ids)
-            dropped = self.drops_space and (self.plain[ids[0]] or "").startswith(" ")
-            return " " + text if dropped else text
+            # Every other piece is whole characters, so bytes never run together with what stands beside them.
+            return b"".join([self.text_of[i] for i in ids]).decode("utf-8", "replace-each-byte")
 
     def checked(self, segments: list[str]) -> tuple[list[list[int]], list[str]]:
         """Ids and texts of normalised segments, after the library has given the same for all of them."""
@@ -287,11 +325,15 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 class Memory:
-    """Segment -> (count of ids, ids as text, text decoded where it is not the first)."""
+    """Segment -> (count of ids, ids as text, text decoded where it is not the first).
+
+    When one half of the memory is full it becomes the older half, whose segments come back as they are met again.
+    """
 
     def __init__(self, words: Vocabulary, characters: int = MEMORY, longest: int = LONGEST) -> None:
         self.words, self.characters, self.longest = words, characters, longest
         self.kept: dict[str, tuple[int, str, str]] = {}
+        self.older: dict[str, tuple[int, str, str]] = {}
         self.passing: list[str] = []
         self.size = 0
 
@@ -300,11 +342,17 @@ class Memory:
         for segment in self.passing:
             del self.kept[segment]
         self.passing = []
-        if self.size > self.characters:
-            self.kept, self.size = {}, 0
-        new = [s for s in segments if s not in self.kept]
+        if self.size > self.characters // 2:
+            self.older, self.kept, self.size = self.kept, {}, 0
+        missing = segments - self.kept.keys()
+        back = missing & self.older.keys()
+        for segment in back:
+            self.kept[segment] = self.older[segment]
+        self.size += sum(map(len, back))
+        new = list(missing - back)
+        names = self.words.name_of
         for segment, ids, text in zip(new, *self.words.checked(new), strict=True):
-            self.kept[segment] = len(ids), " ".join(map(str, ids)), text
+            self.kept[segment] = len(ids), " ".join([names[i] for i in ids]), text
             if len(segment) > self.longest:
                 self.passing.append(segment)
             else:

@@ -2,6 +2,7 @@
 
 import hashlib
 
+import numpy as np
 import pytest
 import sentencepiece
 
@@ -88,3 +89,38 @@ def test_a_difference_is_an_error(monkeypatch):
     monkeypatch.setattr(words, "inner", lambda ids: " hallo")
     with pytest.raises(ValueError, match="differ"):
         words.checked(["▁hello"])
+
+
+def test_frequent_segments_outlast_a_full_memory(monkeypatch):
+    """A segment met in every group of rows is encoded once, however often the memory fills up between."""
+    words = sentencepieces.Vocabulary(PIECE_VOCABULARY)
+    encoded = []
+    plain_checked = words.checked
+    monkeypatch.setattr(words, "checked", lambda segments: encoded.extend(segments) or plain_checked(segments))
+    memory = sentencepieces.Memory(words, 400, 20)
+    frequent = {"▁the", "▁of", "▁qzx\n"}
+    for k in range(60):
+        rare = {f"▁rare{k}x{n}" for n in range(12)} | {"▁" + "long" * 9 + str(k)}
+        known = memory.of(frequent | rare)
+        expected = {s: plain_checked([s]) for s in frequent | rare}
+        assert {s: known[s] for s in frequent | rare} == {
+            s: (len(ids), " ".join(map(str, ids)), text) for s, ([ids], [text]) in expected.items()
+        }
+        # Two halves and what one group of rows brings.
+        assert len("".join([*memory.kept, *memory.older])) < 400 + 2 * len("".join(frequent | rare))
+    assert all(encoded.count(s) == 1 for s in frequent)
+
+
+def test_pairs_by_hash(rng):
+    """Found exactly where there is a piece, also where keys meet in a slot; agendas with ties take the leftmost."""
+    words = sentencepieces.Vocabulary(PIECE_VOCABULARY)
+    left, right = words.pair_keys // words.n_symbols, words.pair_keys % words.n_symbols
+    assert (words._pairs(left, right) == np.arange(len(left))).all()
+    asked = np.array([rng.randrange(words.n_symbols) for _ in range(40000)]).reshape(2, -1)
+    number = {k: n for n, k in enumerate(words.pair_keys.tolist())}
+    keys = (asked[0] * words.n_symbols + asked[1]).tolist()
+    assert words._pairs(*asked).tolist() == [number.get(k, len(number)) for k in keys]
+    words._slots = lambda key: np.zeros(len(key), np.int64)  # all meet in one slot
+    words.pair_keys, words.pair_ranks = words.pair_keys[:50], np.append(np.zeros(50, np.int32), sentencepieces.NONE)
+    words._hash_pairs()
+    assert words._pairs(left[:80], right[:80]).tolist() == [*range(50)] + [50] * 30
