@@ -31,6 +31,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -43,6 +44,8 @@ MIN_BYTES = 100
 GRAM = 32
 SIDE = MIN_BYTES - GRAM  # bytes that a string through an anchor may reach to either side of its gram
 WINDOWS = SIDE + 1  # strings of MIN_BYTES through an anchor
+DOCS = 512  # documents of an Arrow batch that are worked on, and sent on, at a time
+SENT = 1 << 15  # anchors sent on at a time
 
 
 def _sliding(values: np.ndarray, width: int, pick: Callable) -> np.ndarray:
@@ -100,26 +103,41 @@ def _batch(columns: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
 
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes that hold all values of a binary column, not copied, and the places where each begins and the last ends."""
+    _, places, data = column.buffers()
+    places = np.frombuffer(places, np.int64 if pa.types.is_large_binary(column.type) else np.int32)
+    bounds = places[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    return np.zeros(0, np.uint8) if data is None else np.frombuffer(data, np.uint8), bounds
+
+
 def _find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """KEYED rows. Anchors with an equal one earlier in the batch go on as settled, under a spread key."""
     for batch in batches:
+        if not batch.num_rows:
+            continue
         doc, sub = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        found = [anchors(np.frombuffer(t, np.uint8)) for t in batch.column(2).to_pylist()]
-        counts = np.array([len(f[0]) for f in found], np.int64)
-        if not counts.sum():
+        data, bounds = _flat(batch.column(2))
+        # In the order of documents and, in each, of places: the first of equal anchors is the one that leads.
+        in_order = np.lexsort((sub, doc))
+        found = [anchors(data[bounds[k] : bounds[k + 1]]) for k in in_order.tolist()]
+        row = np.repeat(in_order.astype(np.int32), [len(f[0]) for f in found])
+        if not len(row):
             continue
-        pos, gram, around = (np.concatenate([f[k] for f in found]) for k in range(3))
-        row = np.repeat(np.arange(len(counts)), counts)
+        pos = np.concatenate([f[0].astype(np.int32) for f in found])
+        gram, around = (np.concatenate([f[k] for f in found]) for k in (1, 2))
+        del found
         around[around == SETTLED] = 1
-        order = np.lexsort((pos, sub[row], doc[row], around, gram))
+        order = np.lexsort((around, gram))
         same = (gram[order[1:]] == gram[order[:-1]]) & (around[order[1:]] == around[order[:-1]])
-        settled = np.zeros(len(pos), bool)
-        settled[order[1:][same]] = True
+        settled = order[1:][same]
+        del order, same
         around[settled] = SETTLED
-        gram[settled] = mix(doc[row][settled].astype(U64) ^ mix(pos[settled].astype(U64)))
-        yield _batch(
-            [gram.view(np.int64), around.view(np.int64), doc[row], sub[row], pos.astype(np.int32)], _KEYED
-        )
+        gram[settled] = mix(doc[row[settled]].astype(U64) ^ mix(pos[settled].astype(U64)))
+        for k in range(0, len(row), SENT):
+            part = slice(k, k + SENT)
+            of = row[part]
+            yield _batch([gram[part].view(np.int64), around[part].view(np.int64), doc[of], sub[of], pos[part]], _KEYED)
 
 
 REQUESTS = "doc bigint, sub int, pos int, gram bigint, whole boolean"
@@ -178,23 +196,53 @@ def _merge(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return start[first], end[np.append(first[1:], len(end)) - 1]
 
 
+def _listed(column: pa.Array, *names: str) -> list[np.ndarray]:
+    """The fields of all structs in a column of lists (null: none), after the row that each belongs to."""
+    counts = pc.fill_null(pc.list_value_length(column), 0).to_numpy()
+    flat = column.flatten()
+    row = np.repeat(np.arange(len(counts)), counts)
+    return [row, *(flat.field(n).to_numpy(zero_copy_only=False) for n in names)]
+
+
+ROW = 33  # bits of a place within a text, in numbers that hold a row too
+
+
+def _merge_rows(row: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """_merge for the ranges of many rows."""
+    low, high = _merge(row << ROW | low, row << ROW | high)
+    return low >> ROW, low & ((1 << ROW) - 1), high & ((1 << ROW) - 1)
+
+
+def _parts(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.Array:
+    """data[begin:end] for many ranges, as a binary column."""
+    bounds = np.concatenate(([0], np.cumsum(end - begin)))
+    at = np.arange(bounds[-1]) + np.repeat(begin - bounds[:-1], end - begin)
+    buffers = [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(data[at])]
+    return pa.Array.from_buffers(pa.binary(), len(begin), buffers)
+
+
 def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """PARTS rows: the ranges covered so far (no bytes, spread key), and the surroundings of open anchors."""
-    for batch in batches:
-        out: list[tuple] = []
-        for doc, sub, text, wanted in zip(*(c.to_pylist() for c in batch.columns)):
-            n = len(text)
-            whole = np.sort(np.array([w["pos"] for w in wanted if w["whole"]], np.int64))
-            if len(whole):
-                low, high = _merge(np.maximum(whole - SIDE, 0), np.minimum(whole + MIN_BYTES, n))
-                key = mix(np.array([doc], np.int64).astype(U64))[0].view(np.int64)
-                out += [(int(key), doc, sub, -1, a, b, None) for a, b in zip(low.tolist(), high.tolist())]
-            for w in wanted:
-                if not w["whole"]:
-                    low, high = max(w["pos"] - SIDE, 0), min(w["pos"] + MIN_BYTES, n)
-                    out.append((w["gram"], doc, sub, w["pos"], low, high, text[low:high]))
-        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)], _PARTS)
+    for batch in (b.slice(k, DOCS) for b in batches for k in range(0, b.num_rows, DOCS)):
+        doc, sub = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        data, bounds = _flat(batch.column(2))
+        row, pos, gram, whole = _listed(batch.column(3), "pos", "gram", "whole")
+        pos = pos.astype(np.int64)
+        low, high = np.maximum(pos - SIDE, 0), np.minimum(pos + MIN_BYTES, np.diff(bounds)[row])
+        of, begin, end = _merge_rows(row[whole], low[whole], high[whole]) if whole.any() else [np.zeros(0, np.int64)] * 3
+        row, pos, gram, low, high = (x[~whole] for x in (row, pos, gram, low, high))
+        key = mix(doc.astype(U64)).view(np.int64)
+        both = np.concatenate((of, row))
+        columns = [
+            np.concatenate((key[of], gram)), doc[both], sub[both],
+            *(np.concatenate(x).astype(np.int32) for x in ((np.full(len(of), -1), pos), (begin, low), (end, high))),
+        ]
+        for k in range(0, len(both), SENT):
+            known = max(0, min(len(of) - k, SENT))  # of the rows sent, those that are covered
+            mine = slice(k + known - len(of), k + SENT - len(of)) if k + SENT > len(of) else slice(0, 0)
+            texts = _parts(data, bounds[row[mine]] + low[mine], bounds[row[mine]] + high[mine])
+            sent = [pa.array(c[k : k + SENT]) for c in columns]
+            yield pa.RecordBatch.from_arrays([*sent, pa.concat_arrays([pa.nulls(known, pa.binary()), texts])], _PARTS)
 
 
 COVERED = "doc bigint, sub int, low int, high int"
@@ -266,7 +314,7 @@ def repeated_windows(around: np.ndarray, left: np.ndarray, right: np.ndarray) ->
 
 def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """COVERED rows from PARTS sorted by gram."""
-    for rows in whole_groups(batches, ["gram"], 1 << 16):
+    for rows in whole_groups(batches, ["gram"], SENT):
         doc, sub, pos, low, high = (rows.column(c).to_numpy() for c in _PARTS[1:6])
         known = pos < 0
         if known.any():
@@ -276,11 +324,11 @@ def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not len(there):
             continue
         doc, sub, pos, low, high = (x[there] for x in (doc, sub, pos, low, high))
-        parts = rows.column("bytes").take(pa.array(there)).to_pylist()
+        data, bounds = _flat(rows.column("bytes").combine_chunks())
         around = np.zeros((len(there), SIDE + MIN_BYTES), np.uint8)
-        for k, part in enumerate(parts):
-            begin = SIDE - (pos[k] - low[k])
-            around[k, begin : begin + len(part)] = np.frombuffer(part, np.uint8)
+        begin = SIDE - (pos - low)
+        for k, (b, e, at) in enumerate(zip(begin.tolist(), (begin + high - low).tolist(), bounds[there].tolist())):
+            around[k, b:e] = data[at : at + e - b]
         repeated = repeated_windows(around, pos - low, high - pos - GRAM)
         # Consecutive steps r cover one range of bytes.
         edge = np.diff(np.pad(repeated.view(np.int8), ((0, 0), (1, 1))), axis=1)
@@ -296,19 +344,23 @@ REMOVED = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = []
-        for doc, sub, text, covered in zip(*(c.to_pylist() for c in batch.columns)):
-            kept, removed, count = text, 0, 0
-            if covered:
-                low, high = _merge(*(np.array([c[k] for c in covered], np.int64) for k in ("low", "high")))
-                removed, count = int((high - low).sum()), len(low)
-                ends = [0, *high.tolist()]
-                kept = b"".join(text[a:b] for a, b in zip(ends, [*low.tolist(), len(text)]))
-            rows.append((doc if sub & 1 else None, len(text), removed, count, kept))
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+    for batch in (b.slice(k, DOCS) for b in batches for k in range(0, b.num_rows, DOCS)):
+        doc, sub = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        data, bounds = _flat(batch.column(2))
+        data, bounds = data[bounds[0] : bounds[-1]], bounds - bounds[0]
+        row, low, high = _listed(batch.column(3), "low", "high")
+        if len(row):
+            row, low, high = _merge_rows(row, low.astype(np.int64), high.astype(np.int64))
+        kept = np.ones(len(data), bool)
+        for a, b in zip((bounds[row] + low).tolist(), (bounds[row] + high).tolist()):
+            kept[a:b] = False
+        count = np.bincount(row, minlength=len(doc))
+        removed = np.bincount(row, high - low, len(doc)).astype(np.int64)
+        n = np.diff(bounds)
+        ends = np.concatenate(([0], np.cumsum(n - removed))).astype(np.int32)
+        texts = pa.Array.from_buffers(pa.binary(), len(doc), [None, pa.py_buffer(ends), pa.py_buffer(data[kept])])
         yield pa.RecordBatch.from_arrays(
-            [pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)],
+            [pa.array(doc, mask=sub & 1 == 0), pa.array(n), pa.array(removed), pa.array(count), texts],
             [c.split()[0] for c in REMOVED.split(", ")],
         )
 

@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -10,7 +11,7 @@ import pyarrow as pa
 import pytest
 import xxhash
 
-from playmart.llm import decontaminate, line_dedup, packing, pieces, simhash, substring_dedup
+from playmart.llm import common, decontaminate, line_dedup, packing, pieces, simhash, substring_dedup
 from playmart.llm.components import components
 from playmart.llm.queries import QUERIES, WORD_VOCABULARY
 from tests.conftest import TESTDATA
@@ -498,3 +499,76 @@ def test_the_tally_rejects_pairs_before_their_bits_are_compared():
     assert kept.mean() < 0.05 and 500 <= found.sum() < kept.sum()
     assert (found == (np.bitwise_count(a ^ b) <= simhash.MAX_BITS)).all()
     assert (simhash.linked(f, f[5]) == (np.bitwise_count(f ^ f[5]) <= simhash.MAX_BITS)).all()
+
+
+def large_batch(rng, docs):
+    """Anchors of a batch of texts that share passages, and what _settle makes of them, listed by document."""
+    shared = [prose(rng, 60) for _ in range(6)]
+    texts = [" ".join([prose(rng, 120), rng.choice(shared), prose(rng, 40)]).encode() for _ in range(docs)] + [b"", b"short"]
+    ids = [k // 2 for k in range(len(texts))]
+    columns = [pa.array(ids), pa.array([2 * (k % 2) + 1 for k in range(len(texts))], pa.int32()), pa.array(texts)]
+    base = pa.RecordBatch.from_arrays(columns, ["doc", "sub", "text"])
+    found = pa.Table.from_batches(substring_dedup._find_anchors(iter([base])))
+    rows = found.sort_by([(c, "ascending") for c in substring_dedup._KEYED]).combine_chunks()
+    wanted = {(i, s): [] for i, s in zip(ids, columns[1].to_pylist())}
+    for batch in substring_dedup._settle(iter(rows.to_batches())):
+        for r in batch.to_pylist():
+            wanted[r["doc"], r["sub"]].append({k: r[k] for k in ("pos", "gram", "whole")})
+    kind = pa.list_(pa.struct([("pos", pa.int32()), ("gram", pa.int64()), ("whole", pa.bool_())]))
+    return base, base.append_column("wanted", pa.array(list(wanted.values()), kind))
+
+
+def rows_of(batches):
+    return sorted((tuple(r.values()) for b in batches for r in b.to_pylist()), key=repr)
+
+
+def test_substring_steps_send_small_batches(rng, monkeypatch):
+    """A batch of any size is worked on and sent on in pieces, with the same rows."""
+    base, wanted = large_batch(rng, 1300)
+    assert not wanted.column(3).null_count and sum(map(len, wanted.column(3).to_pylist())) > 10000
+    anchors, parts = rows_of(substring_dedup._find_anchors(iter([base]))), rows_of(substring_dedup._fetch(iter([wanted])))
+    expected = []
+    for doc, sub, text, listed in zip(*(c.to_pylist() for c in wanted.columns)):
+        covered = np.zeros(len(text) + 1, bool)
+        for w in listed:
+            low, high = max(0, w["pos"] - substring_dedup.SIDE), min(len(text), w["pos"] + substring_dedup.MIN_BYTES)
+            if w["whole"]:
+                covered[low:high] = True
+            else:
+                expected.append((w["gram"], doc, sub, w["pos"], low, high, text[low:high]))
+        key = int(common.mix(np.array([doc]).astype(np.uint64)).view(np.int64)[0])
+        expected += [(key, doc, sub, -1, int(a), int(b), None) for a, b in zip(*common.spans(covered))]
+    assert parts == sorted(expected, key=repr)
+    kind = pa.list_(pa.struct([("low", pa.int32()), ("high", pa.int32())]))
+    ranges = [None if k % 3 == 0 else [{"low": b, "high": b + 9} for b in (40, 45, 3)][: k % 5] for k in range(1302)]
+    ranges[1300:] = [None, []]
+    cut = base.append_column("covered", pa.array(ranges, kind))
+    whole = rows_of(substring_dedup._cut(iter([cut])))
+    plain = []
+    for doc, sub, text, listed in zip(*(c.to_pylist() for c in cut.columns)):
+        gone = {p for r in listed or [] for p in range(r["low"], r["high"])}
+        spans = sum(p - 1 not in gone for p in gone)
+        plain.append((doc, len(text), len(gone), spans, bytes(c for p, c in enumerate(text) if p not in gone)))
+    assert whole == sorted(plain, key=repr)
+    monkeypatch.setattr(substring_dedup, "DOCS", 7)
+    monkeypatch.setattr(substring_dedup, "SENT", 40)
+    for step, given, same, most in (
+        (substring_dedup._find_anchors, base, anchors, 40), (substring_dedup._fetch, wanted, parts, 40),
+        (substring_dedup._cut, cut, whole, 7),
+    ):
+        batches = list(step(iter([given])))
+        assert rows_of(batches) == same
+        assert max(b.num_rows for b in batches) <= most < len(same)
+        assert rows_of(step(iter([given.slice(5, 900)]))) == rows_of(step(iter([pa.RecordBatch.from_pylist(given.slice(5, 900).to_pylist(), given.schema)])))
+
+
+def test_substring_fetch_holds_no_object_per_anchor(rng):
+    base, wanted = large_batch(rng, 1300)
+    tracemalloc.start()
+    try:
+        for _ in substring_dedup._fetch(iter([wanted])):
+            pass
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 6 << 20, peak
